@@ -1,0 +1,197 @@
+"""Batch pipelines over ZIP fixtures: the loading cases of FIXTURES.md §4."""
+
+import os
+
+import pytest
+from pyspark.errors import PythonException
+from pyspark.sql.utils import AnalysisException  # noqa: F401
+
+from adtally.plans.kinds import KINDS
+from adtally.plans.pipelines import run_batch
+from adtally.sources.archive import choose_new, list_archives
+from zipfixtures import (
+    HEADER_NEW,
+    HEADER_REGION,
+    archive_name,
+    csv_text,
+    national_member,
+    region_member,
+    write_zip,
+)
+
+DAILY_ROWS = [
+    "11,Page A,Paid by A,250,3",
+    '12,Page B,"B, Inc",300,1',
+    "11,Page A,Paid by A,≤100,2",
+    "13,Renamed,X,50,",
+    "13,Original,X,5,",
+    '14,Page D,Friends of "Chip” D,≤100,2',
+]
+
+
+def daily_archive(folder, date, rows=DAILY_ROWS, mtime=None, regions=None, suffix=""):
+    members = {national_member("yesterday", date): csv_text(HEADER_NEW, rows)}
+    for region, rrows in (regions or {}).items():
+        members[region_member("yesterday", date, region)] = csv_text(HEADER_REGION, rrows)
+    members["regions/readme.txt"] = "not a report"
+    return write_zip(os.path.join(folder, archive_name("yesterday", date, suffix)), members, mtime)
+
+
+def table_rows(spark, table):
+    return sorted(tuple(r) for r in spark.table(table).collect())
+
+
+def test_daily_end_to_end(spark, fresh_db, tmp_path):
+    src = str(tmp_path / "Daily")
+    daily_archive(src, "2021-03-01")
+    t = f"{fresh_db}.fb_daily"
+    assert run_batch(spark, "daily", src, target=t) == ["2021-03-01"]
+    got = {(r.page_name, r.page_id): r for r in spark.table(t).collect()}
+    assert got[("Page A", "11")].amt_spent == 350 and got[("Page A", "11")].num_of_ads == 5
+    assert got[("Page B", "12")].disclaimer == "B, Inc"
+    assert got[("Renamed", "13")].num_of_ads == 0  # all ads missing: 0, not null
+    assert got[("Original", "13")].amt_spent == 5
+    assert got[("Page D", "14")].disclaimer == "Friends of Chip” D"
+    assert {r.date for r in got.values()} == {"2021-03-01"}
+    assert spark.table(t).columns == [
+        "page_name", "disclaimer", "amt_spent", "num_of_ads", "page_id", "date",
+    ]
+
+
+def test_second_run_changes_nothing_and_loaded_is_skipped(spark, fresh_db, tmp_path):
+    src = str(tmp_path / "Daily")
+    daily_archive(src, "2021-03-01")
+    t = f"{fresh_db}.fb_daily"
+    run_batch(spark, "daily", src, target=t)
+    before = table_rows(spark, t)
+    # the loaded archive is now unreadable: if it were opened, the run would fail
+    path = os.path.join(src, archive_name("yesterday", "2021-03-01"))
+    with open(path, "wb") as f:
+        f.write(b"not a zip")
+    assert run_batch(spark, "daily", src, target=t) == []
+    assert table_rows(spark, t) == before
+
+
+def test_floor_dates(spark, fresh_db, tmp_path):
+    src = str(tmp_path / "Daily")
+    daily_archive(src, "2021-01-05")
+    daily_archive(src, "2021-01-06")
+    assert run_batch(spark, "daily", src, target=f"{fresh_db}.d") == ["2021-01-06"]
+    # the 90-day kind starts earlier
+    src90 = str(tmp_path / "90Days")
+    date = "2021-01-05"
+    write_zip(
+        os.path.join(src90, archive_name("last_90_days", date)),
+        {region_member("last_90_days", date, "Ohio"): csv_text(HEADER_REGION, ["1,A,B,10"])},
+    )
+    assert run_batch(spark, "90days_region", src90, target=f"{fresh_db}.r") == [date]
+    assert KINDS["90days_region"].floor_date == "2020-02-09"
+
+
+def test_two_archives_one_date_latest_wins(spark, fresh_db, tmp_path):
+    src = str(tmp_path / "Daily")
+    old = daily_archive(os.path.join(src, "a"), "2021-03-01", rows=["1,Old,X,1,1"], mtime=1_000_000)
+    new = daily_archive(os.path.join(src, "b"), "2021-03-01", rows=["1,New,X,2,1"], mtime=2_000_000)
+    assert old != new
+    t = f"{fresh_db}.fb_daily"
+    files = list_archives(spark, src + "/*", "daily")
+    assert files.count() == 2
+    chosen = choose_new(files, None, None).collect()
+    assert len(chosen) == 1 and chosen[0].path.endswith("b/" + os.path.basename(new))
+    run_batch(spark, "daily", src + "/*", target=t)
+    assert [r.page_name for r in spark.table(t).collect()] == ["New"]
+
+
+def test_name_with_space_is_not_matched(spark, tmp_path):
+    src = str(tmp_path / "Daily")
+    daily_archive(src, "2021-03-01", suffix=" (1)")
+    assert list_archives(spark, src, "daily").count() == 0
+
+
+def test_date_mismatch_fails_by_default(spark, fresh_db, tmp_path):
+    src = str(tmp_path / "Daily")
+    members = {national_member("yesterday", "2021-03-02"): csv_text(HEADER_NEW, ["1,A,B,1,1"])}
+    write_zip(os.path.join(src, archive_name("yesterday", "2021-03-01")), members)
+    with pytest.raises(Exception, match="differs from its archive"):
+        run_batch(spark, "daily", src, target=f"{fresh_db}.a")
+    got = run_batch(spark, "daily", src, target=f"{fresh_db}.b", on_date_mismatch="use_archive_date")
+    assert got == ["2021-03-01"]
+    assert [r.date for r in spark.table(f"{fresh_db}.b").collect()] == ["2021-03-01"]
+
+
+def test_empty_archive_names_the_archive(spark, fresh_db, tmp_path):
+    src = str(tmp_path / "Lifelong")
+    write_zip(os.path.join(src, archive_name("lifelong", "2021-03-01")), {"readme.txt": "x"})
+    with pytest.raises(PythonException, match="FacebookAdLibraryReport_2021-03-01_US_lifelong.zip"):
+        run_batch(spark, "lifelong", src, target=f"{fresh_db}.l")
+
+
+def test_regional_mixed_widths(spark, fresh_db, tmp_path):
+    src = str(tmp_path / "Weekly")
+    date = "2021-03-07"
+    members = {
+        region_member("last_7_days", date, "Ohio"): csv_text(HEADER_REGION, ["1,A,B,10", "1,A,B,≤100"]),
+        region_member("last_7_days", date, "New York"): csv_text(
+            HEADER_NEW, ["1,A,B,7,3", '2,C,"Open,5,1']
+        ),
+        "regions/readme.txt": "ignore me",
+    }
+    write_zip(os.path.join(src, archive_name("last_7_days", date)), members)
+    t = f"{fresh_db}.fb_weekly_region"
+    assert run_batch(spark, "weekly_region", src, target=t) == [date]
+    got = {(r.region, r.page_id): (r.amt_spent, r.disclaimer) for r in spark.table(t).collect()}
+    assert got == {
+        ("Ohio", "1"): (110, "B"),
+        ("New York", "1"): (7, "B"),
+        ("New York", "2"): (5, "Open"),
+    }
+    assert spark.table(t).columns == [
+        "page_name", "disclaimer", "amt_spent", "region", "page_id", "date",
+    ]
+
+
+def test_lifelong_first_member_two_sinks_and_dirty_ids(spark, fresh_db, tmp_path):
+    src = str(tmp_path / "Lifelong")
+    date = "2021-03-01"
+    members = {
+        national_member("lifelong", date, revamp=False): csv_text(HEADER_NEW, ["99,Z,Z,1,1"]),
+        national_member("lifelong", date, revamp=True): csv_text(HEADER_NEW, ["id:24,A,B,10,1"]),
+    }
+    write_zip(os.path.join(src, archive_name("lifelong", date)), members)
+    first, second = f"{fresh_db}.fb_lifelong", f"{fresh_db}.warehouse_lifelong"
+    assert run_batch(spark, "lifelong", src, target=first, second_target=second) == [date]
+    # first member in code-point order only ("ReportRevamp_" sorts before "Report_")
+    want = [("A", "B", 10, 1, "id:24", date)]
+    assert table_rows(spark, first) == want
+    assert table_rows(spark, second) == want
+
+
+def test_half_written_two_sinks_complete_on_next_run(spark, fresh_db, tmp_path):
+    from adtally.sources.tables import create_target, overwrite_dates
+
+    src = str(tmp_path / "Lifelong")
+    date = "2021-03-01"
+    members = {national_member("lifelong", date): csv_text(HEADER_NEW, ["1,A,B,10,1"])}
+    write_zip(os.path.join(src, archive_name("lifelong", date)), members)
+    first, second = f"{fresh_db}.one", f"{fresh_db}.two"
+    create_target(spark, first)
+    create_target(spark, second)
+    # a crash after the first sink: only `first` has the date
+    row = spark.createDataFrame(
+        [("A", "B", 10, 1, "1", date)],
+        "page_name string, disclaimer string, amt_spent long, num_of_ads long, page_id string, date string",
+    )
+    overwrite_dates(row, first)
+    assert run_batch(spark, "lifelong", src, target=first, second_target=second) == [date]
+    assert table_rows(spark, first) == table_rows(spark, second) == [("A", "B", 10, 1, "1", date)]
+
+
+def test_one_daily_archive_feeds_national_and_regional(spark, fresh_db, tmp_path):
+    src = str(tmp_path / "Daily")
+    daily_archive(src, "2021-03-01", regions={"Ohio": ["11,Page A,Paid by A,≤100"]})
+    run_batch(spark, "daily", src, target=f"{fresh_db}.n")
+    run_batch(spark, "daily_region", src, target=f"{fresh_db}.r")
+    assert spark.table(f"{fresh_db}.n").count() == 5
+    assert [tuple(r) for r in spark.table(f"{fresh_db}.r").collect()] == [
+        ("Page A", "Paid by A", 100, "Ohio", "11", "2021-03-01")
+    ]
