@@ -1,4 +1,4 @@
-"""The report-kind dimension: everything that differs between the report pipelines.
+"""The report-kind dimension: everything that differs between the report loads.
 
 One pipeline serves all kinds; a kind says which archives and members to read, how to
 parse them, which date floor applies and which table receives the roll-up.
@@ -29,45 +29,45 @@ class ReportKind:
 
 
 # --- fixed values: report naming and loading conventions -------------------------------
-_PREFIX = "FacebookAdLibraryReport"
+REPORT_PREFIX = "FacebookAdLibraryReport"
 DEFAULT_FLOOR = "2021-01-06"
 NINETY_DAY_FLOOR = "2020-02-09"
 
 KINDS: dict[str, ReportKind] = {
     "daily": ReportKind(
         "daily", "yesterday", "Daily", 1,
-        rf"^{_PREFIX}_.*_US_yesterday\.zip$",
-        rf"^{_PREFIX}.+yesterday_advertisers\.csv$",
+        rf"^{REPORT_PREFIX}_.*_US_yesterday\.zip$",
+        rf"^{REPORT_PREFIX}.+yesterday_advertisers\.csv$",
         DEFAULT_FLOOR, "fb_daily", False, "new", True, False, "member",
     ),
     "daily_region": ReportKind(
         "daily_region", "yesterday", "Daily", 1,
-        rf"^{_PREFIX}_.*_US_yesterday\.zip$",
-        rf"^regions/{_PREFIX}.+yesterday_.+\.csv$",
+        rf"^{REPORT_PREFIX}_.*_US_yesterday\.zip$",
+        rf"^regions/{REPORT_PREFIX}.+yesterday_.+\.csv$",
         DEFAULT_FLOOR, "fb_daily_region", True, "regional", True, False, "member",
     ),
     "weekly_region": ReportKind(
         "weekly_region", "last_7_days", "Weekly", 7,
-        rf"^{_PREFIX}_.*_US_last_7_days\.zip$",
-        rf"^regions/{_PREFIX}.+last_7_days_.+\.csv$",
+        rf"^{REPORT_PREFIX}_.*_US_last_7_days\.zip$",
+        rf"^regions/{REPORT_PREFIX}.+last_7_days_.+\.csv$",
         DEFAULT_FLOOR, "fb_weekly_region", True, "regional", True, False, "member",
     ),
     "30days_region": ReportKind(
         "30days_region", "last_30_days", "30Days", 30,
-        rf"^{_PREFIX}_.*_US_last_30_days\.zip$",
-        rf"^regions/{_PREFIX}.+last_30_days_.+\.csv$",
+        rf"^{REPORT_PREFIX}_.*_US_last_30_days\.zip$",
+        rf"^regions/{REPORT_PREFIX}.+last_30_days_.+\.csv$",
         DEFAULT_FLOOR, "fb_30days_region", True, "regional", True, False, "member",
     ),
     "90days_region": ReportKind(
         "90days_region", "last_90_days", "90Days", 90,
-        rf"^{_PREFIX}_.*_US_last_90_days\.zip$",
-        rf"^regions/{_PREFIX}.+last_90_days_.+\.csv$",
+        rf"^{REPORT_PREFIX}_.*_US_last_90_days\.zip$",
+        rf"^regions/{REPORT_PREFIX}.+last_90_days_.+\.csv$",
         NINETY_DAY_FLOOR, "fb_90days_region", True, "regional", True, False, "member",
     ),
     "lifelong": ReportKind(
         "lifelong", "lifelong", "Lifelong", 0,
-        rf"^{_PREFIX}_.*_US_lifelong\.zip$",
-        rf"^{_PREFIX}(Revamp)?_.*_US_lifelong_advertisers\.csv$",
+        rf"^{REPORT_PREFIX}_.*_US_lifelong\.zip$",
+        rf"^{REPORT_PREFIX}(Revamp)?_.*_US_lifelong_advertisers\.csv$",
         DEFAULT_FLOOR, "fb_lifelong", False, "new", False, True, "archive",
     ),
 }

@@ -1,4 +1,4 @@
-"""Batch report pipelines: archives of one kind → repaired, parsed, rolled-up table rows.
+"""Batch report loads: archives of one kind → repaired, parsed, rolled-up table rows.
 
 ``build_report`` is the pure transformation (lines → roll-up); ``load_listing`` adds the
 choice of new reports and the idempotent write; ``run_batch`` lists a folder and runs

@@ -164,3 +164,16 @@ def read_archive_lines(
     if spread:
         lines = lines.repartition(spread, "path", "member", "line_no")
     return lines
+
+
+def first_matching_member(members: DataFrame, member_regex: str, by: str = "path") -> DataFrame:
+    """Per ``by`` group, the first member name (code-point order) matching the pattern.
+
+    The same choice the ZIP reader makes for kinds that read one member only; as a
+    DataFrame operation it is a partial-then-final ``min`` aggregate.
+    """
+    return (
+        members.filter(F.col("member").rlike(member_regex))
+        .groupBy(by)
+        .agg(F.min("member").alias("first_member"))
+    )

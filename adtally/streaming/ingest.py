@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from adtally.plans.kinds import ReportKind, get_kind
-from adtally.plans.pipelines import load_listing
+from adtally.plans.loader import load_listing
 from adtally.sources.archive import BINARY_SCHEMA, select_archives
 
 

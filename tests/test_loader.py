@@ -1,4 +1,4 @@
-"""Batch pipelines over ZIP fixtures: the loading cases of FIXTURES.md §4."""
+"""Batch loads over ZIP fixtures: the loading cases of FIXTURES.md §4."""
 
 import os
 
@@ -7,7 +7,7 @@ from pyspark.errors import PythonException
 from pyspark.sql.utils import AnalysisException  # noqa: F401
 
 from adtally.plans.kinds import KINDS
-from adtally.plans.pipelines import run_batch
+from adtally.plans.loader import run_batch
 from adtally.sources.archive import choose_new, list_archives
 from zipfixtures import (
     HEADER_NEW,
