@@ -70,8 +70,8 @@ def report_date(name: Column | str) -> Column:
 
 
 def base_name(path: Column | str) -> Column:
-    """Last segment of a path or URI."""
-    return F.regexp_extract(_col(path), r"([^/]*)$", 1)
+    """Last segment of a path or URI (a plain string split, no regex)."""
+    return F.substring_index(_col(path), "/", -1)
 
 
 def region_from_name(name: Column | str, label: str) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adtally.functions.clean import base_name, region_from_name, report_date
-from adtally.operators.lines import drop_header, parse_lines, split_bom
+from adtally.operators.lines import drop_header, parse_lines, split_bom, spread_lines
 from adtally.operators.rollup import clean_records, national_rollup, regional_rollup
 from adtally.plans.kinds import ReportKind, get_kind
 from adtally.sources.archive import choose_new, list_archives, read_archive_lines
@@ -38,8 +38,14 @@ def attach_file_fields(
     if on_date_mismatch not in DATE_MISMATCH:
         raise ValueError(f"on_date_mismatch must be one of {DATE_MISMATCH}")
     k = get_kind(kind)
-    archive_date = report_date(base_name("path"))
-    member_date = report_date(base_name("member"))
+    # file-level values, computed once per row into columns and reused
+    dated = lines.withColumns(
+        {
+            "_archive_date": report_date(base_name("path")),
+            "_member_date": report_date(base_name("member")),
+        }
+    )
+    archive_date, member_date = F.col("_archive_date"), F.col("_member_date")
     if k.date_from == "archive" or on_date_mismatch == "use_archive_date":
         date = archive_date
     else:
@@ -50,7 +56,7 @@ def attach_file_fields(
         date = F.when(member_date.eqNullSafe(archive_date), member_date).otherwise(
             F.raise_error(message)
         )
-    out = lines.withColumn("date", date)
+    out = dated.withColumn("date", date).drop("_archive_date", "_member_date")
     if k.regional:
         out = out.withColumn("region", region_from_name("member", k.label))
     return out
@@ -62,9 +68,16 @@ def build_report(
     on_date_mismatch: str = "fail",
     repair_bom: bool = True,
     repair_quotes: bool = True,
+    spread: bool = True,
 ) -> DataFrame:
-    """Member lines (``path, member, line_no, line``) → target rows of ``kind``."""
+    """Member lines (``path, member, line_no, line``) → target rows of ``kind``.
+
+    With ``spread``, lines from fewer input partitions than cores are first hash-spread
+    over the cores (see ``spread_lines``).
+    """
     k = get_kind(kind)
+    if spread:
+        lines = spread_lines(lines)
     df = attach_file_fields(lines, k, on_date_mismatch)
     if repair_bom:
         df = split_bom(df)
@@ -85,7 +98,7 @@ def load_listing(
     on_date_mismatch: str = "fail",
     repair_bom: bool = True,
     repair_quotes: bool = True,
-    spread: int | str | None = "auto",
+    spread: bool = True,
 ) -> list[str]:
     """Load the new reports of an archive listing; return the report dates loaded.
 
@@ -105,11 +118,8 @@ def load_listing(
         return []
     paths = [r.path for r in rows]
     dates = sorted(r.report_date for r in rows)
-    if spread == "auto":
-        cores = spark.sparkContext.defaultParallelism
-        spread = cores if len(paths) < cores else None
-    lines = read_archive_lines(spark, paths, k, spread=spread)
-    report = build_report(lines, k, on_date_mismatch, repair_bom, repair_quotes)
+    lines = read_archive_lines(spark, paths, k)
+    report = build_report(lines, k, on_date_mismatch, repair_bom, repair_quotes, spread)
     if second_target:
         overwrite_dates_two_sinks(report, target, second_target, dates)
     else:

@@ -149,21 +149,16 @@ def read_archive_lines(
     spark: SparkSession,
     paths: list[str],
     kind: str | ReportKind,
-    spread: int | None = None,
 ) -> DataFrame:
     """Load the given archives and return their member lines for ``kind``.
 
     ``paths`` are the few archives chosen by :func:`choose_new` (file names, not data).
-    An archive cannot be split, so one task unpacks it; with ``spread`` the lines are
-    hash-partitioned on their position afterwards, so that parsing and the map-side
-    aggregate of one large archive run on many cores.
+    An archive cannot be split, so one task unpacks it; ``spread_lines`` afterwards lets
+    the parsing of a few large archives use many cores.
     """
     k = get_kind(kind)
     content = spark.read.format("binaryFile").load(paths)
-    lines = unzip_lines(content, k.member_regex, k.first_member_only)
-    if spread:
-        lines = lines.repartition(spread, "path", "member", "line_no")
-    return lines
+    return unzip_lines(content, k.member_regex, k.first_member_only)
 
 
 def first_matching_member(members: DataFrame, member_regex: str, by: str = "path") -> DataFrame:
