@@ -239,12 +239,8 @@ def q_archive_regional(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_archive_lifelong(spark: SparkSession, d: str) -> DataFrame:
-    body = rv.lineitem_lines(spark, d).withColumnRenamed("path", "archive")
-    head = body.limit(1).select(
-        "archive", "member", F.lit(0).cast("bigint").alias("line_no"),
-        F.lit("Page ID,Page name,Disclaimer,Amount spent (USD),Number of ads in Library").alias("line"),
-    )
-    return _load_archives(spark, d, "lifelong", body.unionByName(head))
+    lines = rv.with_headers(rv.lineitem_lines(spark, d), rv.NATIONAL_HEADER)
+    return _load_archives(spark, d, "lifelong", lines)
 
 
 def q_stream_ingest(spark: SparkSession, d: str) -> DataFrame:
@@ -326,9 +322,10 @@ _LIFELONG = """
   SELECT s_name AS page_name, 'Paid by ' || l_returnflag || l_linestatus AS disclaimer,
          CAST(SUM(floor(l_extendedprice)) AS BIGINT) AS amt_spent,
          CAST(SUM(floor(l_quantity)) AS BIGINT) AS num_of_ads,
-         'id:' || CAST(l_suppkey AS VARCHAR) AS page_id, '2024-02-01' AS date
+         'id:' || CAST(l_suppkey AS VARCHAR) AS page_id,
+         strftime(date_trunc('month', CAST(l_shipdate AS DATE) + 10227), '%Y-%m-%d') AS date
   FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
-  GROUP BY s_name, l_returnflag, l_linestatus, l_suppkey
+  GROUP BY ALL
 """
 
 _AMOUNTS = f"""
@@ -473,7 +470,8 @@ ORACLES: dict[str, str] = {
     "reload_idempotent": _DAILY,
     "archive_daily": _DAILY,
     "archive_regional": _REGIONAL,
-    "archive_lifelong": _LIFELONG,
+    # the batch load applies the kind's start-date floor
+    "archive_lifelong": f"SELECT * FROM ({_LIFELONG}) WHERE date >= '{KINDS['lifelong'].floor_date}'",
     "stream_ingest": _DAILY,
 }
 

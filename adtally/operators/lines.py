@@ -185,14 +185,8 @@ def parse_problems(parsed: DataFrame, keys: tuple[str, ...] = ("path", "member")
 
 
 def spread_lines(df: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Hash-partition lines on their position when the input has fewer partitions than
-    the cluster has cores (one small file, or a few unsplittable archives).
+    """Spread lines over the cores by their position when the input has few partitions
+    (see ``adtally.operators.partitioning.spread``): parsing is the costly per-line step."""
+    from adtally.operators.partitioning import spread
 
-    Parsing is the costly per-line step; this lets it and the map-side aggregate run on
-    every core. With at least ``partitions`` input partitions (the usual case on large
-    inputs) the frame is returned unchanged and no shuffle is added.
-    """
-    target = partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target, "path", "member", "line_no")
+    return spread(df, "path", "member", "line_no", partitions=partitions)

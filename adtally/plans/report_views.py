@@ -12,14 +12,26 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from adtally.operators.partitioning import spread
 from adtally.plans.kinds import REPORT_PREFIX as _PREFIX
 
 BOM = "\ufeff"
-LIFELONG_REPORT_DATE = "2024-02-01"
+
+
+# Row keys of the source tables: used to spread a table that arrives in fewer partitions
+# than there are cores (one small file) before the per-row work of a view.
+_KEYS = {
+    "events": ("event_id",),
+    "lineitem": ("l_orderkey", "l_linenumber"),
+    "customer": ("c_custkey",),
+    "documents": ("doc_id",),
+    "conversations": ("conv_id", "turn"),
+}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df, *_KEYS[name]) if name in _KEYS else df
 
 
 def csv_line(*cols: Column) -> Column:
@@ -56,7 +68,7 @@ def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         disclaimer.alias("disclaimer"),
         amount.alias("amount_spent"),
         _text(F.col("event_id") % 4).alias("number_of_ads"),
-        F.date_format("ts", "yyyy-MM-dd").alias("date"),
+        F.to_date("ts").cast("string").alias("date"),
         F.concat(F.lit("R"), _text(F.col("event_id") % 5)).alias("region"),
     )
 
@@ -89,30 +101,43 @@ def event_lines(spark: SparkSession, sf_dir: str, label: str, regional: bool) ->
     )
 
 
-def event_archive_lines(spark: SparkSession, sf_dir: str, label: str, regional: bool) -> DataFrame:
-    """Like :func:`event_lines` plus one header line per member, for writing archives."""
-    body = event_lines(spark, sf_dir, label, regional)
-    header = "Page ID,Page name,Disclaimer,Amount spent (USD)" + (
-        "" if regional else ",Number of ads in Library"
-    )
+def with_headers(body: DataFrame, header: str) -> DataFrame:
+    """Add one header line (``line_no`` 0) per member and name the archive column
+    ``archive``, ready for ``write_archives``."""
     heads = body.select("path", "member").distinct().select(
         "path", "member", F.lit(0).cast("bigint").alias("line_no"), F.lit(header).alias("line")
     )
     return body.unionByName(heads).withColumnRenamed("path", "archive")
 
 
+NATIONAL_HEADER = "Page ID,Page name,Disclaimer,Amount spent (USD),Number of ads in Library"
+REGIONAL_HEADER = "Page ID,Page name,Disclaimer,Amount spent (USD)"
+
+
+def event_archive_lines(spark: SparkSession, sf_dir: str, label: str, regional: bool) -> DataFrame:
+    """Like :func:`event_lines` plus one header line per member, for writing archives."""
+    body = event_lines(spark, sf_dir, label, regional)
+    return with_headers(body, REGIONAL_HEADER if regional else NATIONAL_HEADER)
+
+
 # --- orders with suppliers as a lifelong report --------------------------------------------
 
 
+# Ship dates are moved 28 years forward (10,227 days: same weekdays and leap days) so that
+# they fall in the range of report dates; each ship month is one lifelong report.
+SHIFT_DAYS = 10_227
+
+
 def lineitem_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items joined to their supplier as the lines of one lifelong report.
+    """Line items joined to their supplier as lines of monthly lifelong reports.
 
     page = supplier (name, dirty id ``id:<suppkey>``), disclaimer from return flag and
-    line status, amount = whole extended price, ads = quantity.
+    line status, amount = whole extended price, ads = whole quantity; the report date is
+    the first day of the (shifted) ship month.
     """
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice", "l_quantity",
-        "l_returnflag", "l_linestatus",
+        "l_returnflag", "l_linestatus", "l_shipdate",
     )
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
     joined = li.join(s, li.l_suppkey == s.s_suppkey, "inner")
@@ -123,10 +148,11 @@ def lineitem_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         _text(F.floor("l_extendedprice").cast("bigint")),
         _text(F.floor("l_quantity").cast("bigint")),
     )
-    d = LIFELONG_REPORT_DATE
+    shifted = F.date_add(F.to_date("l_shipdate"), SHIFT_DAYS)
+    date = F.trunc(shifted, "month").cast("string")
     return joined.select(
-        F.lit(f"{_PREFIX}_{d}_US_lifelong.zip").alias("path"),
-        F.lit(f"{_PREFIX}_{d}_US_lifelong_advertisers.csv").alias("member"),
+        F.concat(F.lit(f"{_PREFIX}_"), date, F.lit("_US_lifelong.zip")).alias("path"),
+        F.concat(F.lit(f"{_PREFIX}_"), date, F.lit("_US_lifelong_advertisers.csv")).alias("member"),
         (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("line_no"),
         text.alias("line"),
     )
