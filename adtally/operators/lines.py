@@ -13,7 +13,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adtally.functions.clean import null_if_blank
 
 BOM = "\ufeff"
 # Placed in empty unquoted fields before parsing so that a present-but-empty field can be
@@ -94,11 +93,14 @@ def _parse_struct(line: Column, width: int) -> Column:
     return F.from_csv(marked, schema, _CSV_OPTIONS)
 
 
-def _width(struct: Column, width: int) -> Column:
+def _width_sql(struct: str, width: int) -> str:
     # present fields form a prefix, so the count of non-null fields is the field count
-    return sum(
-        (F.when(struct[f"f{i}"].isNotNull(), 1).otherwise(0) for i in range(width)), F.lit(0)
-    )
+    return " + ".join(f"IF({struct}.f{i} IS NULL, 0, 1)" for i in range(width))
+
+
+def _field_sql(struct: str, i: int) -> str:
+    # marker out; empty text and NA to null
+    return f"nullif(nullif(replace({struct}.f{i}, char(1), ''), ''), 'NA')"
 
 
 def parse_lines(
@@ -118,59 +120,55 @@ def parse_lines(
     curly one), or when the line has a wrong number of fields and deleting them makes the
     count right. Lines with too many fields keep their first fields; too few are padded
     with null. Empty text and ``NA`` become null.
+
+    Each from_csv sits in its own projection and is referenced by name afterwards, so it
+    runs once per line; the repair parse runs only for lines that contain a quote.
     """
     lay = LAYOUTS[layout] if isinstance(layout, str) else layout
     # one field more than allowed so that "too long" is visible
     width = lay.max_width + 1
+    lo, hi = lay.min_width, lay.max_width
     text = F.col(line)
+    keep = [F.col(c) for c in df.columns if c != line]
 
-    def allowed(w: Column) -> Column:
-        return (w >= lay.min_width) & (w <= lay.max_width)
-
-    keep = [c for c in df.columns if c != line]
     step1 = df.select(
         *keep,
         text.alias("_line"),
         _quote_count(text).alias("_nq"),
         _parse_struct(text, width).alias("_raw"),
-    ).withColumn("_w_raw", _width(F.col("_raw"), width))
-
+    )
+    step2 = step1.select(*keep, "_line", "_nq", "_raw", F.expr(_width_sql("_raw", width)).alias("_w_raw"))
     if repair_quotes:
-        needs = (F.col("_nq") > 0) & (((F.col("_nq") % 2) == 1) | ~allowed(F.col("_w_raw")))
-        step2 = step1.withColumn(
-            "_str",
-            F.when(needs, _parse_struct(F.replace(F.col("_line"), F.lit('"'), F.lit("")), width)),
-        ).withColumn("_w_str", _width(F.col("_str"), width))
-        use_str = needs & (((F.col("_nq") % 2) == 1) | allowed(F.col("_w_str")))
+        needs = f"_nq > 0 AND (_nq % 2 = 1 OR NOT (_w_raw BETWEEN {lo} AND {hi}))"
+        stripped = F.replace(F.col("_line"), F.lit('"'), F.lit(""))
         step3 = step2.select(
-            *keep,
-            F.when(use_str, F.col("_str")).otherwise(F.col("_raw")).alias("_rec"),
-            F.when(use_str, F.col("_w_str")).otherwise(F.col("_w_raw")).alias("n_fields"),
-            use_str.alias("_stripped"),
+            *keep, "_nq", "_raw", "_w_raw",
+            F.when(F.expr(needs), _parse_struct(stripped, width)).alias("_str"),
         )
-    else:
-        step3 = step1.select(
+        step4 = step3.select(
+            *keep, "_nq", "_raw", "_w_raw", "_str",
+            F.expr(f"({needs}) AND (_nq % 2 = 1 OR ({_width_sql('_str', width)}) BETWEEN {lo} AND {hi})")
+            .alias("_stripped"),
+        )
+        rec = step4.select(
             *keep,
-            F.col("_raw").alias("_rec"),
-            F.col("_w_raw").alias("n_fields"),
-            F.lit(False).alias("_stripped"),
+            F.expr("IF(_stripped, _str, _raw)").alias("_rec"),
+            F.expr(f"IF(_stripped, {_width_sql('_str', width)}, _w_raw)").alias("n_fields"),
+            "_stripped",
         )
+    else:
+        rec = step2.select(*keep, F.col("_raw").alias("_rec"), F.col("_w_raw").alias("n_fields"),
+                           F.lit(False).alias("_stripped"))
 
-    n = F.col("n_fields")
     status = (
-        F.when(n < lay.min_width, "short")
-        .when(n > lay.max_width, "long")
-        .when(F.col("_stripped"), "quote_stripped")
-        .otherwise("ok")
+        f"CASE WHEN n_fields < {lo} THEN 'short' WHEN n_fields > {hi} THEN 'long' "
+        "WHEN _stripped THEN 'quote_stripped' ELSE 'ok' END"
     )
-
-    def field(name: str) -> Column:
-        if name not in lay.fields:
-            return F.lit(None).cast("string").alias(name)
-        raw = F.col("_rec")[f"f{lay.fields.index(name)}"]
-        return null_if_blank(F.replace(raw, F.lit(_MARK), F.lit(""))).alias(name)
-
-    return step3.select(*keep, *(field(c) for c in RECORD_COLUMNS), n, status.alias("status"))
+    fields = [
+        F.expr(_field_sql("_rec", lay.fields.index(c)) if c in lay.fields else "CAST(NULL AS STRING)").alias(c)
+        for c in RECORD_COLUMNS
+    ]
+    return rec.select(*keep, *fields, "n_fields", F.expr(status).alias("status"))
 
 
 def parse_problems(parsed: DataFrame, keys: tuple[str, ...] = ("path", "member")) -> DataFrame:

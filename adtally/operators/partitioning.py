@@ -5,16 +5,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
+def input_partitions(df: DataFrame) -> int | None:
+    """Number of partitions a frame without a shuffle will have, or None when its plan
+    already shuffles (then its width is the shuffle's) or cannot be inspected.
+
+    Only the plan is built: for a plan that holds an exchange, asking its RDD would make
+    adaptive execution run the shuffle stages, so such plans are not asked.
+    """
+    try:
+        qe = df._jdf.queryExecution()
+        if "Exchange" in qe.executedPlan().toString():
+            return None
+        return int(qe.toRdd().getNumPartitions())
+    except Exception:  # noqa: BLE001 - e.g. a remote session without plan access
+        return None
+
+
 def spread(df: DataFrame, *keys: str, partitions: int | None = None) -> DataFrame:
     """Hash-partition ``df`` on ``keys`` when it has fewer partitions than cores.
 
     A single small file, one parquet row group or a few unsplittable archives give one
     task for all the per-row work that follows; spreading lets it use every core. With at
-    least ``partitions`` input partitions (the usual case on large inputs) the frame is
-    returned unchanged and no shuffle is added. ``keys`` should be close to unique so that
-    no partition receives a hot key.
+    least ``partitions`` input partitions (the usual case on large inputs), or when the
+    plan already ends in a shuffle, the frame is returned unchanged and no shuffle is
+    added. ``keys`` should be close to unique so that no partition receives a hot key.
     """
     target = partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    n = input_partitions(df)
+    if n is None or n >= target:
         return df
     return df.repartition(target, *keys)
