@@ -7,6 +7,7 @@ both. The streaming ingest calls ``load_listing`` for every micro-batch of new f
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,7 +15,13 @@ from adtally.functions.clean import base_name, region_from_name, report_date
 from adtally.operators.lines import drop_header, parse_lines, split_bom, spread_lines
 from adtally.operators.rollup import clean_records, national_rollup, regional_rollup
 from adtally.plans.kinds import ReportKind, get_kind
-from adtally.sources.archive import choose_new, list_archives, read_archive_lines
+from adtally.sources.archive import (
+    choose_new,
+    list_archives,
+    read_archive_lines,
+    select_archives,
+    unzip_lines,
+)
 from adtally.sources.tables import (
     create_target,
     loaded_in_all,
@@ -99,34 +106,96 @@ def load_listing(
     repair_bom: bool = True,
     repair_quotes: bool = True,
     spread: bool = True,
+    loaded: DataFrame | None = None,
 ) -> list[str]:
     """Load the new reports of an archive listing; return the report dates loaded.
 
     ``listing`` has ``path, modificationTime, report_date`` (see ``select_archives``).
     Only archives past the floor whose date is missing from a target are read at all.
+    ``loaded`` replaces the targets' own dates as the set of loaded dates (for example
+    ``loaded_dates_jdbc`` when the rows also go to a relational store).
     """
     k = get_kind(kind)
     target = target or k.target
     sinks = [target] + ([second_target] if second_target else [])
-    for t in sinks:
-        create_target(spark, t, regional=k.regional)
     floor = k.floor_date if floor_date == "kind" else floor_date
-    chosen = choose_new(listing, loaded_in_all(spark, sinks), floor)
-    # file names and dates of the new reports only: a few rows of metadata
-    rows = chosen.select("path", "report_date").collect()
-    if not rows:
+    paths, dates = _new_archives(spark, listing, k, sinks, floor, loaded)
+    if not paths:
         return []
-    paths = [r.path for r in rows]
-    dates = sorted(r.report_date for r in rows)
     lines = read_archive_lines(spark, paths, k)
     report = build_report(lines, k, on_date_mismatch, repair_bom, repair_quotes, spread)
-    if second_target:
-        overwrite_dates_two_sinks(report, target, second_target, dates)
-    else:
-        overwrite_dates(report, target)
+    _write(report, sinks, dates)
     return dates
 
 
+def _new_archives(spark, listing, k, sinks, floor, loaded=None) -> tuple[list[str], list[str]]:
+    for t in sinks:
+        create_target(spark, t, regional=k.regional)
+    done = loaded if loaded is not None else loaded_in_all(spark, sinks)
+    chosen = choose_new(listing, done, floor)
+    # file names and dates of the new reports only: a few rows of metadata
+    rows = chosen.select("path", "report_date").collect()
+    return [r.path for r in rows], sorted(r.report_date for r in rows)
+
+
+def _write(report: DataFrame, sinks: list[str], dates: list[str]) -> None:
+    if len(sinks) > 1:
+        overwrite_dates_two_sinks(report, sinks[0], sinks[1], dates)
+    else:
+        overwrite_dates(report, sinks[0])
+
+
+def run_shared_archives(
+    spark: SparkSession,
+    source_dir: str,
+    targets: dict[str, str],
+    on_date_mismatch: str = "fail",
+    repair_bom: bool = True,
+    repair_quotes: bool = True,
+) -> dict[str, list[str]]:
+    """Load several kinds that come in the same archives (the daily archive holds the
+    national and the regional report) while unpacking each archive once.
+
+    ``targets`` maps kind → table. Each kind keeps its own floor and loaded dates; the
+    lines of the union of new archives are read once, kept with ``MEMORY_AND_DISK``
+    (recomputed from the archives if an executor is lost) and split by member pattern.
+    Returns the report dates loaded per kind.
+    """
+    kinds = [get_kind(k) for k in targets]
+    if len({k.archive_regex for k in kinds}) != 1 or any(k.first_member_only for k in kinds):
+        raise ValueError("kinds must share the archive pattern and read all members")
+    files = (
+        spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(source_dir)
+        .select("path", "modificationTime", "length")
+    )
+    plan = {}
+    for k in kinds:
+        listing = select_archives(files, k)
+        paths, dates = _new_archives(spark, listing, k, [targets[k.kind]], k.floor_date)
+        if paths:
+            plan[k.kind] = (k, paths, dates)
+    if not plan:
+        return {}
+    every = sorted({p for _, paths, _ in plan.values() for p in paths})
+    members = "|".join(f"(?:{k.member_regex})" for k, _, _ in plan.values())
+    content = spark.read.format("binaryFile").load(every)
+    lines = unzip_lines(content, members).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        out = {}
+        for name, (k, paths, dates) in plan.items():
+            mine = lines.filter(F.col("path").isin(paths) & F.col("member").rlike(k.member_regex))
+            found = {r.path for r in mine.select("path").distinct().collect()}
+            missing = sorted(set(paths) - found)
+            if missing:
+                raise ValueError(f"no {name} report CSV in archive {missing[0]}")
+            report = build_report(mine, k, on_date_mismatch, repair_bom, repair_quotes)
+            _write(report, [targets[name]], dates)
+            out[name] = dates
+        return out
+    finally:
+        lines.unpersist()
+
+
 def run_batch(
     spark: SparkSession,
     kind: str | ReportKind,

@@ -17,12 +17,19 @@ from adtally.plans.loader import load_listing
 from adtally.sources.archive import BINARY_SCHEMA, select_archives
 
 
-def archive_stream(spark: SparkSession, source_dir: str) -> DataFrame:
-    """Streaming listing of ZIP files in ``source_dir`` (metadata columns only)."""
+def archive_stream(
+    spark: SparkSession, source_dir: str, max_files_per_trigger: int | None = None
+) -> DataFrame:
+    """Streaming listing of ZIP files in ``source_dir`` (metadata columns only).
+
+    ``max_files_per_trigger`` bounds the archives per micro-batch, so a large backlog
+    is loaded in several bounded jobs instead of one.
+    """
+    reader = spark.readStream.format("binaryFile").schema(BINARY_SCHEMA)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return (
-        spark.readStream.format("binaryFile")
-        .schema(BINARY_SCHEMA)
-        .option("pathGlobFilter", "*.zip")
+        reader.option("pathGlobFilter", "*.zip")
         .load(source_dir)
         .select("path", "modificationTime", "length")
     )
@@ -36,6 +43,7 @@ def start_ingest(
     available_now: bool = True,
     interval: str = "2 hours",
     query_name: str | None = None,
+    max_files_per_trigger: int | None = None,
     **options,
 ) -> StreamingQuery:
     """Start the ingest of one report kind; ``options`` as for ``load_listing``.
@@ -49,7 +57,7 @@ def start_ingest(
         load_listing(files.sparkSession, select_archives(files, k), k, **options)
 
     writer = (
-        archive_stream(spark, source_dir)
+        archive_stream(spark, source_dir, max_files_per_trigger)
         .writeStream.foreachBatch(load_batch)
         .option("checkpointLocation", checkpoint)
     )

@@ -195,3 +195,26 @@ def test_one_daily_archive_feeds_national_and_regional(spark, fresh_db, tmp_path
     assert [tuple(r) for r in spark.table(f"{fresh_db}.r").collect()] == [
         ("Page A", "Paid by A", 100, "Ohio", "11", "2021-03-01")
     ]
+
+
+def test_shared_daily_archive_read_once_for_two_kinds(spark, fresh_db, tmp_path):
+    from adtally.plans.loader import run_shared_archives
+
+    src = str(tmp_path / "Daily")
+    daily_archive(src, "2021-03-01", regions={"Ohio": ["11,Page A,Paid by A,≤100"]})
+    daily_archive(src, "2021-03-02", regions={"Utah": ["12,Page B,B,5"]})
+    n, r = f"{fresh_db}.n", f"{fresh_db}.r"
+    got = run_shared_archives(spark, src, {"daily": n, "daily_region": r})
+    assert got == {"daily": ["2021-03-01", "2021-03-02"], "daily_region": ["2021-03-01", "2021-03-02"]}
+    assert spark.table(n).count() == 10
+    assert sorted((x.region, x.amt_spent) for x in spark.table(r).collect()) == [("Ohio", 100), ("Utah", 5)]
+    # a second run finds nothing new
+    assert run_shared_archives(spark, src, {"daily": n, "daily_region": r}) == {}
+
+
+def test_loaded_dates_from_another_source(spark, fresh_db, tmp_path):
+    src = str(tmp_path / "Daily")
+    daily_archive(src, "2021-03-01")
+    daily_archive(src, "2021-03-02")
+    loaded = spark.createDataFrame([("2021-03-01",)], "date string")
+    assert run_batch(spark, "daily", src, target=f"{fresh_db}.d", loaded=loaded) == ["2021-03-02"]

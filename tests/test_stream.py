@@ -50,3 +50,14 @@ def test_no_new_file_no_change_and_lost_checkpoint_is_harmless(spark, fresh_db,
     # a fresh checkpoint replays the folder; the date is already loaded: still one copy
     drain(spark, src, str(tmp_path / "ckpt2"), t)
     assert rows(spark, t) == before
+
+
+def test_bounded_micro_batches(spark, fresh_db, tmp_path):
+    src, ckpt = str(tmp_path / "Daily"), str(tmp_path / "ckpt")
+    for day in ("01", "02", "03"):
+        add_daily(src, f"2021-03-{day}", [f"{day},A,B,1,1"])
+    t = f"{fresh_db}.stream"
+    q = start_ingest(spark, "daily", src, ckpt, target=t, max_files_per_trigger=1)
+    q.awaitTermination()
+    assert len(q.recentProgress) >= 3
+    assert sorted(r.date for r in spark.table(t).collect()) == ["2021-03-01", "2021-03-02", "2021-03-03"]
