@@ -220,11 +220,13 @@ def _archives(spark: SparkSession, lines: DataFrame, name: str) -> str:
     return folder
 
 
-def _load_archives(spark: SparkSession, d: str, kind: str, lines: DataFrame) -> DataFrame:
+def _load_archives(
+    spark: SparkSession, d: str, kind: str, lines: DataFrame, reader: str = "archive"
+) -> DataFrame:
     folder = _archives(spark, lines, f"archives_{kind}")
     table, tfolder = _scratch(spark, f"table_{kind}")
     create_target(spark, table, regional=KINDS[kind].regional, location=tfolder)
-    run_batch(spark, kind, folder, target=table)
+    run_batch(spark, kind, folder, target=table, reader=reader)
     return spark.table(table)
 
 
@@ -234,8 +236,9 @@ def q_archive_daily(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_archive_regional(spark: SparkSession, d: str) -> DataFrame:
+    # many region members per archive: one task per member
     lines = rv.event_archive_lines(spark, d, "last_7_days", regional=True)
-    return _load_archives(spark, d, "weekly_region", lines)
+    return _load_archives(spark, d, "weekly_region", lines, reader="members")
 
 
 def q_archive_lifelong(spark: SparkSession, d: str) -> DataFrame:

@@ -107,13 +107,15 @@ def load_listing(
     repair_quotes: bool = True,
     spread: bool = True,
     loaded: DataFrame | None = None,
+    reader: str = "archive",
 ) -> list[str]:
     """Load the new reports of an archive listing; return the report dates loaded.
 
     ``listing`` has ``path, modificationTime, report_date`` (see ``select_archives``).
     Only archives past the floor whose date is missing from a target are read at all.
     ``loaded`` replaces the targets' own dates as the set of loaded dates (for example
-    ``loaded_dates_jdbc`` when the rows also go to a relational store).
+    ``loaded_dates_jdbc`` when the rows also go to a relational store). ``reader``
+    picks the archive reader (``"archive"`` or ``"members"``, see ``read_archive_lines``).
     """
     k = get_kind(kind)
     target = target or k.target
@@ -122,7 +124,7 @@ def load_listing(
     paths, dates = _new_archives(spark, listing, k, sinks, floor, loaded)
     if not paths:
         return []
-    lines = read_archive_lines(spark, paths, k)
+    lines = read_archive_lines(spark, paths, k, reader=reader)
     report = build_report(lines, k, on_date_mismatch, repair_bom, repair_quotes, spread)
     _write(report, sinks, dates)
     return dates

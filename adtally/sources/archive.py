@@ -81,36 +81,51 @@ def choose_new(
     )
 
 
+def matching_members(zf: zipfile.ZipFile, pattern: re.Pattern, first_only: bool, path: str) -> list[str]:
+    """Member names matching ``pattern`` in code-point order (the first only, if asked).
+
+    Raises, naming the archive, when no member matches.
+    """
+    names = sorted(n for n in zf.namelist() if not n.endswith("/") and pattern.search(n))
+    if not names:
+        raise ValueError(f"no report CSV matching {pattern.pattern!r} in archive {path}")
+    return names[:1] if first_only else names
+
+
+def member_line_batches(zf: zipfile.ZipFile, name: str, batch: int) -> Iterator[tuple[int, list[str]]]:
+    r"""``(first line_no, lines)`` batches of one member, streamed while decompressing.
+
+    Lines end at \n, \r\n or \r only (not at U+2028 and friends, which occur inside
+    user-typed disclaimers); bytes that are not UTF-8 become U+FFFD; the BOM stays in the
+    text. Blank lines before the first non-blank one are not counted.
+    """
+    with zf.open(name) as raw:
+        text = io.TextIOWrapper(raw, encoding="utf-8", errors="replace", newline=None)
+        buf: list[str] = []
+        line_no = -1
+        for line in text:
+            if line.endswith("\n"):
+                line = line[:-1]
+            if line_no < 0:
+                if line.replace(_BOM, "") == "":
+                    continue
+                line_no = 0
+            buf.append(line)
+            line_no += 1
+            if len(buf) >= batch:
+                yield line_no - len(buf), buf
+                buf = []
+        if buf:
+            yield line_no - len(buf), buf
+
+
 def _member_lines(
     path: str, content: bytes, pattern: re.Pattern, first_only: bool, batch: int
 ) -> Iterator[pd.DataFrame]:
     with zipfile.ZipFile(io.BytesIO(content)) as zf:
-        names = sorted(n for n in zf.namelist() if not n.endswith("/") and pattern.search(n))
-        if not names:
-            raise ValueError(f"no report CSV matching {pattern.pattern!r} in archive {path}")
-        if first_only:
-            names = names[:1]
-        for name in names:
-            with zf.open(name) as raw:
-                # newline=None splits on \n, \r\n and \r only (not on U+2028 and friends,
-                # which occur inside user-typed disclaimers); the BOM stays in the text
-                text = io.TextIOWrapper(raw, encoding="utf-8", errors="replace", newline=None)
-                buf: list[str] = []
-                line_no = -1
-                for line in text:
-                    if line.endswith("\n"):
-                        line = line[:-1]
-                    if line_no < 0:
-                        if line.replace(_BOM, "") == "":
-                            continue  # blank lines before the header are not counted
-                        line_no = 0
-                    buf.append(line)
-                    line_no += 1
-                    if len(buf) >= batch:
-                        yield _frame(path, name, line_no - len(buf), buf)
-                        buf = []
-                if buf:
-                    yield _frame(path, name, line_no - len(buf), buf)
+        for name in matching_members(zf, pattern, first_only, path):
+            for first_no, lines in member_line_batches(zf, name, batch):
+                yield _frame(path, name, first_no, lines)
 
 
 def _frame(path: str, member: str, first_no: int, lines: list[str]) -> pd.DataFrame:
@@ -149,14 +164,24 @@ def read_archive_lines(
     spark: SparkSession,
     paths: list[str],
     kind: str | ReportKind,
+    reader: str = "archive",
 ) -> DataFrame:
     """Load the given archives and return their member lines for ``kind``.
 
     ``paths`` are the few archives chosen by :func:`choose_new` (file names, not data).
-    An archive cannot be split, so one task unpacks it; ``spread_lines`` afterwards lets
-    the parsing of a few large archives use many cores.
+    ``reader="archive"``: ``binaryFile`` + ``mapInPandas``, one task per archive (any
+    Hadoop file system; an archive must stay below 2 GB). ``reader="members"``: the
+    ``report_zip_members`` data source, one task per (archive, member) reading only that
+    member's bytes (file systems reachable through pyarrow). Either way an archive member
+    is decompressed by one task; ``spread_lines`` afterwards spreads the parsing.
     """
     k = get_kind(kind)
+    if reader == "members":
+        from adtally.sources.zip_members import read_members
+
+        return read_members(spark, paths, k.member_regex, k.first_member_only)
+    if reader != "archive":
+        raise ValueError("reader must be 'archive' or 'members'")
     content = spark.read.format("binaryFile").load(paths)
     return unzip_lines(content, k.member_regex, k.first_member_only)
 

@@ -218,3 +218,39 @@ def test_loaded_dates_from_another_source(spark, fresh_db, tmp_path):
     daily_archive(src, "2021-03-02")
     loaded = spark.createDataFrame([("2021-03-01",)], "date string")
     assert run_batch(spark, "daily", src, target=f"{fresh_db}.d", loaded=loaded) == ["2021-03-02"]
+
+
+@pytest.mark.parametrize("reader", ["archive", "members"])
+def test_both_readers_give_the_same_table(spark, fresh_db, tmp_path, reader):
+    src = str(tmp_path / "Weekly")
+    date = "2021-03-07"
+    members = {
+        region_member("last_7_days", date, r): csv_text(HEADER_REGION, [f"{i},A,B,{10 * i}", '9,C,"Open,5'])
+        for i, r in enumerate(["Ohio", "Utah", "New York"], start=1)
+    }
+    members["regions/readme.txt"] = "ignore me"
+    write_zip(os.path.join(src, archive_name("last_7_days", date)), members)
+    t = f"{fresh_db}.w_{reader}"
+    assert run_batch(spark, "weekly_region", src, target=t, reader=reader) == [date]
+    got = sorted(tuple(r) for r in spark.table(t).collect())
+    assert got == sorted(
+        [("A", "B", 10 * i, r, str(i), date) for i, r in enumerate(["Ohio", "Utah", "New York"], 1)]
+        + [("C", "Open", 5, r, "9", date) for r in ["Ohio", "Utah", "New York"]]
+    )
+
+
+def test_member_reader_partitions_and_errors(spark, tmp_path):
+    from adtally.sources.zip_members import read_members
+
+    src = str(tmp_path / "z")
+    a = write_zip(os.path.join(src, "a.zip"), {"x1.csv": "h\n1\n2\n", "x2.csv": "h\n3\n", "y.txt": "no"})
+    lines = read_members(spark, [a], r"\.csv$")
+    assert lines.rdd.getNumPartitions() == 2
+    assert sorted((r.member, r.line_no, r.line) for r in lines.collect()) == [
+        ("x1.csv", 0, "h"), ("x1.csv", 1, "1"), ("x1.csv", 2, "2"), ("x2.csv", 0, "h"), ("x2.csv", 1, "3"),
+    ]
+    first = read_members(spark, [a], r"\.csv$", first_member_only=True)
+    assert {r.member for r in first.collect()} == {"x1.csv"}
+    b = write_zip(os.path.join(src, "b.zip"), {"y.txt": "no"})
+    with pytest.raises(Exception, match="b.zip"):
+        read_members(spark, [b], r"\.csv$").collect()
