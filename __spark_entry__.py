@@ -221,7 +221,7 @@ def _archives(spark: SparkSession, lines: DataFrame, name: str) -> str:
 
 
 def _load_archives(
-    spark: SparkSession, d: str, kind: str, lines: DataFrame, reader: str = "archive"
+    spark: SparkSession, d: str, kind: str, lines: DataFrame, reader: str = "auto"
 ) -> DataFrame:
     folder = _archives(spark, lines, f"archives_{kind}")
     table, tfolder = _scratch(spark, f"table_{kind}")
@@ -236,7 +236,12 @@ def q_archive_daily(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_archive_regional(spark: SparkSession, d: str) -> DataFrame:
-    # many region members per archive: one task per member
+    lines = rv.event_archive_lines(spark, d, "last_7_days", regional=True)
+    return _load_archives(spark, d, "weekly_region", lines)
+
+
+def q_archive_regional_members(spark: SparkSession, d: str) -> DataFrame:
+    # many region members per archive: one task per (archive, member)
     lines = rv.event_archive_lines(spark, d, "last_7_days", regional=True)
     return _load_archives(spark, d, "weekly_region", lines, reader="members")
 
@@ -282,6 +287,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "reload_idempotent": q_reload_idempotent,
     "archive_daily": q_archive_daily,
     "archive_regional": q_archive_regional,
+    "archive_regional_members": q_archive_regional_members,
     "archive_lifelong": q_archive_lifelong,
     "stream_ingest": q_stream_ingest,
 }
@@ -473,6 +479,7 @@ ORACLES: dict[str, str] = {
     "reload_idempotent": _DAILY,
     "archive_daily": _DAILY,
     "archive_regional": _REGIONAL,
+    "archive_regional_members": _REGIONAL,
     # the batch load applies the kind's start-date floor
     "archive_lifelong": f"SELECT * FROM ({_LIFELONG}) WHERE date >= '{KINDS['lifelong'].floor_date}'",
     "stream_ingest": _DAILY,

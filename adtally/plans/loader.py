@@ -18,6 +18,7 @@ from adtally.plans.kinds import ReportKind, get_kind
 from adtally.sources.archive import (
     choose_new,
     list_archives,
+    pick_reader,
     read_archive_lines,
     select_archives,
     unzip_lines,
@@ -107,7 +108,7 @@ def load_listing(
     repair_quotes: bool = True,
     spread: bool = True,
     loaded: DataFrame | None = None,
-    reader: str = "archive",
+    reader: str = "auto",
 ) -> list[str]:
     """Load the new reports of an archive listing; return the report dates loaded.
 
@@ -115,29 +116,32 @@ def load_listing(
     Only archives past the floor whose date is missing from a target are read at all.
     ``loaded`` replaces the targets' own dates as the set of loaded dates (for example
     ``loaded_dates_jdbc`` when the rows also go to a relational store). ``reader``
-    picks the archive reader (``"archive"`` or ``"members"``, see ``read_archive_lines``).
+    picks the archive reader (``"archive"`` or ``"members"``, see ``read_archive_lines``);
+    ``"auto"`` takes ``members`` when an archive is at least 64 MiB.
     """
     k = get_kind(kind)
     target = target or k.target
     sinks = [target] + ([second_target] if second_target else [])
     floor = k.floor_date if floor_date == "kind" else floor_date
-    paths, dates = _new_archives(spark, listing, k, sinks, floor, loaded)
+    paths, dates, lengths = _new_archives(spark, listing, k, sinks, floor, loaded)
     if not paths:
         return []
+    if reader == "auto":
+        reader = pick_reader(lengths)
     lines = read_archive_lines(spark, paths, k, reader=reader)
     report = build_report(lines, k, on_date_mismatch, repair_bom, repair_quotes, spread)
     _write(report, sinks, dates)
     return dates
 
 
-def _new_archives(spark, listing, k, sinks, floor, loaded=None) -> tuple[list[str], list[str]]:
+def _new_archives(spark, listing, k, sinks, floor, loaded=None):
     for t in sinks:
         create_target(spark, t, regional=k.regional)
     done = loaded if loaded is not None else loaded_in_all(spark, sinks)
     chosen = choose_new(listing, done, floor)
     # file names and dates of the new reports only: a few rows of metadata
-    rows = chosen.select("path", "report_date").collect()
-    return [r.path for r in rows], sorted(r.report_date for r in rows)
+    rows = chosen.select("path", "report_date", "length").collect()
+    return [r.path for r in rows], sorted(r.report_date for r in rows), [r.length for r in rows]
 
 
 def _write(report: DataFrame, sinks: list[str], dates: list[str]) -> None:
@@ -173,7 +177,7 @@ def run_shared_archives(
     plan = {}
     for k in kinds:
         listing = select_archives(files, k)
-        paths, dates = _new_archives(spark, listing, k, [targets[k.kind]], k.floor_date)
+        paths, dates, _ = _new_archives(spark, listing, k, [targets[k.kind]], k.floor_date)
         if paths:
             plan[k.kind] = (k, paths, dates)
     if not plan:

@@ -38,3 +38,31 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     if path.startswith("/") or path.startswith("file:"):
         os.makedirs(path.removeprefix("file:"), exist_ok=True)
     return path
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``adtally`` importable in the Python workers (once per SparkContext).
+
+    Functions given to ``mapInPandas`` and the ZIP data source refer to this package by
+    module name, so the workers need it; it is zipped and sent with ``addPyFile``, the
+    same way ``--py-files`` would send it to every executor.
+    """
+    import zipfile
+
+    sc = spark.sparkContext
+    if getattr(sc, "_adtally_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    folder = shared_dir(spark, "adtally", "pyfiles")
+    if not (folder.startswith("/") or folder.startswith("file:")):
+        folder = tempfile.mkdtemp(prefix="adtally-pyfiles-")  # shipped by Spark, not read remotely
+    target = os.path.join(folder.removeprefix("file:"), f"adtally-{os.getpid()}-{id(sc)}.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as zf:
+        for here, dirs, files in os.walk(root):
+            dirs[:] = [d for d in dirs if d != "__pycache__"]
+            for name in files:
+                if name.endswith(".py"):
+                    full = os.path.join(here, name)
+                    zf.write(full, os.path.join("adtally", os.path.relpath(full, root)))
+    sc.addPyFile(target)
+    sc._adtally_shipped = True

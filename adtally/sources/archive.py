@@ -69,13 +69,15 @@ def choose_new(
     if loaded_dates is not None:
         dates = loaded_dates.select(F.col("date").cast("string").alias("_loaded"))
         out = out.join(F.broadcast(dates), F.col("report_date") == F.col("_loaded"), "left_anti")
-    latest = F.max(F.struct("modificationTime", "path")).alias("_latest")
+    length = F.col("length") if "length" in out.columns else F.lit(None).cast("long")
+    latest = F.max(F.struct("modificationTime", "path", length.alias("length"))).alias("_latest")
     return (
         out.groupBy("report_date")
         .agg(latest)
         .select(
             F.col("_latest.path").alias("path"),
             F.col("_latest.modificationTime").alias("modificationTime"),
+            F.col("_latest.length").alias("length"),
             "report_date",
         )
     )
@@ -150,6 +152,9 @@ def unzip_lines(
 
     Fails, naming the archive, when an archive holds no matching member.
     """
+    from adtally.session import ship_package
+
+    ship_package(archives.sparkSession)
     pattern = re.compile(member_regex)
 
     def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -160,6 +165,17 @@ def unzip_lines(
     return archives.select("path", "content").mapInPandas(unpack, LINE_SCHEMA)
 
 
+# Archives at least this large are read one member per task by the "auto" reader.
+MEMBER_READER_BYTES = 64 * 1024 * 1024
+
+
+def pick_reader(lengths: list[int | None]) -> str:
+    """``members`` when some archive is large enough for per-member tasks to pay for
+    their planning cost, else ``archive`` (one task per archive)."""
+    largest = max((n or 0 for n in lengths), default=0)
+    return "members" if largest >= MEMBER_READER_BYTES else "archive"
+
+
 def read_archive_lines(
     spark: SparkSession,
     paths: list[str],

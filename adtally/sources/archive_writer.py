@@ -64,6 +64,9 @@ def write_archives(lines: DataFrame, folder: str, partitions: int | None = None)
     Returns one row per archive written: ``archive`` (full URI), ``members``, ``lines``.
     An action on the result performs the writes.
     """
+    from adtally.session import ship_package
+
+    ship_package(lines.sparkSession)
     base = folder.rstrip("/")
     if base.startswith("/"):
         base = "file://" + base

@@ -90,6 +90,9 @@ def read_members(
     batch_lines: int = 10_000,
 ) -> DataFrame:
     """Member lines of the given archives, one partition per matching member."""
+    from adtally.session import ship_package
+
+    ship_package(spark)
     spark.dataSource.register(ReportZipMembers)
     return (
         spark.read.format(FORMAT)
