@@ -44,25 +44,38 @@ def ship_package(spark: SparkSession) -> None:
     """Make ``adtally`` importable in the Python workers (once per SparkContext).
 
     Functions given to ``mapInPandas`` and the ZIP data source refer to this package by
-    module name, so the workers need it; it is zipped and sent with ``addPyFile``, the
-    same way ``--py-files`` would send it to every executor.
+    module name, so the workers need it. It is zipped in memory, written to the shared
+    folder (any file system pyarrow can open) and sent with ``addPyFile``, the same way
+    ``--py-files`` would send it to every executor.
     """
+    import hashlib
+    import io
     import zipfile
 
+    from pyarrow import fs
+
     sc = spark.sparkContext
     if getattr(sc, "_adtally_shipped", False):
         return
     root = os.path.dirname(os.path.abspath(__file__))
-    folder = shared_dir(spark, "adtally", "pyfiles")
-    if not (folder.startswith("/") or folder.startswith("file:")):
-        folder = tempfile.mkdtemp(prefix="adtally-pyfiles-")  # shipped by Spark, not read remotely
-    target = os.path.join(folder.removeprefix("file:"), f"adtally-{os.getpid()}-{id(sc)}.zip")
-    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as zf:
-        for here, dirs, files in os.walk(root):
-            dirs[:] = [d for d in dirs if d != "__pycache__"]
-            for name in files:
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
+        for here, dirs, files in sorted(os.walk(root)):
+            dirs[:] = sorted(d for d in dirs if d != "__pycache__")
+            for name in sorted(files):
                 if name.endswith(".py"):
                     full = os.path.join(here, name)
                     zf.write(full, os.path.join("adtally", os.path.relpath(full, root)))
-    sc.addPyFile(target)
+    data = buf.getvalue()
+    uri = shared_dir(spark, "adtally", "pyfiles") + f"/adtally-{hashlib.sha1(data).hexdigest()[:12]}.zip"
+    target = uri
+    if target.startswith("/"):
+        target = "file://" + target
+    elif target.startswith("file:") and not target.startswith("file://"):
+        target = "file://" + target[len("file:"):]
+    filesystem, path = fs.FileSystem.from_uri(target)
+    filesystem.create_dir(path.rsplit("/", 1)[0], recursive=True)
+    with filesystem.open_output_stream(path) as out:
+        out.write(data)
+    sc.addPyFile(uri)
     sc._adtally_shipped = True
