@@ -88,7 +88,7 @@ def _parse_struct(line: Column, width: int) -> Column:
     # the regex runs only on the few lines that have an empty field at all
     has_empty = clean.contains(",,") | clean.startswith(",") | clean.endswith(",")
     marked = F.when(
-        has_empty, F.regexp_replace(clean, r"(^|,)(?=,|$)", "$1" + _MARK)
+        has_empty, F.regexp_replace(clean, r"(?<=^|,)(?=,|$)", _MARK)
     ).otherwise(clean)
     return F.from_csv(marked, schema, _CSV_OPTIONS)
 

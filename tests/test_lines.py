@@ -134,3 +134,9 @@ def test_permuting_lines_changes_nothing(spark):
         map(tuple, b.select(cols).collect()), key=str
     )
     assert F  # keep import used
+
+
+def test_leading_empty_fields_all_count(spark):
+    got = parsed(spark, [",,D,5,1", ",,,,", "1,,,,"], clean=False)
+    assert [(r["n_fields"], r["status"]) for r in got] == [(5, "ok"), (5, "ok"), (5, "ok")]
+    assert (got[0]["page_id"], got[0]["page_name"], got[0]["disclaimer"]) == (None, None, "D")
