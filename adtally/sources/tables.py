@@ -8,6 +8,7 @@ name, never by position.
 
 from __future__ import annotations
 
+import threading
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -72,15 +73,22 @@ def loaded_in_all(spark: SparkSession, tables: list[str]) -> DataFrame:
     return out
 
 
+_OVERWRITE_LOCK = threading.Lock()
+
+
 @contextmanager
 def _dynamic_overwrite(spark: SparkSession):
+    # insertInto ignores a per-write partitionOverwriteMode option and the v2 writer
+    # refuses v1 file tables, so the session setting is switched for the write; the lock
+    # keeps concurrent loads in one process from interleaving the switch
     key = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "dynamic")
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
+    with _OVERWRITE_LOCK:
+        before = spark.conf.get(key)
+        spark.conf.set(key, "dynamic")
+        try:
+            yield
+        finally:
+            spark.conf.set(key, before)
 
 
 def _by_name(spark: SparkSession, df: DataFrame, table: str) -> DataFrame:

@@ -140,3 +140,10 @@ def test_leading_empty_fields_all_count(spark):
     got = parsed(spark, [",,D,5,1", ",,,,", "1,,,,"], clean=False)
     assert [(r["n_fields"], r["status"]) for r in got] == [(5, "ok"), (5, "ok"), (5, "ok")]
     assert (got[0]["page_id"], got[0]["page_name"], got[0]["disclaimer"]) == (None, None, "D")
+
+
+def test_quoted_line_break_pieces_come_out_short(spark):
+    # a quoted field with a real line break arrives as two lines; each has one quote
+    got = parsed(spark, ['1,P,"multi', 'line",5,1'], clean=False)
+    assert [(r["status"], r["n_fields"]) for r in got] == [("short", 3), ("short", 3)]
+    assert got[0]["disclaimer"] == "multi" and got[1]["page_id"] == "line"
