@@ -43,7 +43,7 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
 def ship_package(spark: SparkSession) -> None:
     """Make ``adtally`` importable in the Python workers (once per SparkContext).
 
-    Functions given to ``mapInPandas`` and the ZIP data source refer to this package by
+    Functions given to ``mapInArrow`` and the ZIP data source refer to this package by
     module name, so the workers need it. It is zipped in memory, written to the shared
     folder (any file system pyarrow can open) and sent with ``addPyFile``, the same way
     ``--py-files`` would send it to every executor.

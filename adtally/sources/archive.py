@@ -2,7 +2,7 @@
 
 Listing reads file metadata only (``binaryFile`` with ``content`` pruned), so the date
 floor and the loaded-date anti join run before a single archive byte is read. Contents are
-then loaded for the surviving archives alone and unpacked by a ``mapInPandas`` task per
+then loaded for the surviving archives alone and unpacked by a ``mapInArrow`` task per
 input partition that streams member lines in bounded batches.
 """
 
@@ -13,7 +13,7 @@ import re
 import zipfile
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -121,25 +121,32 @@ def member_line_batches(zf: zipfile.ZipFile, name: str, batch: int) -> Iterator[
             yield line_no - len(buf), buf
 
 
+LINE_ARROW_SCHEMA = pa.schema(
+    [("path", pa.string()), ("member", pa.string()), ("line_no", pa.int64()), ("line", pa.string())]
+)
+
+
+def line_batch(path: str, member: str, first_no: int, lines: list[str]) -> pa.RecordBatch:
+    """One Arrow batch of member lines."""
+    n = len(lines)
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array([path] * n, pa.string()),
+            pa.array([member] * n, pa.string()),
+            pa.array(range(first_no, first_no + n), pa.int64()),
+            pa.array(lines, pa.string()),
+        ],
+        schema=LINE_ARROW_SCHEMA,
+    )
+
+
 def _member_lines(
     path: str, content: bytes, pattern: re.Pattern, first_only: bool, batch: int
-) -> Iterator[pd.DataFrame]:
+) -> Iterator[pa.RecordBatch]:
     with zipfile.ZipFile(io.BytesIO(content)) as zf:
         for name in matching_members(zf, pattern, first_only, path):
             for first_no, lines in member_line_batches(zf, name, batch):
-                yield _frame(path, name, first_no, lines)
-
-
-def _frame(path: str, member: str, first_no: int, lines: list[str]) -> pd.DataFrame:
-    n = len(lines)
-    return pd.DataFrame(
-        {
-            "path": [path] * n,
-            "member": [member] * n,
-            "line_no": range(first_no, first_no + n),
-            "line": lines,
-        }
-    )
+                yield line_batch(path, name, first_no, lines)
 
 
 def unzip_lines(
@@ -150,19 +157,23 @@ def unzip_lines(
 ) -> DataFrame:
     """Lines of the matching members of each archive row (``path``, ``content``).
 
-    Fails, naming the archive, when an archive holds no matching member.
+    Arrow batches in and out (``mapInArrow``), no pandas conversion. Fails, naming the
+    archive, when an archive holds no matching member.
     """
     from adtally.session import ship_package
 
     ship_package(archives.sparkSession)
     pattern = re.compile(member_regex)
 
-    def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for path, content in zip(pdf["path"], pdf["content"]):
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            paths = b.column("path").to_pylist()
+            contents = b.column("content")
+            for i, path in enumerate(paths):
+                content = contents[i].as_py()
                 yield from _member_lines(path, content, pattern, first_member_only, batch_lines)
 
-    return archives.select("path", "content").mapInPandas(unpack, LINE_SCHEMA)
+    return archives.select("path", "content").mapInArrow(unpack, LINE_SCHEMA)
 
 
 # Archives at least this large are read one member per task by the "auto" reader.
@@ -185,7 +196,7 @@ def read_archive_lines(
     """Load the given archives and return their member lines for ``kind``.
 
     ``paths`` are the few archives chosen by :func:`choose_new` (file names, not data).
-    ``reader="archive"``: ``binaryFile`` + ``mapInPandas``, one task per archive (any
+    ``reader="archive"``: ``binaryFile`` + ``mapInArrow``, one task per archive (any
     Hadoop file system; an archive must stay below 2 GB). ``reader="members"``: the
     ``report_zip_members`` data source, one task per (archive, member) reading only that
     member's bytes (file systems reachable through pyarrow). Either way an archive member

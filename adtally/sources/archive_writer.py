@@ -11,7 +11,7 @@ from __future__ import annotations
 import zipfile
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,14 +37,15 @@ class _ArchiveStream:
         self.members = 0
         self.lines = 0
 
-    def write(self, member: str, line: str) -> None:
+    def write(self, member: str, lines: list[str]) -> None:
+        """Append lines to ``member`` (members arrive one after the other)."""
         if member != self.member:
             self._close_member()
             self.handle = self.zf.open(member, "w", force_zip64=True)
             self.member = member
             self.members += 1
-        self.handle.write(line.encode("utf-8") + b"\n")
-        self.lines += 1
+        self.handle.write(("\n".join(lines) + "\n").encode("utf-8"))
+        self.lines += len(lines)
 
     def _close_member(self) -> None:
         if self.handle is not None:
@@ -76,19 +77,28 @@ def write_archives(lines: DataFrame, folder: str, partitions: int | None = None)
         .sortWithinPartitions("archive", "member", "line_no")
     )
 
-    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current: _ArchiveStream | None = None
         done = []
-        for pdf in batches:
-            for archive, member, line in zip(pdf["archive"], pdf["member"], pdf["line"]):
-                uri = f"{base}/{archive}"
+        for b in batches:
+            archives, members, texts = (b.column(c).to_pylist() for c in ("archive", "member", "line"))
+            start = 0
+            for i in range(1, len(texts) + 1):
+                # one write per run of lines of the same archive member
+                if i < len(texts) and archives[i] == archives[start] and members[i] == members[start]:
+                    continue
+                uri = f"{base}/{archives[start]}"
                 if current is None or current.uri != uri:
                     if current is not None:
                         done.append(current.close())
                     current = _ArchiveStream(uri)
-                current.write(member, line)
+                current.write(members[start], texts[start:i])
+                start = i
         if current is not None:
             done.append(current.close())
-        yield pd.DataFrame(done, columns=["archive", "members", "lines"])
+        yield pa.RecordBatch.from_pylist(
+            [dict(zip(("archive", "members", "lines"), d)) for d in done],
+            schema=pa.schema([("archive", pa.string()), ("members", pa.int64()), ("lines", pa.int64())]),
+        )
 
-    return ordered.mapInPandas(write, WRITTEN_SCHEMA).filter(F.col("archive").isNotNull())
+    return ordered.mapInArrow(write, WRITTEN_SCHEMA).filter(F.col("archive").isNotNull())

@@ -16,12 +16,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from adtally.sources.archive import LINE_SCHEMA, matching_members, member_line_batches
+from adtally.sources.archive import LINE_SCHEMA, line_batch, matching_members, member_line_batches
 
 FORMAT = "report_zip_members"
-_ARROW_SCHEMA = pa.schema(
-    [("path", pa.string()), ("member", pa.string()), ("line_no", pa.int64()), ("line", pa.string())]
-)
 
 
 def _open(uri: str):
@@ -55,16 +52,7 @@ class _Reader(DataSourceReader):
         path, name = partition.value
         with _open(path) as f, zipfile.ZipFile(f) as zf:
             for first_no, lines in member_line_batches(zf, name, self.batch):
-                n = len(lines)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([path] * n, pa.string()),
-                        pa.array([name] * n, pa.string()),
-                        pa.array(range(first_no, first_no + n), pa.int64()),
-                        pa.array(lines, pa.string()),
-                    ],
-                    schema=_ARROW_SCHEMA,
-                )
+                yield line_batch(path, name, first_no, lines)
 
 
 class ReportZipMembers(DataSource):
