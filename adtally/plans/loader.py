@@ -24,6 +24,7 @@ from adtally.sources.archive import (
     unzip_lines,
 )
 from adtally.sources.tables import (
+    Sink,
     create_target,
     loaded_in_all,
     overwrite_dates,
@@ -100,8 +101,8 @@ def load_listing(
     spark: SparkSession,
     listing: DataFrame,
     kind: str | ReportKind,
-    target: str | None = None,
-    second_target: str | None = None,
+    target: Sink | None = None,
+    second_target: Sink | None = None,
     floor_date: str | None = "kind",
     on_date_mismatch: str = "fail",
     repair_bom: bool = True,
@@ -136,7 +137,8 @@ def load_listing(
 
 def _new_archives(spark, listing, k, sinks, floor, loaded=None):
     for t in sinks:
-        create_target(spark, t, regional=k.regional)
+        if isinstance(t, str):
+            create_target(spark, t, regional=k.regional)
     done = loaded if loaded is not None else loaded_in_all(spark, sinks)
     chosen = choose_new(listing, done, floor)
     # file names and dates of the new reports only: a few rows of metadata

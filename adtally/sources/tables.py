@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import threading
 from contextlib import contextmanager
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -63,10 +64,47 @@ def loaded_dates_jdbc(spark: SparkSession, url: str, table: str, **props: str) -
     )
 
 
-def loaded_in_all(spark: SparkSession, tables: list[str]) -> DataFrame:
+@dataclass(frozen=True)
+class PathSink:
+    """A date-partitioned folder in any file format Spark writes (``parquet``, ``orc``,
+    ``json``, a connector's format name...), used where a table name is accepted."""
+
+    path: str
+    format: str = "parquet"
+    options: dict[str, str] = field(default_factory=dict)
+
+    def __hash__(self) -> int:
+        return hash((self.path, self.format))
+
+
+Sink = str | PathSink
+
+
+def read_sink(spark: SparkSession, sink: Sink) -> DataFrame | None:
+    """Rows of a sink with ``date`` as text, or None for a folder not written yet."""
+    if isinstance(sink, str):
+        return spark.table(sink)
+    try:
+        df = spark.read.format(sink.format).options(**sink.options).load(sink.path)
+    except Exception:  # noqa: BLE001 - the folder does not exist yet
+        return None
+    return df.withColumn("date", F.col("date").cast("string"))
+
+
+def sink_dates(spark: SparkSession, sink: Sink) -> DataFrame:
+    """Distinct loaded dates of a table or folder sink."""
+    if isinstance(sink, str):
+        return loaded_dates(spark, sink)
+    df = read_sink(spark, sink)
+    if df is None:
+        return spark.createDataFrame([], "date string")
+    return df.select("date").distinct()
+
+
+def loaded_in_all(spark: SparkSession, tables: list[Sink]) -> DataFrame:
     """Dates present in every one of ``tables``: a date counts as loaded only when all
     sinks have it, so a crash between two sink writes is repaired by the next run."""
-    frames = [loaded_dates(spark, t) for t in tables]
+    frames = [sink_dates(spark, t) for t in tables]
     out = frames[0]
     for f in frames[1:]:
         out = out.join(f, "date", "left_semi")
@@ -96,14 +134,23 @@ def _by_name(spark: SparkSession, df: DataFrame, table: str) -> DataFrame:
     return df.select(*[F.col(c) for c in cols])
 
 
-def overwrite_dates(df: DataFrame, table: str) -> None:
+def overwrite_dates(df: DataFrame, table: Sink, columns: list[str] | None = None) -> None:
     """Replace the date partitions present in ``df`` (idempotent load per date).
 
     The ``rebalance`` hint lets adaptive execution split a date that holds a large share
     of the rows over several writers and merge small dates, instead of one file per
-    shuffle partition and date.
+    shuffle partition and date. A ``PathSink`` is written with ``columns`` (default: the
+    frame's) partitioned by ``date``.
     """
     spark = df.sparkSession
+    if isinstance(table, PathSink):
+        cols = [c for c in (columns or df.columns) if c != "date"] + ["date"]
+        (
+            df.select(*cols).hint("rebalance", "date").write.format(table.format)
+            .options(**table.options).mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic").partitionBy("date").save(table.path)
+        )
+        return
     out = _by_name(spark, df, table).hint("rebalance", "date")
     with _dynamic_overwrite(spark):
         out.write.insertInto(table, overwrite=True)
@@ -115,8 +162,8 @@ def append(df: DataFrame, table: str) -> None:
     _by_name(spark, df, table).write.insertInto(table, overwrite=False)
 
 
-def overwrite_dates_two_sinks(df: DataFrame, first: str, second: str, dates: list[str]) -> None:
-    """Write the same rows, all of report dates ``dates``, to two tables.
+def overwrite_dates_two_sinks(df: DataFrame, first: Sink, second: Sink, dates: list[str]) -> None:
+    """Write the same rows, all of report dates ``dates``, to two sinks.
 
     The frame is computed once: the second sink is filled from the date partitions just
     written to the first (partition pruning on ``date``), which also cuts the lineage
@@ -124,8 +171,8 @@ def overwrite_dates_two_sinks(df: DataFrame, first: str, second: str, dates: lis
     """
     spark = df.sparkSession
     overwrite_dates(df, first)
-    written = spark.table(first).filter(F.col("date").isin(list(dates)))
-    overwrite_dates(written, second)
+    written = read_sink(spark, first).filter(F.col("date").isin(list(dates)))
+    overwrite_dates(written, second, columns=df.columns)
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "append", **props: str) -> None:

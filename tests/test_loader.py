@@ -254,3 +254,20 @@ def test_member_reader_partitions_and_errors(spark, tmp_path):
     b = write_zip(os.path.join(src, "b.zip"), {"y.txt": "no"})
     with pytest.raises(Exception, match="b.zip"):
         read_members(spark, [b], r"\.csv$").collect()
+
+
+def test_second_sink_in_another_format(spark, fresh_db, tmp_path):
+    from adtally.sources.tables import PathSink
+
+    src = str(tmp_path / "Lifelong")
+    date = "2021-03-01"
+    members = {national_member("lifelong", date): csv_text(HEADER_NEW, ["1,A,B,10,1", "2,C,D,≤100,3"])}
+    write_zip(os.path.join(src, archive_name("lifelong", date)), members)
+    sink = PathSink(str(tmp_path / "warehouse_lifelong"), format="json")
+    first = f"{fresh_db}.fb_lifelong"
+    assert run_batch(spark, "lifelong", src, target=first, second_target=sink) == [date]
+    back = spark.read.json(sink.path)
+    got = sorted((r.page_name, r.amt_spent, r.num_of_ads, str(r.date)) for r in back.collect())
+    assert got == [("A", 10, 1, date), ("C", 100, 3, date)]
+    # both sinks have the date: a second run loads nothing
+    assert run_batch(spark, "lifelong", src, target=first, second_target=sink) == []
