@@ -21,16 +21,36 @@ def input_partitions(df: DataFrame) -> int | None:
         return None
 
 
+# Input bytes per spread partition: small enough that a single parquet file of a few MB
+# feeds every local core, large enough that a small file on a cluster with thousands of
+# cores does not become thousands of tiny tasks.
+SPREAD_BYTES = 128 * 1024
+
+
+def estimated_bytes(df: DataFrame) -> int | None:
+    """Catalyst's size estimate of the frame (None when unknown)."""
+    try:
+        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        return int(size) if isinstance(size, int) else int(size.toString())
+    except Exception:  # noqa: BLE001
+        return None
+
+
 def spread(df: DataFrame, *keys: str, partitions: int | None = None) -> DataFrame:
-    """Hash-partition ``df`` on ``keys`` when it has fewer partitions than cores.
+    """Hash-partition ``df`` on ``keys`` when it has fewer partitions than it should.
 
     A single small file, one parquet row group or a few unsplittable archives give one
-    task for all the per-row work that follows; spreading lets it use every core. With at
-    least ``partitions`` input partitions (the usual case on large inputs), or when the
-    plan already ends in a shuffle, the frame is returned unchanged and no shuffle is
-    added. ``keys`` should be close to unique so that no partition receives a hot key.
+    task for all the per-row work that follows; spreading lets it use more cores. The
+    target is ``partitions`` (default: the cluster's cores), capped at one partition per
+    ``SPREAD_BYTES`` of estimated input. With at least that many input partitions (the
+    usual case on large inputs), or when the plan already ends in a shuffle, the frame is
+    returned unchanged and no shuffle is added. ``keys`` should be close to unique so
+    that no partition receives a hot key.
     """
     target = partitions or df.sparkSession.sparkContext.defaultParallelism
+    size = estimated_bytes(df)
+    if size is not None:
+        target = max(1, min(target, size // SPREAD_BYTES))
     n = input_partitions(df)
     if n is None or n >= target:
         return df
