@@ -48,8 +48,17 @@ def create_like(spark: SparkSession, table: str, like: str, location: str | None
 
 
 def loaded_dates(spark: SparkSession, table: str) -> DataFrame:
-    """Distinct report dates already in a table, as one string column ``date``."""
-    return spark.table(table).select(F.col("date").cast("string").alias("date")).distinct()
+    """Distinct report dates already in a table, as one string column ``date``.
+
+    Dates are partition values, so the catalog answers without opening a data file
+    (``SHOW PARTITIONS``); writes here only ever create partitions that hold rows. A
+    table whose partitions the catalog does not track is scanned instead.
+    """
+    try:
+        parts = spark.sql(f"SHOW PARTITIONS {table}")
+        return parts.select(F.regexp_extract("partition", r"^date=(.*)$", 1).alias("date"))
+    except Exception:  # noqa: BLE001 - not partitioned by date, or not tracked
+        return spark.table(table).select(F.col("date").cast("string").alias("date")).distinct()
 
 
 def loaded_dates_jdbc(spark: SparkSession, url: str, table: str, **props: str) -> DataFrame:
