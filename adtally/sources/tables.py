@@ -185,5 +185,5 @@ def overwrite_dates_two_sinks(df: DataFrame, first: Sink, second: Sink, dates: l
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "append", **props: str) -> None:
-    """Append to a relational table over JDBC (the reference's SQL store)."""
+    """Append to a relational table over JDBC."""
     df.write.jdbc(url, table, mode=mode, properties=props)
