@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 
 from pyspark.sql import SparkSession
 
@@ -40,6 +41,9 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     return path
 
 
+_SHIP_LOCK = threading.Lock()
+
+
 def ship_package(spark: SparkSession) -> None:
     """Make ``adtally`` importable in the Python workers (once per SparkContext).
 
@@ -48,6 +52,14 @@ def ship_package(spark: SparkSession) -> None:
     folder (any file system pyarrow can open) and sent with ``addPyFile``, the same way
     ``--py-files`` would send it to every executor.
     """
+    sc = spark.sparkContext
+    with _SHIP_LOCK:
+        if not getattr(sc, "_adtally_shipped", False):
+            _ship(spark)
+            sc._adtally_shipped = True
+
+
+def _ship(spark: SparkSession) -> None:
     import hashlib
     import io
     import zipfile
@@ -55,8 +67,6 @@ def ship_package(spark: SparkSession) -> None:
     from pyarrow import fs
 
     sc = spark.sparkContext
-    if getattr(sc, "_adtally_shipped", False):
-        return
     root = os.path.dirname(os.path.abspath(__file__))
     buf = io.BytesIO()
     with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
@@ -78,4 +88,3 @@ def ship_package(spark: SparkSession) -> None:
     with filesystem.open_output_stream(path) as out:
         out.write(data)
     sc.addPyFile(uri)
-    sc._adtally_shipped = True
