@@ -271,3 +271,35 @@ def test_second_sink_in_another_format(spark, fresh_db, tmp_path):
     assert got == [("A", 10, 1, date), ("C", 100, 3, date)]
     # both sinks have the date: a second run loads nothing
     assert run_batch(spark, "lifelong", src, target=first, second_target=sink) == []
+
+
+@pytest.mark.parametrize(
+    "kind,label",
+    [("daily_region", "yesterday"), ("weekly_region", "last_7_days"),
+     ("30days_region", "last_30_days"), ("90days_region", "last_90_days")],
+)
+def test_every_regional_kind(spark, fresh_db, tmp_path, kind, label):
+    src = str(tmp_path / kind)
+    date = "2022-05-31"
+    members = {
+        region_member(label, date, "Ohio"): csv_text(HEADER_REGION, ["1,A,B,10", "1,A,B,5"]),
+        region_member(label, date, "District of Columbia"): csv_text(HEADER_REGION, ["2,C,D,≤100"]),
+    }
+    if kind == "daily_region":
+        members[national_member(label, date)] = csv_text(HEADER_NEW, ["9,Z,Z,1,1"])
+    write_zip(os.path.join(src, archive_name(label, date)), members)
+    t = f"{fresh_db}.{kind}"
+    assert run_batch(spark, kind, src, target=t) == [date]
+    got = sorted((r.region, r.page_id, r.amt_spent) for r in spark.table(t).collect())
+    assert got == [("District of Columbia", "2", 100), ("Ohio", "1", 15)]
+
+
+def test_reader_line_ends_and_unicode_separators(spark, fresh_db, tmp_path):
+    src = str(tmp_path / "Daily")
+    date = "2021-03-01"
+    text = (HEADER_NEW + "\r\n" + "1,A,Fund\u2028Two,10,1\r\n" + "2,B,X\u0085Y,5,1\r" + "3,C,D,1,1\n").encode("utf-8")
+    write_zip(os.path.join(src, archive_name("yesterday", date)), {national_member("yesterday", date): text})
+    t = f"{fresh_db}.d"
+    run_batch(spark, "daily", src, target=t)
+    got = sorted((r.page_id, r.disclaimer, r.amt_spent) for r in spark.table(t).collect())
+    assert got == [("1", "Fund\u2028Two", 10), ("2", "X\u0085Y", 5), ("3", "D", 1)]
