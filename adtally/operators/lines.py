@@ -13,6 +13,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from adtally.functions.clean import NA_TEXT, amount_value
+from adtally.operators.partitioning import spread
 
 BOM = "\ufeff"
 # Placed in empty unquoted fields before parsing so that a present-but-empty field can be
@@ -100,7 +102,7 @@ def _width_sql(struct: str, width: int) -> str:
 
 def _field_sql(struct: str, i: int) -> str:
     # marker out; empty text and NA to null
-    return f"nullif(nullif(replace({struct}.f{i}, char(1), ''), ''), 'NA')"
+    return f"nullif(nullif(replace({struct}.f{i}, char(1), ''), ''), '{NA_TEXT}')"
 
 
 def parse_lines(
@@ -173,8 +175,6 @@ def parse_lines(
 
 def parse_problems(parsed: DataFrame, keys: tuple[str, ...] = ("path", "member")) -> DataFrame:
     """Count of records per file and parse status (the reader's warnings, as data)."""
-    from adtally.functions.clean import amount_value
-
     return (
         parsed.withColumn("amount_invalid", amount_value("amount_spent").isNull())
         .groupBy(*keys, "status", "amount_invalid")
@@ -185,6 +185,4 @@ def parse_problems(parsed: DataFrame, keys: tuple[str, ...] = ("path", "member")
 def spread_lines(df: DataFrame, partitions: int | None = None) -> DataFrame:
     """Spread lines over the cores by their position when the input has few partitions
     (see ``adtally.operators.partitioning.spread``): parsing is the costly per-line step."""
-    from adtally.operators.partitioning import spread
-
     return spread(df, "path", "member", "line_no", partitions=partitions)
