@@ -3,7 +3,9 @@
 Rows ``archive, member, line_no, line`` are hash-partitioned by archive and sorted, and
 each task streams its archives member by member into ZIP files through pyarrow's
 filesystem layer (local paths, HDFS or object stores alike). Nothing is gathered in
-memory: a member is compressed while its lines arrive.
+memory: a member is compressed while its lines arrive. Each archive is written under a
+hidden name of its own task attempt and moved into place when complete, so a retried or
+speculative task never exposes a half-written archive to a listing.
 """
 
 from __future__ import annotations
@@ -18,19 +20,24 @@ from pyspark.sql import functions as F
 WRITTEN_SCHEMA = "archive string, members long, lines long"
 
 
-def _open_output(uri: str):
-    from pyarrow import fs
+def _attempt_tag() -> str:
+    from pyspark import TaskContext
 
-    filesystem, path = fs.FileSystem.from_uri(uri)
-    parent = path.rsplit("/", 1)[0]
-    filesystem.create_dir(parent, recursive=True)
-    return filesystem.open_output_stream(path)
+    ctx = TaskContext.get()
+    return f"{ctx.taskAttemptId()}" if ctx is not None else "driver"
 
 
 class _ArchiveStream:
     def __init__(self, uri: str):
+        from pyarrow import fs
+
         self.uri = uri
-        self.out = _open_output(uri)
+        self.fs, self.path = fs.FileSystem.from_uri(uri)
+        parent, name = self.path.rsplit("/", 1)
+        self.fs.create_dir(parent, recursive=True)
+        # hidden to Spark's file listing (leading dot) and to the *.zip glob
+        self.tmp = f"{parent}/.{name}.{_attempt_tag()}.tmp"
+        self.out = self.fs.open_output_stream(self.tmp)
         self.zf = zipfile.ZipFile(self.out, "w", compression=zipfile.ZIP_DEFLATED)
         self.member = None
         self.handle = None
@@ -56,6 +63,7 @@ class _ArchiveStream:
         self._close_member()
         self.zf.close()
         self.out.close()
+        self.fs.move(self.tmp, self.path)
         return self.uri, self.members, self.lines
 
 
