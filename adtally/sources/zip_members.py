@@ -40,13 +40,18 @@ class _Reader(DataSourceReader):
         self.batch = int(options.get("batch_lines", "10000"))
 
     def partitions(self) -> list[InputPartition]:
+        from concurrent.futures import ThreadPoolExecutor
+
         pattern = re.compile(self.pattern)
-        parts = []
-        for path in self.paths:
+
+        def members(path: str) -> list[str]:
+            # reads only the central directory at the end of the archive
             with _open(path) as f, zipfile.ZipFile(f) as zf:
-                for name in matching_members(zf, pattern, self.first_only, path):
-                    parts.append(InputPartition((path, name)))
-        return parts
+                return matching_members(zf, pattern, self.first_only, path)
+
+        with ThreadPoolExecutor(max_workers=16) as pool:
+            names = list(pool.map(members, self.paths))
+        return [InputPartition((p, n)) for p, ns in zip(self.paths, names) for n in ns]
 
     def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
         path, name = partition.value
