@@ -88,5 +88,11 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     return result
 
 
+def cli() -> int:
+    """Console-script entry: exit status 0 once the job has finished."""
+    main()
+    return 0
+
+
 if __name__ == "__main__":
-    sys.exit(0 if main() is not None else 1)
+    sys.exit(cli())
