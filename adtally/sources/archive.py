@@ -3,7 +3,8 @@
 Listing reads file metadata only (``binaryFile`` with ``content`` pruned), so the date
 floor and the loaded-date anti join run before a single archive byte is read. Contents are
 then loaded for the surviving archives alone and unpacked by a ``mapInArrow`` task per
-input partition that streams member lines in bounded batches.
+input partition that streams member lines in bounded batches, or, for large archives, by
+the ``report_zip_members`` data source with one task per member (``zip_members.py``).
 """
 
 from __future__ import annotations
