@@ -132,35 +132,33 @@ def parse_lines(
     lo, hi = lay.min_width, lay.max_width
     text = F.col(line)
     keep = [F.col(c) for c in df.columns if c != line]
-
-    step1 = df.select(
-        *keep,
+    wraw = _width_sql("_raw", width)
+    cols = [
         text.alias("_line"),
         _quote_count(text).alias("_nq"),
         _parse_struct(text, width).alias("_raw"),
-    )
-    step2 = step1.select(*keep, "_line", "_nq", "_raw", F.expr(_width_sql("_raw", width)).alias("_w_raw"))
+        # later columns refer to earlier aliases of this select (lateral aliases); Spark
+        # splits them into projections, so each from_csv still runs once per line
+        F.expr(wraw).alias("_w_raw"),
+    ]
     if repair_quotes:
         needs = f"_nq > 0 AND (_nq % 2 = 1 OR NOT (_w_raw BETWEEN {lo} AND {hi}))"
         stripped = F.replace(F.col("_line"), F.lit('"'), F.lit(""))
-        step3 = step2.select(
-            *keep, "_nq", "_raw", "_w_raw",
+        cols += [
             F.when(F.expr(needs), _parse_struct(stripped, width)).alias("_str"),
-        )
-        step4 = step3.select(
-            *keep, "_nq", "_raw", "_w_raw", "_str",
-            F.expr(f"({needs}) AND (_nq % 2 = 1 OR ({_width_sql('_str', width)}) BETWEEN {lo} AND {hi})")
-            .alias("_stripped"),
-        )
-        rec = step4.select(
-            *keep,
+            F.expr(
+                f"({needs}) AND (_nq % 2 = 1 OR ({_width_sql('_str', width)}) BETWEEN {lo} AND {hi})"
+            ).alias("_stripped"),
             F.expr("IF(_stripped, _str, _raw)").alias("_rec"),
             F.expr(f"IF(_stripped, {_width_sql('_str', width)}, _w_raw)").alias("n_fields"),
-            "_stripped",
-        )
+        ]
     else:
-        rec = step2.select(*keep, F.col("_raw").alias("_rec"), F.col("_w_raw").alias("n_fields"),
-                           F.lit(False).alias("_stripped"))
+        cols += [
+            F.col("_raw").alias("_rec"),
+            F.col("_w_raw").alias("n_fields"),
+            F.lit(False).alias("_stripped"),
+        ]
+    rec = df.select(*keep, *cols)
 
     status = (
         f"CASE WHEN n_fields < {lo} THEN 'short' WHEN n_fields > {hi} THEN 'long' "
