@@ -42,3 +42,7 @@ def test_query_matches_oracle(spark, con, name):
     g = sorted((tuple(r[i] for i in order) for r in rows_of(got)), key=repr)
     w = sorted((tuple(r[i] for i in oorder) for r in rows_of(want)), key=repr)
     assert g == w
+
+
+def test_every_query_names_its_operators():
+    assert set(entry.QUERY_OPERATORS) == set(entry.queries())
