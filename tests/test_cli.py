@@ -23,3 +23,19 @@ def test_cli_load_ingest_and_totals(spark, fresh_db, tmp_path):
     assert spark.table(t).count() == 3
     flags = main(["totals", "--table", t, "--threshold", "0.5"], spark=spark)
     assert flags["flagged"] == [("2021-03-03", "spike")]
+
+
+def test_cli_shared_reads_daily_archives_once_for_both_tables(spark, fresh_db, tmp_path):
+    from zipfixtures import HEADER_REGION, region_member
+
+    src = str(tmp_path / "Daily")
+    date = "2021-03-05"
+    members = {
+        national_member("yesterday", date): csv_text(HEADER_NEW, ["1,A,B,10,1"]),
+        region_member("yesterday", date, "Ohio"): csv_text(HEADER_REGION, ["1,A,B,4"]),
+    }
+    write_zip(os.path.join(src, archive_name("yesterday", date)), members)
+    n, r = f"{fresh_db}.n", f"{fresh_db}.r"
+    got = main(["shared", "--source", src, "--targets", f"daily={n},daily_region={r}"], spark=spark)
+    assert got["loaded_dates"] == {"daily": [date], "daily_region": [date]}
+    assert [tuple(x) for x in spark.table(r).collect()] == [("A", "B", 4, "Ohio", "1", date)]
