@@ -200,8 +200,10 @@ def q_two_sinks(spark: SparkSession, d: str) -> DataFrame:
     create_target(spark, first, location=f1)
     create_target(spark, second, location=f2)
     report = q_daily_rollup(spark, d)
-    dates = [r.date for r in report.select("date").distinct().collect()]  # one per day
-    overwrite_dates_two_sinks(report, first, second, dates)
+    # the report dates are the event days (one row per day), as a loader knows them from
+    # its archive listing: the report itself is computed only once, by the first write
+    days = rv.event_records(spark, d).select("date").distinct()
+    overwrite_dates_two_sinks(report, first, second, [r.date for r in days.collect()])
     return spark.table(second)
 
 
