@@ -47,13 +47,8 @@ def attach_file_fields(
     if on_date_mismatch not in DATE_MISMATCH:
         raise ValueError(f"on_date_mismatch must be one of {DATE_MISMATCH}")
     k = get_kind(kind)
-    # file-level values, computed once per row into columns and reused
-    dated = lines.withColumns(
-        {
-            "_archive_date": report_date(base_name("path")),
-            "_member_date": report_date(base_name("member")),
-        }
-    )
+    # file-level values: computed once per row as columns that later columns of the same
+    # select refer to (lateral aliases), then dropped
     archive_date, member_date = F.col("_archive_date"), F.col("_member_date")
     if k.date_from == "archive" or on_date_mismatch == "use_archive_date":
         date = archive_date
@@ -65,10 +60,16 @@ def attach_file_fields(
         date = F.when(member_date.eqNullSafe(archive_date), member_date).otherwise(
             F.raise_error(message)
         )
-    out = dated.withColumn("date", date).drop("_archive_date", "_member_date")
+    cols = [
+        report_date(base_name("path")).alias("_archive_date"),
+        report_date(base_name("member")).alias("_member_date"),
+        date.alias("date"),
+    ]
     if k.regional:
-        out = out.withColumn("region", region_from_name("member", k.label))
-    return out
+        cols.append(region_from_name("member", k.label).alias("region"))
+    return lines.select(*[F.col(c) for c in lines.columns], *cols).drop(
+        "_archive_date", "_member_date"
+    )
 
 
 def build_report(
