@@ -7,6 +7,7 @@ oracle computes the expected result independently in plain SQL over the same tab
 
 from __future__ import annotations
 
+import importlib.util
 import sys
 import uuid
 from collections.abc import Callable
@@ -519,6 +520,20 @@ ORACLES: dict[str, str] = {
 }
 
 
+# the operators of the training-data pipeline are an optional part of the package
+if importlib.util.find_spec("adtally.llm") is not None:
+    from adtally.llm import queries as llm_queries
+
+    QUERIES.update(llm_queries.QUERIES)
+    ORACLES.update(llm_queries.ORACLES)
+if importlib.util.find_spec("corpus_pipeline") is not None:
+    import corpus_pipeline
+
+    QUERIES["pipeline"] = corpus_pipeline.run
+    if corpus_pipeline.ORACLE_SQL is not None:
+        ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: the daily advertiser roll-up of report lines built from sf0.001 events."""
     return q_daily_rollup(spark, SMOKE_DIR)

@@ -1,6 +1,7 @@
 """Every registered query against its DuckDB oracle on the smallest driver tables."""
 
 import os
+import re
 
 import duckdb
 import pytest
@@ -12,6 +13,10 @@ SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
 
 
+#: The queries of the optional pipeline operators are tested beside those operators.
+OWN = {q for q in entry.queries() if not re.fullmatch(r"op\d+_.*|pipeline", q)}
+
+
 @pytest.fixture(scope="module")
 def con():
     c = duckdb.connect()
@@ -27,10 +32,11 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert entry.oracle_sql().keys() >= OWN
+    assert entry.queries().keys() >= entry.oracle_sql().keys()
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(OWN))
 def test_query_matches_oracle(spark, con, name):
     df = entry.queries()[name](spark, SF)
     res = con.execute(entry.oracle_sql()[name])
@@ -45,4 +51,4 @@ def test_query_matches_oracle(spark, con, name):
 
 
 def test_every_query_names_its_operators():
-    assert set(entry.QUERY_OPERATORS) == set(entry.queries())
+    assert set(entry.QUERY_OPERATORS) == OWN
