@@ -16,8 +16,8 @@ input is partitioned, not on retries of a task.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -31,45 +31,49 @@ END_ID = 1
 BLOCK = 512
 LINEAR_COST = 1.0
 QUADRATIC_COST = 1.0 / 1024
-#: Distinct chunks whose ids a worker keeps; beyond it, it starts afresh (memory only).
-CHUNKS_KEPT = 200_000
+#: Texts encoded at a time.
+TEXTS = 256
+# Fixed value: how byte-level BPE cuts a text into words before merging.
+PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"
+_PROBE = "Don't  stop:\n\n42 é\t\u4e2d\u6587 <x> \U0001f600 "
 
-#: A blank between two characters that no Unicode version counts as space or control:
-#: byte-level pre-tokenizers always cut before it, so chunks can be encoded one by one.
-_CUT = re.compile(r"(?<=[^\s\x00-\x20\x7f-\xa0]) (?=[^\s\x00-\x20\x7f-\xa0])")
 
+class Encoder:
+    """Ids of texts as little-endian 32-bit bytes, for a byte-level BPE tokenizer file.
 
-class ChunkEncoder:
-    """Ids of texts as little-endian 32-bit bytes; each distinct chunk is encoded once."""
+    The file's vocabulary is handed to tiktoken, which merges the same pairs four times as
+    fast as the library the file belongs to. That library checks a probe when the worker
+    starts, and encodes texts that the faster one gives up on.
+    """
 
     def __init__(self, tokenizer_file: str):
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
-        self.known: dict[str, bytes] = {}
+        printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        others = [b for b in range(256) if b not in set(printable)]
+        byte = {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
+        special = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
+        ranks = {bytes(byte[c] for c in t): i for t, i in self.tokenizer.get_vocab(with_added_tokens=False).items() if t not in special}
+        self.fast = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special)
+        if self.fast.encode(_PROBE, allowed_special="all") != self.tokenizer.encode(_PROBE, add_special_tokens=False).ids:
+            raise ValueError(f"{tokenizer_file} isn't a byte-level BPE tokenizer of the known form")
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        out = []
-        for text in texts:
-            if not text:
-                out.append(b"")
-                continue
-            head, *rest = _CUT.split(text)
-            known = self.known
-            try:
-                out.append(known[head] + b"".join([known[" " + c] for c in rest]))
-            except KeyError:
-                chunks = [head, *(" " + c for c in rest)]
-                if len(known) > CHUNKS_KEPT:
-                    known.clear()
-                self._learn({c for c in chunks if c not in known})
-                out.append(b"".join([known[c] for c in chunks]))
-        return out
-
-    def _learn(self, chunks: set[str]) -> None:
-        chunks = list(chunks)
-        for chunk, e in zip(chunks, self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)):
-            self.known[chunk] = np.array(e.ids, "<u4").tobytes()
+        return [self._ids(t) if t else b"" for t in texts]
+
+    def _ids(self, text: str) -> bytes:
+        try:
+            return self.fast.encode_to_numpy(text, allowed_special="all").astype("<u4").tobytes()
+        except (ValueError, RuntimeError):
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
+@cache
+def encoder(tokenizer_file: str) -> Encoder:
+    """One for each worker process, which runs many tasks."""
+    return Encoder(tokenizer_file)
 
 
 def pack_block(lengths: list[int], length: int, sequences: int, linear: float, quadratic: float) -> list[tuple]:
@@ -148,7 +152,7 @@ def pack(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encoder = ChunkEncoder(tokenizer_file)
+        encode = encoder(tokenizer_file).encode
         first = TaskContext.get().partitionId() << 33
         held: list[tuple] = []  # (doc_id, ids not yet packed, ids before them, ids of the document)
         tokens = 0
@@ -166,9 +170,9 @@ def pack(
             return pa.RecordBatch.from_arrays(cols, NAMES)
 
         for batch in batches:
-            for part in range(0, batch.num_rows, 256):
-                cut = batch.slice(part, 256)
-                for doc_id, ids in zip(cut.column(0).to_pylist(), encoder.encode(cut.column(1).to_pylist())):
+            for part in range(0, batch.num_rows, TEXTS):
+                cut = batch.slice(part, TEXTS)
+                for doc_id, ids in zip(cut.column(0).to_pylist(), encode(cut.column(1).to_pylist())):
                     ids += end
                     held.append((doc_id, ids, 0, len(ids) // 4))
                     tokens += len(ids) // 4
