@@ -4,11 +4,50 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adtally.llm import packing, simhash
-from adtally.llm.shared import table
+from adtally.llm import ann, langid, mixing, packing, pii, quality, repeats, simhash, url_filter, warc
+from adtally.llm.shared import WORD, bound_to, table
+
+URL_RULES = [
+    ("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"), ("net/es/", "block"), ("net/fr/", "block"),
+]
+
+#: Shares of tokens are raised to these powers: below 1, rare values gain.
+MIX_POWERS = {"source": 0.8, "language": 0.8, "topic": 0.8}
+
+
+def op1_segmented_hosts(spark: SparkSession, d: str) -> DataFrame:
+    return url_filter.judge(table(spark, d, "pages"), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+def topic_of(text: Column) -> Column:
+    """A stand-in for a topic column, which the table lacks: the first of these kinds that fits."""
+    text = F.coalesce(text, F.lit(""))
+    return (
+        F.when(text.rlike("(?i)licen[cs]e|copyright"), "notice")
+        .when(text.contains("@") | text.contains("+1 ("), "contact")
+        .when(text.rlike("[#*$%&|<>]"), "markup")
+        .when(F.length(text) < 1000, "short")
+        .when(F.length(text) < 6000, "medium")
+        .otherwise("long")
+    )
+
+
+def mix_documents(docs: DataFrame) -> DataFrame:
+    """Documents with the mix's columns added (see mixing.mix)."""
+    margins = {"source": F.col("source"), "language": F.col("lang"), "topic": topic_of(F.col("text"))}
+    tokens = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD))
+    return mixing.mix(docs.select("doc_id", "text", "lang", "source", "n_chars"), margins, MIX_POWERS, tokens)
+
+
+def op2_raked_mix(spark: SparkSession, d: str) -> DataFrame:
+    mixed = mix_documents(table(spark, d, "documents"))
+    return mixed.select(
+        "doc_id", F.col("mix_source").alias("source"), F.col("mix_language").alias("lang"), F.col("mix_topic").alias("topic"),
+        F.col("mix_tokens").alias("tokens"), "probability", "kept",
+    )
 
 
 def pack_documents(docs: DataFrame) -> DataFrame:
@@ -25,14 +64,74 @@ def op3_cost_balanced_packing(spark: SparkSession, d: str) -> DataFrame:
     return pack_documents(table(spark, d, "documents"))
 
 
+def op4_dictionary_warc(spark: SparkSession, d: str) -> DataFrame:
+    folder = warc.new_folder(spark)
+    warc.write(table(spark, d, "pages"), folder).write.mode("overwrite").parquet(f"{folder}-list")
+    return warc.read(spark, folder, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def learned_rules(spark: SparkSession, d: str, docs: DataFrame) -> quality.DecisionList:
+    return quality.learn(docs, table(spark, d, "labels"))
+
+
+def op5_decision_list(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents")
+    return quality.judge(docs, learned_rules(spark, d, docs))
+
+
+def op6_checked_personal_data(spark: SparkSession, d: str) -> DataFrame:
+    found = pii.find(table(spark, d, "documents"))
+    base = [k.name for k in pii.KINDS if k.base]
+
+    def counted(spans: Column) -> Column:
+        of = lambda kind: F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+        text = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+        return F.struct(
+            *[of(k) for k in base],
+            F.sha2(text(F.filter(spans, lambda s: s["kind"].isin(base))), 256).alias("base_sha256"),
+            text(spans).alias("spans"),
+        )
+
+    return found.select("doc_id", bound_to(F.col("spans"), counted).alias("c")).select("doc_id", "c.*")
+
+
 def op7_golay_simhash(spark: SparkSession, d: str) -> DataFrame:
     rows = simhash.near_duplicates(table(spark, d, "documents"))
     return rows.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op8_learned_partitions(spark: SparkSession, d: str) -> DataFrame:
+    return ann.search(table(spark, d, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+def held_out(doc_id: Column) -> Column:
+    """Whether the checksum of an id leaves no rest by 5; a null id counts as empty text."""
+    return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 5 == 0
+
+
+def op9_bitmask_language(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents")
+    filters = langid.learn(docs.filter(~held_out(F.col("doc_id"))).select("lang", "text"))
+    found = langid.identify(docs, filters)
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+def op10_merged_suffix_runs(spark: SparkSession, d: str) -> DataFrame:
+    found = repeats.remove_repeats(table(spark, d, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_segmented_hosts": op1_segmented_hosts,
+    "op2_raked_mix": op2_raked_mix,
     "op3_cost_balanced_packing": op3_cost_balanced_packing,
+    "op4_dictionary_warc": op4_dictionary_warc,
+    "op5_decision_list": op5_decision_list,
+    "op6_checked_personal_data": op6_checked_personal_data,
     "op7_golay_simhash": op7_golay_simhash,
+    "op8_learned_partitions": op8_learned_partitions,
+    "op9_bitmask_language": op9_bitmask_language,
+    "op10_merged_suffix_runs": op10_merged_suffix_runs,
 }
 
 ORACLES: dict[str, str] = {}
