@@ -88,7 +88,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def out(lang: str) -> pa.RecordBatch:
         ids, counts = known.pop(lang)
-        return pa.RecordBatch.from_arrays([pa.array([lang] * len(ids)), pa.array(ids), pa.array(counts)], ["lang", "gram", "n"])
+        return pa.RecordBatch.from_arrays([pa.array([lang] * len(ids), pa.string()), pa.array(ids, pa.int64()), pa.array(counts, pa.int64())], ["lang", "gram", "n"])
 
     for batch in batches:
         by_lang: dict[str, list[str]] = {}
