@@ -173,32 +173,31 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     return docs.select(F.col(id_col).alias("doc_id"), spans(F.col(text_col)).alias("spans"))
 
 
-def masked(text: Column) -> Column:
-    """The text with each span replaced by its kind in brackets; null stays null.
+def _without(text: Column, kind: Kind) -> Column:
+    """The text with each confirmed span of one kind replaced by the kind's name in brackets."""
 
-    Kinds are masked one after the other, checksummed ones first, so a span that overlaps
-    an earlier kind's may lose its remainder to that mask; no found digits or names stay.
-    """
+    def join(pieces: Column) -> Column:
+        total = F.aggregate(pieces, F.lit(0), lambda a, p: a + F.length(p))
+        kept = F.zip_with(
+            pieces, _judged(text, pieces, kind),
+            lambda p, m: F.when(
+                m["confirmed"],
+                F.concat(F.left(p, F.length(p) - F.length(m["text"])), F.lit(f"[{kind.name.upper()}]")),
+            ).otherwise(p),
+        )
+        return F.concat(F.array_join(kept, ""), F.substring(text, total + 1, F.length(text)))
 
-    def without(kind: Kind) -> Callable[[Column], Column]:
-        def mask(t: Column) -> Column:
-            def join(pieces: Column) -> Column:
-                total = F.aggregate(pieces, F.lit(0), lambda a, p: a + F.length(p))
-                kept = F.zip_with(
-                    pieces, _judged(t, pieces, kind),
-                    lambda p, m: F.when(
-                        m["confirmed"],
-                        F.concat(F.left(p, F.length(p) - F.length(m["text"])), F.lit(f"[{kind.name.upper()}]")),
-                    ).otherwise(p),
-                )
-                return F.concat(F.array_join(kept, ""), F.substring(t, total + 1, F.length(t)))
+    return F.when(kind.hint(text), bound_to(_pieces(text, kind), join)).otherwise(text)
 
-            return F.when(kind.hint(t), bound_to(_pieces(t, kind), join)).otherwise(t)
 
-        return mask
+def mask(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """``docs`` with each span in ``text_col`` replaced by its kind in brackets.
 
+    Null texts stay null, rows and columns stay as they are. Kinds are masked one after the
+    other, those with a checksum first, so where spans overlap the later kind sees the
+    earlier one's mask; no confirmed match of any kind is left.
+    """
     by_name = {k.name: k for k in KINDS}
-    out = text
     for name in ("email", "iban", "card", "ssn", "ip", "phone"):
-        out = bound_to(out, without(by_name[name]))
-    return out
+        docs = docs.withColumn(text_col, _without(F.col(text_col), by_name[name]))
+    return docs
