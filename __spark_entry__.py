@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import importlib.util
 import sys
+import time
 import uuid
 from collections.abc import Callable
 from pathlib import Path
@@ -37,18 +38,31 @@ from adtally.operators.lines import (  # noqa: E402
 )
 from adtally.operators.rollup import union_members  # noqa: E402
 from adtally.plans import report_views as rv  # noqa: E402
-from adtally.plans.kinds import KINDS  # noqa: E402
-from adtally.plans.loader import build_report, run_batch  # noqa: E402
+from adtally.plans.kinds import KINDS, kinds_frame  # noqa: E402
+from adtally.plans.loader import build_report, run_batch, run_shared_archives  # noqa: E402
 from adtally.session import shared_dir  # noqa: E402
-from adtally.sources.archive import choose_new, first_matching_member, select_archives  # noqa: E402
+from adtally.sources.archive import choose_new, select_archives  # noqa: E402
 from adtally.sources.archive_writer import write_archives  # noqa: E402
-from adtally.sources.tables import create_target, overwrite_dates, overwrite_dates_two_sinks  # noqa: E402
+from adtally.sources.tables import (  # noqa: E402
+    PathSink,
+    append,
+    create_like,
+    create_target,
+    loaded_dates,
+    overwrite_dates,
+    overwrite_dates_two_sinks,
+)
 from adtally.streaming.ingest import start_ingest  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 NEW_REPORTS_FLOOR = "2024-01-08"
 LOADED_VALUE_OVER = 450
 DOD_THRESHOLD = 0.1
+# days that bring the events' dates to both sides of the 90-day kind's floor, and the line
+# items' months to both sides of the lifelong kind's
+NINETY_SHIFT = -1430
+LIFELONG_SHIFT = 8766
+HALF = "2024-01-15"
 
 
 # --- queries ---------------------------------------------------------------------------------
@@ -138,7 +152,33 @@ def q_lifelong_rollup(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_distinct_dates(spark: SparkSession, d: str) -> DataFrame:
-    return q_daily_rollup(spark, d).select("date").distinct()
+    return loaded_dates(spark, _written_daily(spark, d, "distinct_dates"))
+
+
+def q_strict_csv(spark: SparkSession, d: str) -> DataFrame:
+    p = parse_lines(rv.customer_lines(spark, d, "strict"), "regional", repair_quotes=False)
+    return p.select("page_id", "page_name", "amount_spent", "number_of_ads", "n_fields", "status")
+
+
+def q_old_layout(spark: SparkSession, d: str) -> DataFrame:
+    p = parse_lines(rv.customer_lines(spark, d, "old"), "old")
+    return p.select("page_id", "page_name", "disclaimer", "amount_spent", "number_of_ads", "status")
+
+
+def q_rollup_bad_values(spark: SparkSession, d: str) -> DataFrame:
+    return build_report(rv.event_bad_lines(spark, d), "daily")
+
+
+def q_kind_of_file(spark: SparkSession, d: str) -> DataFrame:
+    """Report files named after events, joined to the kinds by their archive patterns."""
+    e = rv.table(spark, d, "events")
+    label = F.element_at(F.array(*map(F.lit, ["yesterday", "last_7_days", "last_30_days", "last_90_days", "lifelong", "monthly"])), (F.col("event_id") % 6 + 1).cast("int"))
+    name = F.concat(F.lit("FacebookAdLibraryReport_"), F.date_format("ts", "yyyy-MM-dd"), F.lit("_US_"), label, F.lit(".zip"))
+    files = e.select("event_id", name.alias("name"))
+    kinds = kinds_frame(spark).select("kind", "archive_regex", "days")
+    return files.join(F.broadcast(kinds), F.expr("name rlike archive_regex")).select(
+        "event_id", "kind", period_start(report_date("name"), F.col("days").cast("int")).alias("first_day")
+    )
 
 
 def q_new_reports(spark: SparkSession, d: str) -> DataFrame:
@@ -180,7 +220,8 @@ def q_day_over_day(spark: SparkSession, d: str) -> DataFrame:
 
 def q_first_member(spark: SparkSession, d: str) -> DataFrame:
     names = rv.event_member_names(spark, d)
-    return first_matching_member(names, KINDS["lifelong"].member_regex, by="date")
+    wanted = names.filter(F.col("member").rlike(KINDS["lifelong"].member_regex))
+    return wanted.groupBy("date").agg(F.min("member").alias("first_member"))
 
 
 def _scratch(spark: SparkSession, name: str) -> tuple[str, str]:
@@ -188,18 +229,42 @@ def _scratch(spark: SparkSession, name: str) -> tuple[str, str]:
     return f"adtally_{tag}", shared_dir(spark, "adtally", tag)
 
 
-def q_table_round_trip(spark: SparkSession, d: str) -> DataFrame:
-    table, folder = _scratch(spark, "round_trip")
-    create_target(spark, table, location=folder)
+def _target(spark: SparkSession, name: str, regional: bool = False) -> str:
+    table, folder = _scratch(spark, name)
+    create_target(spark, table, regional=regional, location=folder)
+    return table
+
+
+def _written_daily(spark: SparkSession, d: str, name: str) -> str:
+    table = _target(spark, name)
     overwrite_dates(q_daily_rollup(spark, d), table)
+    return table
+
+
+def q_table_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    return spark.table(_written_daily(spark, d, "round_trip"))
+
+
+def q_append_table(spark: SparkSession, d: str) -> DataFrame:
+    """Two appends, of either half of the days, give the whole table."""
+    table = _target(spark, "append")
+    report = q_daily_rollup(spark, d)
+    append(report.filter(F.col("date") < HALF), table)
+    append(report.filter(F.col("date") >= HALF), table)
     return spark.table(table)
 
 
+def q_table_like(spark: SparkSession, d: str) -> DataFrame:
+    """The regional report in a table made like another kind's target."""
+    first = _target(spark, "like_first", regional=True)
+    second, folder = _scratch(spark, "like_second")
+    create_like(spark, second, first, location=folder)
+    overwrite_dates(q_regional_rollup(spark, d), second)
+    return spark.table(second)
+
+
 def q_two_sinks(spark: SparkSession, d: str) -> DataFrame:
-    first, f1 = _scratch(spark, "sink_one")
-    second, f2 = _scratch(spark, "sink_two")
-    create_target(spark, first, location=f1)
-    create_target(spark, second, location=f2)
+    first, second = _target(spark, "sink_one"), _target(spark, "sink_two")
     report = q_daily_rollup(spark, d)
     # the report dates are the event days (one row per day), as a loader knows them from
     # its archive listing: the report itself is computed only once, by the first write
@@ -209,67 +274,137 @@ def q_two_sinks(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_reload_idempotent(spark: SparkSession, d: str) -> DataFrame:
-    table, folder = _scratch(spark, "reload")
-    create_target(spark, table, location=folder)
-    overwrite_dates(q_daily_rollup(spark, d), table)
+    table = _written_daily(spark, d, "reload")
     overwrite_dates(q_daily_rollup(spark, d), table)
     return spark.table(table)
 
 
-def _archives(spark: SparkSession, lines: DataFrame, name: str) -> str:
-    _, folder = _scratch(spark, name)
-    write_archives(lines, folder).collect()  # one row per archive written
+def _archives(spark: SparkSession, lines: DataFrame, name: str, folder: str | None = None) -> str:
+    folder = folder or _scratch(spark, name)[1]
+    written = write_archives(lines.withColumnRenamed("path", "archive"), folder, header_of=rv.header_of)
+    written.collect()  # one row per archive written
     return folder
 
 
-def _load_archives(
-    spark: SparkSession, d: str, kind: str, lines: DataFrame, reader: str = "auto"
-) -> DataFrame:
-    folder = _archives(spark, lines, f"archives_{kind}")
-    table, tfolder = _scratch(spark, f"table_{kind}")
-    create_target(spark, table, regional=KINDS[kind].regional, location=tfolder)
+def _load_archives(spark: SparkSession, kind: str, lines: DataFrame, reader: str = "archive") -> DataFrame:
+    folder = _archives(spark, rv.notes_beside(lines), f"archives_{kind}")
+    table = _target(spark, f"table_{kind}", regional=KINDS[kind].regional)
     run_batch(spark, kind, folder, target=table, reader=reader)
     return spark.table(table)
 
 
 def q_archive_daily(spark: SparkSession, d: str) -> DataFrame:
-    lines = rv.event_archive_lines(spark, d, "yesterday", regional=False)
-    return _load_archives(spark, d, "daily", lines)
+    return _load_archives(spark, "daily", rv.event_lines(spark, d, "yesterday", regional=False))
+
+
+def _daily_pair(spark: SparkSession, d: str) -> DataFrame:
+    """Daily archives hold the national member and the regional ones."""
+    national = rv.event_lines(spark, d, "yesterday", regional=False)
+    return national.unionByName(rv.event_lines(spark, d, "yesterday", regional=True))
+
+
+def q_archive_daily_region(spark: SparkSession, d: str) -> DataFrame:
+    return _load_archives(spark, "daily_region", _daily_pair(spark, d))
+
+
+def q_shared_daily(spark: SparkSession, d: str) -> DataFrame:
+    folder = _archives(spark, rv.notes_beside(_daily_pair(spark, d)), "archives_shared")
+    n, r = _target(spark, "shared_n"), _target(spark, "shared_r", regional=True)
+    run_shared_archives(spark, folder, {"daily": n, "daily_region": r})
+    return union_members([spark.table(n), spark.table(r)])
 
 
 def q_archive_regional(spark: SparkSession, d: str) -> DataFrame:
-    lines = rv.event_archive_lines(spark, d, "last_7_days", regional=True)
-    return _load_archives(spark, d, "weekly_region", lines)
+    return _load_archives(spark, "weekly_region", rv.event_lines(spark, d, "last_7_days", regional=True))
 
 
 def q_archive_regional_members(spark: SparkSession, d: str) -> DataFrame:
     # many region members per archive: one task per (archive, member)
-    lines = rv.event_archive_lines(spark, d, "last_7_days", regional=True)
-    return _load_archives(spark, d, "weekly_region", lines, reader="members")
+    lines = rv.event_lines(spark, d, "last_7_days", regional=True)
+    return _load_archives(spark, "weekly_region", lines, reader="members")
+
+
+def q_archive_30days(spark: SparkSession, d: str) -> DataFrame:
+    return _load_archives(spark, "30days_region", rv.event_lines(spark, d, "last_30_days", regional=True))
+
+
+def q_archive_90days(spark: SparkSession, d: str) -> DataFrame:
+    lines = rv.event_lines(spark, d, "last_90_days", regional=True, shift_days=NINETY_SHIFT)
+    return _load_archives(spark, "90days_region", lines)
 
 
 def q_archive_lifelong(spark: SparkSession, d: str) -> DataFrame:
-    lines = rv.with_headers(rv.lineitem_lines(spark, d), rv.NATIONAL_HEADER)
-    return _load_archives(spark, d, "lifelong", lines)
+    """Two candidate members an archive, two sinks; the second sink's rows."""
+    lines = rv.lifelong_pair(rv.lineitem_lines(spark, d, LIFELONG_SHIFT))
+    folder = _archives(spark, lines, "archives_lifelong")
+    first = _target(spark, "lifelong_one")
+    second = PathSink(_scratch(spark, "lifelong_two")[1], "orc")
+    run_batch(spark, "lifelong", folder, target=first, second_target=second)
+    stored = spark.read.orc(second.path)
+    return stored.withColumn("date", F.col("date").cast("string"))
+
+
+def q_load_twice(spark: SparkSession, d: str) -> DataFrame:
+    """Half of the days are loaded, then all: the second load adds the other half only."""
+    lines = rv.event_lines(spark, d, "yesterday", regional=False)
+    table = _target(spark, "load_twice")
+    half = lines.filter(F.col("path") < f"FacebookAdLibraryReport_{HALF}")
+    folder = _archives(spark, half, "archives_twice")
+    run_batch(spark, "daily", folder, target=table)
+    rest = lines.filter(F.col("path") >= f"FacebookAdLibraryReport_{HALF}")
+    _archives(spark, rest, "archives_twice", folder)
+    run_batch(spark, "daily", folder, target=table)
+    return spark.table(table)
+
+
+def q_load_problems(spark: SparkSession, d: str) -> DataFrame:
+    """Customers as one archive of a member for each market segment, with its parse problems."""
+    lines = rv.customer_lines(spark, d, "problems").select(
+        F.lit("FacebookAdLibraryReport_2021-03-01_US_last_7_days.zip").alias("path"),
+        F.concat(F.lit("regions/FacebookAdLibraryReport_2021-03-01_US_last_7_days_"), F.col("member"), F.lit(".csv")).alias("member"),
+        "line_no", "line",
+    )
+    folder = _archives(spark, lines, "archives_problems")
+    table = _target(spark, "problems_table", regional=True)
+    problems = PathSink(_scratch(spark, "problems")[1])
+    run_batch(spark, "weekly_region", folder, target=table, problems=problems)
+    return spark.read.parquet(problems.path).select(
+        base_name("member").alias("member"), "status", "amount_invalid", "n_records"
+    )
 
 
 def q_stream_ingest(spark: SparkSession, d: str) -> DataFrame:
-    lines = rv.event_archive_lines(spark, d, "yesterday", regional=False)
-    folder = _archives(spark, lines, "stream_source")
-    table, tfolder = _scratch(spark, "stream_target")
-    create_target(spark, table, location=tfolder)
+    folder = _archives(spark, rv.event_lines(spark, d, "yesterday", regional=False), "stream_source")
+    table = _target(spark, "stream_target")
     _, checkpoint = _scratch(spark, "stream_checkpoint")
     query = start_ingest(spark, "daily", folder, checkpoint, target=table)
     query.awaitTermination()
     return spark.table(table)
 
 
+def q_stream_redownload(spark: SparkSession, d: str) -> DataFrame:
+    """Every date comes twice, the later copy with the right amounts; one file a micro-batch."""
+    lines = rv.event_lines(spark, d, "yesterday", regional=False)
+    _, folder = _scratch(spark, "stream_twice")
+    early = lines.filter(F.col("line_no") % 2 == 0)
+    _archives(spark, early, "", f"{folder}/a")
+    time.sleep(1.1)  # file systems may keep whole seconds
+    _archives(spark, lines, "", f"{folder}/b")
+    table = _target(spark, "stream_twice_target")
+    _, checkpoint = _scratch(spark, "stream_twice_checkpoint")
+    query = start_ingest(spark, "daily", f"{folder}/*", checkpoint, target=table, max_files_per_trigger=8)
+    query.awaitTermination()
+    return spark.table(table)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "name_parse": q_name_parse,
     "bom_split": q_bom_split,
     "header_drop": q_header_drop,
     "tolerant_csv": q_tolerant_csv,
     "strict_csv_widths": q_strict_csv_widths,
+    "strict_csv": q_strict_csv,
+    "old_layout": q_old_layout,
     "parse_problems": q_parse_problems,
     "page_id_digits": q_page_id_digits,
     "amount_clean": q_amount_clean,
@@ -277,6 +412,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "daily_rollup": q_daily_rollup,
     "regional_rollup": q_regional_rollup,
     "lifelong_rollup": q_lifelong_rollup,
+    "rollup_bad_values": q_rollup_bad_values,
+    "kind_of_file": q_kind_of_file,
     "distinct_dates": q_distinct_dates,
     "new_reports": q_new_reports,
     "region_union": q_region_union,
@@ -285,13 +422,22 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "day_over_day": q_day_over_day,
     "first_member": q_first_member,
     "table_round_trip": q_table_round_trip,
+    "append_table": q_append_table,
+    "table_like": q_table_like,
     "two_sinks": q_two_sinks,
     "reload_idempotent": q_reload_idempotent,
     "archive_daily": q_archive_daily,
     "archive_regional": q_archive_regional,
     "archive_regional_members": q_archive_regional_members,
+    "archive_daily_region": q_archive_daily_region,
+    "shared_daily": q_shared_daily,
+    "archive_30days": q_archive_30days,
+    "archive_90days": q_archive_90days,
     "archive_lifelong": q_archive_lifelong,
+    "load_twice": q_load_twice,
+    "load_problems": q_load_problems,
     "stream_ingest": q_stream_ingest,
+    "stream_redownload": q_stream_redownload,
 }
 
 
@@ -301,29 +447,42 @@ QUERY_OPERATORS: dict[str, tuple[str, ...]] = {
     "bom_split": ("C1", "S5"),
     "header_drop": ("P3", "C1"),
     "tolerant_csv": ("S6", "C2", "P2", "U2"),
-    "strict_csv_widths": ("S7", "P2", "P4"),
+    "strict_csv_widths": ("P2", "P4"),
+    "strict_csv": ("S7", "P2", "P4", "U2"),
+    "old_layout": ("P2", "S6"),
     "parse_problems": ("C12", "L5", "L6", "L11"),
     "page_id_digits": ("C3",),
-    "amount_clean": ("C4", "C5", "C6"),
+    "amount_clean": ("C4", "C5"),
     "censored_flag": ("C11",),
-    "daily_rollup": ("E1", "A1", "A5", "C1", "C2", "C3", "C4", "C5", "C6", "P3", "P7", "S6"),
+    "daily_rollup": ("E1", "A1", "C1", "C2", "C3", "C4", "C5", "P3", "P7", "S6"),
     "regional_rollup": ("E2", "A2", "C9", "P7"),
-    "lifelong_rollup": ("E3", "A3", "L20"),
+    "lifelong_rollup": ("A3", "L20"),
+    "rollup_bad_values": ("A1", "A5", "C5", "C6"),
+    "kind_of_file": ("S13", "C8", "C10"),
     "distinct_dates": ("A4", "S8"),
-    "new_reports": ("J1", "P5", "P6", "S1", "L17"),
+    "new_reports": ("J1", "P5", "P6", "L17"),
     "region_union": ("U1",),
     "coverage_period": ("C10",),
     "totals_by_date": ("A6",),
     "day_over_day": ("W1", "A6"),
-    "first_member": ("S4", "O1"),
-    "table_round_trip": ("S9", "S11", "P1"),
+    "first_member": ("O1",),
+    "table_round_trip": ("S11", "P1"),
+    "append_table": ("S9", "S11"),
+    "table_like": ("S12",),
     "two_sinks": ("S10", "L18"),
     "reload_idempotent": ("T2",),
-    "archive_daily": ("S1", "S2", "S3", "S5", "P8", "E1", "T2"),
+    "archive_daily": ("S1", "S2", "S3", "S5", "E1"),
+    "archive_daily_region": ("S1", "S2", "S3", "E2"),
+    "shared_daily": ("S1", "S2", "S3", "E1", "E2"),
     "archive_regional": ("S1", "S2", "S3", "E2"),
     "archive_regional_members": ("S2", "S3", "E2"),
-    "archive_lifelong": ("S1", "S2", "S4", "P5", "E3"),
-    "stream_ingest": ("T1", "T2", "S1", "S2"),
+    "archive_30days": ("S1", "S3", "E2"),
+    "archive_90days": ("S1", "S3", "E2", "P5"),
+    "archive_lifelong": ("S1", "S2", "S4", "S10", "P5", "E3"),
+    "load_twice": ("E1", "J1", "P6", "P8", "S8", "T2"),
+    "load_problems": ("C12", "L5"),
+    "stream_ingest": ("T1", "S1", "S2"),
+    "stream_redownload": ("T1", "T2"),
 }
 
 
@@ -361,6 +520,14 @@ _REGIONAL = f"""
   FROM r GROUP BY page_name, disclaimer, page_id, date, region
 """
 
+def _regional_shifted(days: int, floor: str) -> str:
+    moved = _EVENT_RECORDS.replace("strftime(ts, '%Y-%m-%d')", f"strftime(CAST(ts AS DATE) + {days}, '%Y-%m-%d')")
+    return f"""
+        WITH r AS ({moved})
+        SELECT page_name, disclaimer, CAST(SUM(amount) AS BIGINT) AS amt_spent, region, page_id, date
+        FROM r WHERE date >= '{floor}' GROUP BY page_name, disclaimer, page_id, date, region"""
+
+
 _LIFELONG = """
   SELECT s_name AS page_name, 'Paid by ' || l_returnflag || l_linestatus AS disclaimer,
          CAST(SUM(floor(l_extendedprice)) AS BIGINT) AS amt_spent,
@@ -514,9 +681,49 @@ ORACLES: dict[str, str] = {
     "archive_daily": _DAILY,
     "archive_regional": _REGIONAL,
     "archive_regional_members": _REGIONAL,
+    "archive_daily_region": _REGIONAL,
+    "shared_daily": f"""
+        SELECT page_name, disclaimer, amt_spent, num_of_ads, page_id, date, CAST(NULL AS VARCHAR) AS region FROM ({_DAILY})
+        UNION ALL
+        SELECT page_name, disclaimer, amt_spent, NULL AS num_of_ads, page_id, date, region FROM ({_REGIONAL})""",
+    "archive_30days": _REGIONAL,
     # the batch load applies the kind's start-date floor
-    "archive_lifelong": f"SELECT * FROM ({_LIFELONG}) WHERE date >= '{KINDS['lifelong'].floor_date}'",
+    "archive_90days": _regional_shifted(NINETY_SHIFT, KINDS["90days_region"].floor_date),
+    "archive_lifelong": f"""
+        SELECT * FROM ({_LIFELONG.replace("10227", str(LIFELONG_SHIFT))})
+        WHERE date >= '{KINDS["lifelong"].floor_date}'""",
+    "load_twice": _DAILY,
+    "append_table": _DAILY,
+    "table_like": _REGIONAL,
+    "load_problems": """
+        SELECT 'FacebookAdLibraryReport_2021-03-01_US_last_7_days_' || c_mktsegment || '.csv' AS member,
+               CASE c_custkey % 5 WHEN 0 THEN 'short' WHEN 2 THEN 'quote_stripped' ELSE 'ok' END AS status,
+               c_custkey % 5 IN (0, 3) AS amount_invalid, CAST(count(*) AS BIGINT) AS n_records
+        FROM customer GROUP BY ALL""",
+    "strict_csv": f"""
+        SELECT CAST(c_custkey AS VARCHAR) AS page_id, c_name AS page_name,
+               CASE WHEN c_custkey % 9 <> 0 THEN {_WHOLE.format('c_acctbal')} END AS amount_spent,
+               CASE WHEN c_custkey % 9 <> 0 AND c_custkey % 4 >= 1 THEN 'x1' END AS number_of_ads,
+               CASE WHEN c_custkey % 9 = 0 THEN 3 ELSE 4 + c_custkey % 4 END AS n_fields,
+               CASE WHEN c_custkey % 9 = 0 THEN 'short' ELSE 'ok' END AS status
+        FROM customer""",
+    "old_layout": f"""
+        SELECT CAST(NULL AS VARCHAR) AS page_id, c_name AS page_name, c_mktsegment || ', Inc' AS disclaimer,
+               {_WHOLE.format('c_acctbal')} AS amount_spent, CAST(c_nationkey AS VARCHAR) AS number_of_ads, 'ok' AS status
+        FROM customer""",
+    "rollup_bad_values": f"""
+        WITH r AS ({_EVENT_RECORDS})
+        SELECT page_name, 'd' AS disclaimer,
+               CAST(SUM(CASE WHEN event_id % 11 IN (0, 1, 2) OR CAST(page_id AS BIGINT) % 7 = 0 THEN 0 ELSE amount END) AS BIGINT) AS amt_spent,
+               CAST(SUM(ads) AS BIGINT) AS num_of_ads, page_id, date
+        FROM r GROUP BY page_name, page_id, date""",
+    "kind_of_file": """
+        SELECT event_id, kind, strftime(CAST(ts AS DATE) - (days - 1), '%Y-%m-%d') AS first_day
+        FROM events JOIN (VALUES (0, 'daily', 1), (0, 'daily_region', 1), (1, 'weekly_region', 7),
+                                 (2, '30days_region', 30), (3, '90days_region', 90), (4, 'lifelong', 0))
+                         AS k(m, kind, days) ON event_id % 6 = m""",
     "stream_ingest": _DAILY,
+    "stream_redownload": _DAILY,
 }
 
 

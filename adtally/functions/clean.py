@@ -16,6 +16,9 @@ REPORT_DATE_PATTERN = r"20[12][0-9]-[0-9]{2}-[0-9]{2}"
 CENSORED_PATTERN = r"^[^0-9]*[≤<]"
 # Text that the reports use for a missing value.
 NA_TEXT = "NA"
+# What page ids and amounts lose: all but digits; anything before the first digit.
+NOT_DIGIT_PATTERN = "[^0-9]"
+AMOUNT_PREFIX_PATTERN = "^[^0-9]+"
 # --------------------------------------------------------------------------------------
 
 # A plain decimal number with optional sign and exponent, padded by blanks. Spark's cast
@@ -35,18 +38,22 @@ def null_if_blank(c: Column | str) -> Column:
 
 def page_id_digits(c: Column | str) -> Column:
     """Keep only the digits of a page id (``id:24`` → ``24``)."""
-    return F.regexp_replace(_col(c), "[^0-9]", "")
+    return F.regexp_replace(_col(c), NOT_DIGIT_PATTERN, "")
 
 
 def strip_amount_prefix(c: Column | str) -> Column:
     """Drop everything before the first digit: ``≤100`` → ``100``, ``$250`` → ``250``."""
-    return F.regexp_replace(_col(c), "^[^0-9]+", "")
+    return F.regexp_replace(_col(c), AMOUNT_PREFIX_PATTERN, "")
 
 
 def lenient_number(c: Column | str) -> Column:
-    """Text to double; anything that is not a plain number gives null, never an error."""
+    """Text to double; anything that is not a plain number gives null, never an error.
+
+    A number beyond a bigint, which the targets could not hold, is not a number either.
+    """
     c = _col(c)
-    return F.when(c.rlike(NUMBER_PATTERN), F.trim(c).try_cast("double"))
+    number = F.trim(c).try_cast("double")
+    return F.when(c.rlike(NUMBER_PATTERN) & (F.abs(number) < float(1 << 63)), number)
 
 
 def amount_value(raw: Column | str) -> Column:
@@ -80,11 +87,14 @@ def region_from_name(name: Column | str, label: str) -> Column:
     return F.nullif(F.regexp_extract(base_name(name), pattern, 0), F.lit(""))
 
 
-def period_start(date: Column | str, days: int) -> Column:
+def period_start(date: Column | str, days: int | Column) -> Column:
     """First day covered by a report whose inclusive last day is ``date``."""
     return F.date_format(F.date_sub(F.to_date(_col(date)), days - 1), "yyyy-MM-dd")
 
 
 def round_to_long(c: Column | str) -> Column:
-    """Whole number for integer target columns (the SQL store rounded on insert)."""
-    return F.round(_col(c)).cast("bigint")
+    """Whole number for integer target columns (the SQL store rounded on insert).
+
+    Null for a sum that no bigint holds; a load never fails on a number.
+    """
+    return F.round(_col(c)).try_cast("bigint")

@@ -14,12 +14,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adtally.functions.clean import NA_TEXT, amount_value
-from adtally.operators.partitioning import spread
+from adtally.operators.partitioning import SPREAD_BYTES, spread
 
 BOM = "\ufeff"
 # Placed in empty unquoted fields before parsing so that a present-but-empty field can be
-# told apart from a missing one (from_csv turns both into null). Removed afterwards.
-_MARK = "\u0001"
+# told apart from a missing one (from_csv turns both into null). Removed afterwards. A
+# record cannot hold this character itself, because it ends lines in every archive reader.
+_MARK = "\r"
+# The CSV parser refuses lines of more columns than 20,480; longer lines are cut here
+# (their first fields and the status "long" stay the same).
+_MAX_PIECES = 20_000
 
 _CSV_OPTIONS = {
     "mode": "PERMISSIVE",
@@ -86,7 +90,7 @@ def _quote_count(line: Column) -> Column:
 def _parse_struct(line: Column, width: int) -> Column:
     """from_csv into ``width`` string fields, empty fields marked so they stay non-null."""
     schema = ", ".join(f"f{i} STRING" for i in range(width)) + ", _corrupt STRING"
-    clean = F.replace(line, F.lit(_MARK), F.lit(""))
+    clean = F.substring_index(F.replace(line, F.lit(_MARK), F.lit("")), ",", _MAX_PIECES)
     # the regex runs only on the few lines that have an empty field at all
     has_empty = clean.contains(",,") | clean.startswith(",") | clean.endswith(",")
     marked = F.when(
@@ -102,7 +106,7 @@ def _width_sql(struct: str, width: int) -> str:
 
 def _field_sql(struct: str, i: int) -> str:
     # marker out; empty text and NA to null
-    return f"nullif(nullif(replace({struct}.f{i}, char(1), ''), ''), '{NA_TEXT}')"
+    return f"nullif(nullif(replace({struct}.f{i}, char(13), ''), ''), '{NA_TEXT}')"
 
 
 def parse_lines(
@@ -180,7 +184,9 @@ def parse_problems(parsed: DataFrame, keys: tuple[str, ...] = ("path", "member")
     )
 
 
-def spread_lines(df: DataFrame, partitions: int | None = None) -> DataFrame:
+def spread_lines(
+    df: DataFrame, partitions: int | None = None, min_bytes: int = SPREAD_BYTES
+) -> DataFrame:
     """Spread lines over the cores by their position when the input has few partitions
     (see ``adtally.operators.partitioning.spread``): parsing is the costly per-line step."""
-    return spread(df, "path", "member", "line_no", partitions=partitions)
+    return spread(df, "path", "member", "line_no", partitions=partitions, min_bytes=min_bytes)

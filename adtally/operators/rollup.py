@@ -20,8 +20,10 @@ from adtally.functions.clean import (
     round_to_long,
 )
 
+# --- fixed values: columns of the target tables ------------------------------------------
 NATIONAL_COLUMNS = ("page_name", "disclaimer", "amt_spent", "num_of_ads", "page_id", "date")
 REGIONAL_COLUMNS = ("page_name", "disclaimer", "amt_spent", "region", "page_id", "date")
+# -----------------------------------------------------------------------------------------
 
 
 def clean_records(df: DataFrame, clean_page_id: bool = True) -> DataFrame:
@@ -71,10 +73,6 @@ def regional_rollup(df: DataFrame) -> DataFrame:
     )
 
 
-daily_rollup = national_rollup
-lifelong_rollup = national_rollup
-
-
 def union_members(frames: list[DataFrame]) -> DataFrame:
     """Stack frames by column name; a column missing on one side is filled with null."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

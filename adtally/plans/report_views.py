@@ -62,8 +62,8 @@ def _text(c: Column) -> Column:
 # --- events as advertiser records --------------------------------------------------------
 
 
-def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One advertiser record per event.
+def event_records(spark: SparkSession, sf_dir: str, shift_days: int = 0) -> DataFrame:
+    """One advertiser record per event; ``shift_days`` moves the dates.
 
     page = user, disclaimer = event type (every 7th event with a straight and a curly
     quote), date = event day, region = ``R`` + event id mod 5, amount ``≤100`` for values
@@ -84,17 +84,19 @@ def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         disclaimer.alias("disclaimer"),
         amount.alias("amount_spent"),
         _text(F.col("event_id") % 4).alias("number_of_ads"),
-        F.to_date("ts").cast("string").alias("date"),
+        F.date_add(F.to_date("ts"), shift_days).cast("string").alias("date"),
         F.concat(F.lit("R"), _text(F.col("event_id") % 5)).alias("region"),
     )
 
 
-def event_lines(spark: SparkSession, sf_dir: str, label: str, regional: bool) -> DataFrame:
+def event_lines(
+    spark: SparkSession, sf_dir: str, label: str, regional: bool, shift_days: int = 0
+) -> DataFrame:
     """Events as member lines of report archives (one archive per day).
 
     Every 500th line starts with a byte-order mark, like older published reports.
     """
-    r = event_records(spark, sf_dir)
+    r = event_records(spark, sf_dir, shift_days)
     archive = F.concat(F.lit(f"{_PREFIX}_"), F.col("date"), F.lit(f"_US_{label}.zip"))
     if regional:
         member = F.concat(
@@ -117,23 +119,24 @@ def event_lines(spark: SparkSession, sf_dir: str, label: str, regional: bool) ->
     )
 
 
-def with_headers(body: DataFrame, header: str) -> DataFrame:
-    """Add one header line (``line_no`` 0) per member and name the archive column
-    ``archive``, ready for ``write_archives``."""
-    heads = body.select("path", "member").distinct().select(
-        "path", "member", F.lit(0).cast("bigint").alias("line_no"), F.lit(header).alias("line")
-    )
-    return body.unionByName(heads).withColumnRenamed("path", "archive")
-
-
 NATIONAL_HEADER = "Page ID,Page name,Disclaimer,Amount spent (USD),Number of ads in Library"
 REGIONAL_HEADER = "Page ID,Page name,Disclaimer,Amount spent (USD)"
 
 
-def event_archive_lines(spark: SparkSession, sf_dir: str, label: str, regional: bool) -> DataFrame:
-    """Like :func:`event_lines` plus one header line per member, for writing archives."""
-    body = event_lines(spark, sf_dir, label, regional)
-    return with_headers(body, REGIONAL_HEADER if regional else NATIONAL_HEADER)
+def header_of(member: str) -> str | None:
+    """The header line of a report member; other members have none."""
+    if not member.endswith(".csv"):
+        return None
+    return REGIONAL_HEADER if member.startswith("regions/") else NATIONAL_HEADER
+
+
+def notes_beside(lines: DataFrame) -> DataFrame:
+    """``lines`` and, in each of their archives, a member that a load must ignore."""
+    note = lines.groupBy("path").agg(F.count(F.lit(1)).alias("n")).select(
+        "path", F.lit("regions/readme.txt").alias("member"), F.lit(1).cast("bigint").alias("line_no"),
+        F.concat_ws(",", F.lit("0,note,note"), F.col("n")).alias("line"),
+    )
+    return lines.unionByName(note)
 
 
 # --- orders with suppliers as a lifelong report --------------------------------------------
@@ -144,7 +147,7 @@ def event_archive_lines(spark: SparkSession, sf_dir: str, label: str, regional:
 SHIFT_DAYS = 10_227
 
 
-def lineitem_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def lineitem_lines(spark: SparkSession, sf_dir: str, shift_days: int = SHIFT_DAYS) -> DataFrame:
     """Line items joined to their supplier as lines of monthly lifelong reports.
 
     page = supplier (name, dirty id ``id:<suppkey>``), disclaimer from return flag and
@@ -164,7 +167,7 @@ def lineitem_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         _text(F.floor("l_extendedprice").cast("bigint")),
         _text(F.floor("l_quantity").cast("bigint")),
     )
-    shifted = F.date_add(F.to_date("l_shipdate"), SHIFT_DAYS)
+    shifted = F.date_add(F.to_date("l_shipdate"), shift_days)
     date = F.trunc(shifted, "month").cast("string")
     return joined.select(
         F.concat(F.lit(f"{_PREFIX}_"), date, F.lit("_US_lifelong.zip")).alias("path"),
@@ -174,6 +177,14 @@ def lineitem_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def lifelong_pair(lines: DataFrame) -> DataFrame:
+    """Two candidate members per lifelong archive: the lines in the first by name, and the
+    same lines with another amount in the second, which a load must not read."""
+    first = lines.withColumn("member", F.replace("member", F.lit(f"{_PREFIX}_"), F.lit(f"{_PREFIX}Revamp_")))
+    second = lines.withColumn("line", F.concat("line", F.lit("0")))
+    return first.unionByName(second)
+
+
 # --- customers as damaged CSV lines ---------------------------------------------------------
 
 
@@ -203,6 +214,13 @@ def customer_lines(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
         line = F.when(k % 2 == 0, F.concat_ws(",", key, name, seg, acct)).otherwise(
             F.concat_ws(",", key, name, seg, acct, ads)
         )
+    elif mode == "strict":
+        # 4 to 7 fields, read without quote repair: a quote left open swallows the rest
+        disc = F.when(k % 9 == 0, F.concat(F.lit('"Open '), seg)).otherwise(seg)
+        extra = [F.when(k % 4 >= n, F.lit(f"x{n}")) for n in (1, 2, 3)]
+        line = F.concat_ws(",", key, name, disc, acct, *extra)
+    elif mode == "old":
+        line = F.concat_ws(",", name, F.concat(F.lit('"'), seg, F.lit(', Inc"')), acct, ads)
     elif mode == "problems":
         m = k % 5
         line = (
@@ -241,6 +259,23 @@ def event_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select("event_id", raw.alias("raw"))
 
 
+def event_bad_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as lines of daily reports with amounts that are no bigint, by event id mod 11:
+    0 and 1 far too large, 2 no number; users divisible by 7 have no valid amount at all."""
+    r = event_records(spark, sf_dir)
+    m = F.col("event_id") % 11
+    amount = (
+        F.when((m == 0) | (F.col("page_id").cast("bigint") % 7 == 0), F.lit("9" * 23))
+        .when(m == 1, F.lit("1e400")).when(m == 2, F.lit("abc")).otherwise(F.col("amount_spent"))
+    )
+    return r.select(
+        F.concat(F.lit(f"{_PREFIX}_"), F.col("date"), F.lit("_US_yesterday.zip")).alias("path"),
+        F.concat(F.lit(f"{_PREFIX}_"), F.col("date"), F.lit("_US_yesterday_advertisers.csv")).alias("member"),
+        (F.col("event_id") + 1).alias("line_no"),
+        csv_line(F.col("page_id"), F.col("page_name"), F.lit("d"), amount, F.col("number_of_ads")).alias("line"),
+    )
+
+
 # --- archive listings from event days --------------------------------------------------------
 
 

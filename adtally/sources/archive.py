@@ -3,8 +3,8 @@
 Listing reads file metadata only (``binaryFile`` with ``content`` pruned), so the date
 floor and the loaded-date anti join run before a single archive byte is read. Contents are
 then loaded for the surviving archives alone and unpacked by a ``mapInArrow`` task per
-input partition that streams member lines in bounded batches, or, for large archives, by
-the ``report_zip_members`` data source with one task per member (``zip_members.py``).
+input partition that streams member lines in bounded batches, or, on request, by one task
+per member (``zip_members.py``).
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from __future__ import annotations
 import io
 import re
 import zipfile
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -26,31 +27,45 @@ BINARY_SCHEMA = "path string, modificationTime timestamp, length long, content b
 _BOM = "\ufeff"
 
 
-def list_archives(spark: SparkSession, folder: str, kind: str | ReportKind) -> DataFrame:
-    """Archives of one kind in ``folder``: ``path, name, modificationTime, length, report_date``.
+def literal_path(path: str) -> str:
+    """``path`` with the characters that Spark's readers take for a pattern escaped."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
+
+
+def _folder(spark: SparkSession, folder: str) -> str:
+    """A folder of that very name if there is one, else the pattern that it may be."""
+    jvm, conf = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    return literal_path(folder) if path.getFileSystem(conf).exists(path) else folder
 
-    File contents are never read here. Names whose pattern matches but that carry no
-    report date are left out.
+
+def archive_files(spark: SparkSession, folder: str) -> DataFrame:
+    """All ZIP files of ``folder`` (a name or a pattern): ``path, modificationTime, length``.
+
+    File contents are never read here.
     """
-    k = get_kind(kind)
-    files = (
+    return (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", "*.zip")
-        .load(folder)
+        .load(_folder(spark, folder))
         .select("path", "modificationTime", "length")
     )
-    return select_archives(files, k)
+
+
+def list_archives(spark: SparkSession, folder: str, kind: str | ReportKind) -> DataFrame:
+    """Archives of one kind in ``folder``: ``path, name, modificationTime, length, report_date``.
+
+    ``report_date`` is null for a name that matches but carries no date; a load reports
+    such archives as rejected.
+    """
+    return select_archives(archive_files(spark, folder), kind)
 
 
 def select_archives(files: DataFrame, kind: str | ReportKind) -> DataFrame:
     """Keep files whose base name matches the kind's archive pattern; parse their date."""
     k = get_kind(kind)
     named = files.withColumn("name", base_name("path"))
-    return (
-        named.filter(F.col("name").rlike(k.archive_regex))
-        .withColumn("report_date", report_date("name"))
-        .filter(F.col("report_date").isNotNull())
-    )
+    return named.filter(F.col("name").rlike(k.archive_regex)).withColumn("report_date", report_date("name"))
 
 
 def choose_new(
@@ -60,16 +75,23 @@ def choose_new(
 ) -> DataFrame:
     """Archives still to load: on or after the floor, date not loaded, latest copy per date.
 
-    ``loaded_dates`` has one string column ``date``. It is broadcast: it holds at most one
-    row per calendar day, whatever the data volume. When two archives carry the same date
-    (a re-download), the one modified last wins; ties go to the larger path.
+    ``loaded_dates`` has a string column ``date`` and may have a timestamp ``modified``, when
+    the archive it was loaded from was modified: then a strictly newer archive of that date
+    is chosen again. It is broadcast: it holds one row per calendar day, whatever the data
+    volume. When two archives carry the same date (a re-download), the one modified last
+    wins; ties go to the larger path. Archives without a date are never chosen.
     """
-    out = archives
+    out = archives.filter(F.col("report_date").isNotNull())
     if floor_date is not None:
         out = out.filter(F.col("report_date") >= F.lit(floor_date))
     if loaded_dates is not None:
-        dates = loaded_dates.select(F.col("date").cast("string").alias("_loaded"))
-        out = out.join(F.broadcast(dates), F.col("report_date") == F.col("_loaded"), "left_anti")
+        known = "modified" in loaded_dates.columns
+        modified = F.col("modified") if known else F.lit(None).cast("timestamp")
+        dates = loaded_dates.groupBy(F.col("date").cast("string").alias("_loaded")).agg(F.max(modified).alias("_modified"))
+        same = F.col("report_date") == F.col("_loaded")
+        if known:
+            same &= F.col("_modified").isNull() | (F.col("modificationTime") <= F.col("_modified"))
+        out = out.join(F.broadcast(dates), same, "left_anti")
     length = F.col("length") if "length" in out.columns else F.lit(None).cast("long")
     latest = F.max(F.struct("modificationTime", "path", length.alias("length"))).alias("_latest")
     return (
@@ -141,6 +163,19 @@ def line_batch(path: str, member: str, first_no: int, lines: list[str]) -> pa.Re
     )
 
 
+def rejected_batch(path: str, member: str | None, reason: str) -> pa.RecordBatch:
+    """One line numbered -1 that says why an archive can't be read."""
+    return line_batch(path, member, -1, [reason])
+
+
+def tolerant_batches(path: str, member: str | None, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``batches``, and in place of an error in the archive a line that names it."""
+    try:
+        yield from batches
+    except (zipfile.BadZipFile, zlib.error, EOFError, NotImplementedError, RuntimeError, ValueError) as e:
+        yield rejected_batch(path, member, f"{type(e).__name__}: {e}")
+
+
 def _member_lines(
     path: str, content: bytes, pattern: re.Pattern, first_only: bool, batch: int
 ) -> Iterator[pa.RecordBatch]:
@@ -158,8 +193,8 @@ def unzip_lines(
 ) -> DataFrame:
     """Lines of the matching members of each archive row (``path``, ``content``).
 
-    Arrow batches in and out (``mapInArrow``), no pandas conversion. Fails, naming the
-    archive, when an archive holds no matching member.
+    Arrow batches in and out (``mapInArrow``), no pandas conversion. An archive that is
+    damaged or holds no matching member gives a line numbered -1 with the reason.
     """
     from adtally.session import ship_package
 
@@ -172,20 +207,13 @@ def unzip_lines(
             contents = b.column("content")
             for i, path in enumerate(paths):
                 content = contents[i].as_py()
-                yield from _member_lines(path, content, pattern, first_member_only, batch_lines)
+                lines = _member_lines(path, content, pattern, first_member_only, batch_lines)
+                yield from tolerant_batches(path, None, lines)
 
     return archives.select("path", "content").mapInArrow(unpack, LINE_SCHEMA)
 
 
-# Archives at least this large are read one member per task by the "auto" reader.
-MEMBER_READER_BYTES = 64 * 1024 * 1024
-
-
-def pick_reader(lengths: list[int | None]) -> str:
-    """``members`` when some archive is large enough for per-member tasks to pay for
-    their planning cost, else ``archive`` (one task per archive)."""
-    largest = max((n or 0 for n in lengths), default=0)
-    return "members" if largest >= MEMBER_READER_BYTES else "archive"
+READERS = ("archive", "members")
 
 
 def read_archive_lines(
@@ -193,35 +221,24 @@ def read_archive_lines(
     paths: list[str],
     kind: str | ReportKind,
     reader: str = "archive",
+    member_regex: str | None = None,
 ) -> DataFrame:
     """Load the given archives and return their member lines for ``kind``.
 
     ``paths`` are the few archives chosen by :func:`choose_new` (file names, not data).
     ``reader="archive"``: ``binaryFile`` + ``mapInArrow``, one task per archive (any
-    Hadoop file system; an archive must stay below 2 GB). ``reader="members"``: the
-    ``report_zip_members`` data source, one task per (archive, member) reading only that
-    member's bytes (file systems reachable through pyarrow). Either way an archive member
-    is decompressed by one task; ``spread_lines`` afterwards spreads the parsing.
+    Hadoop file system; an archive must stay below 2 GB). ``reader="members"``: one task
+    per (archive, member) reading only that member's bytes (file systems reachable through
+    pyarrow). Either way an archive member is decompressed by one task; ``spread_lines``
+    afterwards spreads the parsing. Archives that can't be read give lines numbered -1.
     """
     k = get_kind(kind)
+    pattern = member_regex or k.member_regex
+    if reader not in READERS:
+        raise ValueError(f"reader must be one of {READERS}")
     if reader == "members":
         from adtally.sources.zip_members import read_members
 
-        return read_members(spark, paths, k.member_regex, k.first_member_only)
-    if reader != "archive":
-        raise ValueError("reader must be 'archive' or 'members'")
-    content = spark.read.format("binaryFile").load(paths)
-    return unzip_lines(content, k.member_regex, k.first_member_only)
-
-
-def first_matching_member(members: DataFrame, member_regex: str, by: str = "path") -> DataFrame:
-    """Per ``by`` group, the first member name (code-point order) matching the pattern.
-
-    The same choice the ZIP reader makes for kinds that read one member only; as a
-    DataFrame operation it is a partial-then-final ``min`` aggregate.
-    """
-    return (
-        members.filter(F.col("member").rlike(member_regex))
-        .groupBy(by)
-        .agg(F.min("member").alias("first_member"))
-    )
+        return read_members(spark, paths, pattern, k.first_member_only)
+    content = spark.read.format("binaryFile").load([literal_path(p) for p in paths])
+    return unzip_lines(content, pattern, k.first_member_only)

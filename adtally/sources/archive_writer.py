@@ -11,12 +11,15 @@ speculative task never exposes a half-written archive to a listing.
 from __future__ import annotations
 
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from adtally.sources.zip_members import filesystem_of
+
+HeaderOf = Callable[[str], str | None]
 WRITTEN_SCHEMA = "archive string, members long, lines long"
 
 
@@ -28,17 +31,16 @@ def _attempt_tag() -> str:
 
 
 class _ArchiveStream:
-    def __init__(self, uri: str):
-        from pyarrow import fs
-
+    def __init__(self, uri: str, header_of: HeaderOf | None):
         self.uri = uri
-        self.fs, self.path = fs.FileSystem.from_uri(uri)
+        self.fs, self.path = filesystem_of(uri)
         parent, name = self.path.rsplit("/", 1)
         self.fs.create_dir(parent, recursive=True)
         # hidden to Spark's file listing (leading dot) and to the *.zip glob
         self.tmp = f"{parent}/.{name}.{_attempt_tag()}.tmp"
         self.out = self.fs.open_output_stream(self.tmp)
         self.zf = zipfile.ZipFile(self.out, "w", compression=zipfile.ZIP_DEFLATED)
+        self.header_of = header_of
         self.member = None
         self.handle = None
         self.members = 0
@@ -51,6 +53,9 @@ class _ArchiveStream:
             self.handle = self.zf.open(member, "w", force_zip64=True)
             self.member = member
             self.members += 1
+            header = self.header_of(member) if self.header_of else None
+            if header is not None:
+                self.handle.write(f"{header}\n".encode("utf-8"))
         self.handle.write(("\n".join(lines) + "\n").encode("utf-8"))
         self.lines += len(lines)
 
@@ -67,9 +72,15 @@ class _ArchiveStream:
         return self.uri, self.members, self.lines
 
 
-def write_archives(lines: DataFrame, folder: str, partitions: int | None = None) -> DataFrame:
+def write_archives(
+    lines: DataFrame, folder: str, partitions: int | None = None, header_of: HeaderOf | None = None
+) -> DataFrame:
     """Write one ZIP per distinct ``archive`` (a file name) under ``folder``.
 
+    ``header_of`` gives a member's first line (None: no header), so that the lines need not
+    be read a second time to find the members. An archive is one file and so one task's
+    work; many archives are written side by side.
+
     Returns one row per archive written: ``archive`` (full URI), ``members``, ``lines``.
     An action on the result performs the writes.
     """
@@ -77,8 +88,6 @@ def write_archives(lines: DataFrame, folder: str, partitions: int | None = None)
 
     ship_package(lines.sparkSession)
     base = folder.rstrip("/")
-    if base.startswith("/"):
-        base = "file://" + base
     ordered = (
         lines.select("archive", "member", "line_no", "line")
         .repartition(partitions or lines.sparkSession.sparkContext.defaultParallelism, "archive")
@@ -99,7 +108,7 @@ def write_archives(lines: DataFrame, folder: str, partitions: int | None = None)
                 if current is None or current.uri != uri:
                     if current is not None:
                         done.append(current.close())
-                    current = _ArchiveStream(uri)
+                    current = _ArchiveStream(uri, header_of)
                 current.write(members[start], texts[start:i])
                 start = i
         if current is not None:

@@ -8,13 +8,14 @@ name, never by position.
 
 from __future__ import annotations
 
-import threading
-from contextlib import contextmanager
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from adtally.sources.archive import literal_path
+
 # --- fixed values: target table columns --------------------------------------------------
 NATIONAL_DDL = (
     "page_name STRING, disclaimer STRING, amt_spent BIGINT, num_of_ads BIGINT, "
@@ -33,12 +34,46 @@ def create_target(
     regional: bool = False,
     location: str | None = None,
 ) -> None:
-    """Create a date-partitioned parquet target unless it exists."""
-    cols = REGIONAL_DDL if regional else NATIONAL_DDL
-    where = f" LOCATION '{location}'" if location else ""
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {table} ({cols}) USING parquet PARTITIONED BY (date){where}"
-    )
+    """Create a date-partitioned parquet target unless it exists.
+
+    A session's catalog may forget its tables (the default one does) while their folders
+    last. So a folder that already holds data, at ``location`` or where a table of that name
+    would lie, becomes the table's folder, and its partitions are recovered.
+    """
+    _create(spark, table, REGIONAL_DDL if regional else NATIONAL_DDL, location)
+
+
+def open_table(spark: SparkSession, table: str) -> DataFrame:
+    """A target's rows; a table the catalog has forgotten is found by its folder."""
+    if not spark.catalog.tableExists(table):
+        place = _default_location(spark, table)
+        if not _exists(spark, place):
+            raise ValueError(f"no table {table}, and no folder {place}")
+        regional = "region" in spark.read.parquet(literal_path(place)).columns
+        create_target(spark, table, regional)
+    return spark.table(table)
+
+
+def _create(spark: SparkSession, table: str, ddl: str, location: str | None) -> None:
+    if spark.catalog.tableExists(table):
+        return
+    place = location or _default_location(spark, table)
+    found = _exists(spark, place)
+    where = " LOCATION '{}'".format(place.replace("'", "\\'")) if location or found else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({ddl}) USING parquet PARTITIONED BY (date){where}")
+    if found:
+        spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+
+
+def _default_location(spark: SparkSession, table: str) -> str:
+    *database, name = table.split(".")
+    base = spark.catalog.getDatabase(database[-1] if database else spark.catalog.currentDatabase())
+    return f"{base.locationUri.rstrip('/')}/{name.strip('`').lower()}"
+
+
+def _exists(spark: SparkSession, folder: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(path)
 
 
 def create_like(spark: SparkSession, table: str, like: str, location: str | None = None) -> None:
@@ -50,15 +85,15 @@ def create_like(spark: SparkSession, table: str, like: str, location: str | None
 def loaded_dates(spark: SparkSession, table: str) -> DataFrame:
     """Distinct report dates already in a table, as one string column ``date``.
 
-    Dates are partition values, so the catalog answers without opening a data file
-    (``SHOW PARTITIONS``); writes here only ever create partitions that hold rows. A
-    table whose partitions the catalog does not track is scanned instead.
+    Where the table is partitioned by date, the catalog answers without opening a data file
+    (``SHOW PARTITIONS``); writes here only ever create partitions that hold rows. Another
+    table is scanned instead.
     """
-    try:
+    partitions = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    if partitions == ["date"]:
         parts = spark.sql(f"SHOW PARTITIONS {table}")
         return parts.select(F.regexp_extract("partition", r"^date=(.*)$", 1).alias("date"))
-    except Exception:  # noqa: BLE001 - not partitioned by date, or not tracked
-        return spark.table(table).select(F.col("date").cast("string").alias("date")).distinct()
+    return spark.table(table).select(F.col("date").cast("string").alias("date")).distinct()
 
 
 def loaded_dates_jdbc(spark: SparkSession, url: str, table: str, **props: str) -> DataFrame:
@@ -73,15 +108,24 @@ def loaded_dates_jdbc(spark: SparkSession, url: str, table: str, **props: str) -
     )
 
 
+#: Spark's own file formats: an overwrite of these replaces just the written partitions.
+FILE_FORMATS = ("parquet", "orc", "json", "csv", "avro")
+
+
 @dataclass(frozen=True)
 class PathSink:
-    """A date-partitioned folder in any file format Spark writes (``parquet``, ``orc``,
-    ``json``, a connector's format name...), used where a table name is accepted."""
+    """A date-partitioned folder in a file format of Spark's (``parquet``, ``orc``, ``json``,
+    ``csv``, ``avro``), used where a table name is accepted. Other formats are refused: a
+    connector need not replace single dates, and would then replace the whole target."""
 
     path: str
     format: str = "parquet"
     options: dict[str, str] = field(default_factory=dict)
 
+    def __post_init__(self) -> None:
+        if self.format not in FILE_FORMATS:
+            raise ValueError(f"a folder's format must be one of {FILE_FORMATS}, not {self.format!r}")
+
     def __hash__(self) -> int:
         return hash((self.path, self.format))
 
@@ -93,10 +137,14 @@ def read_sink(spark: SparkSession, sink: Sink) -> DataFrame | None:
     """Rows of a sink with ``date`` as text, or None for a folder not written yet."""
     if isinstance(sink, str):
         return spark.table(sink)
-    try:
-        df = spark.read.format(sink.format).options(**sink.options).load(sink.path)
-    except Exception:  # noqa: BLE001 - the folder does not exist yet
+    if not _exists(spark, sink.path):
         return None
+    try:
+        df = spark.read.format(sink.format).options(**sink.options).load(literal_path(sink.path))
+    except AnalysisException as e:
+        if e.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        return None  # the folder holds no file yet
     return df.withColumn("date", F.col("date").cast("string"))
 
 
@@ -120,22 +168,10 @@ def loaded_in_all(spark: SparkSession, tables: list[Sink]) -> DataFrame:
     return out
 
 
-_OVERWRITE_LOCK = threading.Lock()
-
-
-@contextmanager
-def _dynamic_overwrite(spark: SparkSession):
+def _overwrite_single_dates(spark: SparkSession) -> None:
     # insertInto ignores a per-write partitionOverwriteMode option and the v2 writer
-    # refuses v1 file tables, so the session setting is switched for the write; the lock
-    # keeps concurrent loads in one process from interleaving the switch
-    key = "spark.sql.sources.partitionOverwriteMode"
-    with _OVERWRITE_LOCK:
-        before = spark.conf.get(key)
-        spark.conf.set(key, "dynamic")
-        try:
-            yield
-        finally:
-            spark.conf.set(key, before)
+    # refuses v1 file tables, so the session setting is made, once and for good
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
 
 
 def _by_name(spark: SparkSession, df: DataFrame, table: str) -> DataFrame:
@@ -148,7 +184,9 @@ def overwrite_dates(df: DataFrame, table: Sink, columns: list[str] | None = None
 
     The ``rebalance`` hint lets adaptive execution split a date that holds a large share
     of the rows over several writers and merge small dates, instead of one file per
-    shuffle partition and date. A ``PathSink`` is written with ``columns`` (default: the
+    shuffle partition and date. That needs ``spark.sql.adaptive.enabled``, which is on by
+    default; without it a large date is written by one task. The session's
+    ``partitionOverwriteMode`` becomes ``dynamic``. A ``PathSink`` is written with ``columns`` (default: the
     frame's) partitioned by ``date``.
     """
     spark = df.sparkSession
@@ -161,8 +199,44 @@ def overwrite_dates(df: DataFrame, table: Sink, columns: list[str] | None = None
         )
         return
     out = _by_name(spark, df, table).hint("rebalance", "date")
-    with _dynamic_overwrite(spark):
-        out.write.insertInto(table, overwrite=True)
+    _overwrite_single_dates(spark)
+    out.write.insertInto(table, overwrite=True)
+
+
+# --- the ledger of a target ---------------------------------------------------------------
+
+_LEDGER_DDL = "path STRING, modified TIMESTAMP, done BOOLEAN, date STRING"
+
+
+def ledger_of(sink: Sink) -> Sink:
+    """Beside a target: which archive each date came from, and when that was modified."""
+    return f"{sink}__loads" if isinstance(sink, str) else PathSink(f"{sink.path.rstrip('/')}__loads")
+
+
+def record_loads(spark: SparkSession, sink: Sink, loads: list[tuple], done: bool) -> None:
+    """Notes ``loads`` (archive, modified, date): before the rows are written with ``done``
+    false, after it with true. A date that stays undone is loaded again by the next run."""
+    ledger = ledger_of(sink)
+    if isinstance(ledger, str):
+        _create(spark, ledger, _LEDGER_DDL, None)
+    rows = [(path, modified, done, date) for path, modified, date in loads]
+    overwrite_dates(spark.createDataFrame(rows, _LEDGER_DDL).coalesce(1), ledger)
+
+
+def with_ledger(spark: SparkSession, sink: Sink, dates: DataFrame) -> DataFrame:
+    """``date, modified`` of the loaded ``dates``; unfinished ones are left out, and
+    ``modified`` is null for dates that no load has noted."""
+    ledger = ledger_of(sink)
+    if isinstance(ledger, str):
+        place = _default_location(spark, ledger)
+        if not spark.catalog.tableExists(ledger) and not _exists(spark, place):
+            return dates.withColumn("modified", F.lit(None).cast("timestamp"))
+        _create(spark, ledger, _LEDGER_DDL, None)
+    notes = read_sink(spark, ledger)
+    if notes is None:
+        return dates.withColumn("modified", F.lit(None).cast("timestamp"))
+    notes = notes.select("date", "modified", "done")
+    return dates.join(notes, "date", "left").filter("coalesce(done, true)").select("date", "modified")
 
 
 def append(df: DataFrame, table: str) -> None:

@@ -1,78 +1,40 @@
-"""A Python data source with one partition per (archive, member).
+"""Member lines of archives, one task per (archive, member).
 
-Planning opens each chosen archive's central directory (names only); every task then
-opens its archive through pyarrow's file-system layer and decompresses just its member,
-so the members of one archive are read in parallel and no archive is held in memory.
+A first distributed step opens each archive's central directory (names only) and gives one
+row per member; the rows are dealt out one by one, and each task decompresses just its
+members, so the members of one archive are read in parallel and no archive is held in
+memory. Archives are opened through pyarrow's file systems, in tasks only.
 """
 
 from __future__ import annotations
 
-import json
 import re
 import zipfile
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql import functions as F
 
-from adtally.sources.archive import LINE_SCHEMA, line_batch, matching_members, member_line_batches
+from adtally.sources.archive import LINE_SCHEMA, line_batch, matching_members, member_line_batches, tolerant_batches
 
-FORMAT = "report_zip_members"
+_MEMBER_SCHEMA = "path string, member string, problem string"
 
 
-def _open(uri: str):
+def filesystem_of(uri: str):
+    """pyarrow's file system and the path in it. Local paths may hold any character; s3a is
+    pyarrow's s3."""
     from pyarrow import fs
 
-    if uri.startswith("file:") and not uri.startswith("file://"):
-        uri = "file://" + uri[len("file:"):]
-    if uri.startswith("/"):
-        uri = "file://" + uri
-    filesystem, path = fs.FileSystem.from_uri(uri)
-    return filesystem.open_input_file(path)
-
-
-class _Reader(DataSourceReader):
-    def __init__(self, options: dict[str, str]):
-        self.paths = json.loads(options["paths"])
-        self.pattern = options["member_regex"]
-        self.first_only = options.get("first_member_only", "false") == "true"
-        self.batch = int(options.get("batch_lines", "10000"))
-
-    def partitions(self) -> list[InputPartition]:
-        from concurrent.futures import ThreadPoolExecutor
+    if uri.startswith(("/", "file:")):
+        return fs.LocalFileSystem(), "/" + uri.removeprefix("file:").lstrip("/")
+    return fs.FileSystem.from_uri(re.sub("^s3a:", "s3:", uri))
 
-        pattern = re.compile(self.pattern)
-
-        def members(path: str) -> list[str]:
-            # reads only the central directory at the end of the archive
-            with _open(path) as f, zipfile.ZipFile(f) as zf:
-                return matching_members(zf, pattern, self.first_only, path)
-
-        with ThreadPoolExecutor(max_workers=16) as pool:
-            names = list(pool.map(members, self.paths))
-        return [InputPartition((p, n)) for p, ns in zip(self.paths, names) for n in ns]
-
-    def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
-        path, name = partition.value
-        with _open(path) as f, zipfile.ZipFile(f) as zf:
-            for first_no, lines in member_line_batches(zf, name, self.batch):
-                yield line_batch(path, name, first_no, lines)
 
-
-class ReportZipMembers(DataSource):
-    """``spark.read.format("report_zip_members")`` with options ``paths`` (JSON list of
-    archive URIs), ``member_regex``, ``first_member_only`` and ``batch_lines``."""
-
-    @classmethod
-    def name(cls) -> str:
-        return FORMAT
-
-    def schema(self) -> str:
-        return LINE_SCHEMA
-
-    def reader(self, schema) -> DataSourceReader:
-        return _Reader(self.options)
+def open_archive(uri: str):
+    """A seekable file."""
+    filesystem, path = filesystem_of(uri)
+    return filesystem.open_input_file(path)
 
 
 def read_members(
@@ -81,17 +43,45 @@ def read_members(
     member_regex: str,
     first_member_only: bool = False,
     batch_lines: int = 10_000,
+    partitions: int | None = None,
 ) -> DataFrame:
-    """Member lines of the given archives, one partition per matching member."""
+    """Member lines of the given archives, dealt out over ``partitions`` (default: two for
+    each core). An archive that can't be opened or has no matching member gives a line
+    numbered -1 with the reason."""
     from adtally.session import ship_package
 
     ship_package(spark)
-    spark.dataSource.register(ReportZipMembers)
-    return (
-        spark.read.format(FORMAT)
-        .option("paths", json.dumps(list(paths)))
-        .option("member_regex", member_regex)
-        .option("first_member_only", str(first_member_only).lower())
-        .option("batch_lines", str(batch_lines))
-        .load()
-    )
+    pattern = re.compile(member_regex)
+
+    def members(path: str) -> Iterator[pa.RecordBatch]:
+        with open_archive(path) as f, zipfile.ZipFile(f) as zf:
+            names = matching_members(zf, pattern, first_member_only, path)
+        yield line_batch(path, None, 0, names)
+
+    def list_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for path in b.column(0).to_pylist():
+                for found in tolerant_batches(path, None, members(path)):
+                    good = found.column(2)[0].as_py() >= 0
+                    texts, none = found.column(3), pa.nulls(found.num_rows, pa.string())
+                    columns = [found.column(0), texts if good else none, none if good else texts]
+                    yield pa.RecordBatch.from_arrays(columns, ["path", "member", "problem"])
+
+    def lines_of(path: str, name: str) -> Iterator[pa.RecordBatch]:
+        with open_archive(path) as f, zipfile.ZipFile(f) as zf:
+            for first_no, lines in member_line_batches(zf, name, batch_lines):
+                yield line_batch(path, name, first_no, lines)
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for path, name, problem in zip(*(c.to_pylist() for c in b.columns)):
+                if problem is not None:
+                    yield line_batch(path, None, -1, [problem])
+                else:
+                    yield from tolerant_batches(path, name, lines_of(path, name))
+
+    cores = spark.sparkContext.defaultParallelism
+    width = partitions or 2 * cores
+    listed = spark.createDataFrame([(p,) for p in paths], "path string").repartition(min(max(len(paths), 1), width))
+    dealt = listed.mapInArrow(list_members, _MEMBER_SCHEMA).repartition(width, F.xxhash64("path", "member"))
+    return dealt.mapInArrow(read, LINE_SCHEMA)

@@ -3,12 +3,16 @@
 The file source tracks which archives it has seen; only ``path`` and
 ``modificationTime`` are selected, so it never reads archive contents itself. Every
 micro-batch goes through the same choice of new reports and idempotent per-date write as
-the batch pipeline. Losing the checkpoint is harmless: the targets are checked again and a
-re-read date replaces its own partition.
+the batch pipeline, which decides by modification time and not by the cut into batches.
+Losing the checkpoint is harmless: the targets are checked again and a re-read date
+replaces its own partition. Rejected archives are logged and, with ``problems``, stored; the
+stream goes on.
 """
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -17,6 +21,9 @@ from adtally.plans.loader import load_listing
 from adtally.sources.archive import BINARY_SCHEMA, select_archives
 
 
+LOG = logging.getLogger(__name__)
+
+
 def archive_stream(
     spark: SparkSession, source_dir: str, max_files_per_trigger: int | None = None
 ) -> DataFrame:
@@ -54,7 +61,11 @@ def start_ingest(
     k = get_kind(kind)
 
     def load_batch(files: DataFrame, epoch_id: int) -> None:
-        load_listing(files.sparkSession, select_archives(files, k), k, **options)
+        # an exception here would fail the same batch again at every restart
+        chosen = {"on_reject": "return", **options}
+        loaded = load_listing(files.sparkSession, select_archives(files, k), k, **chosen)
+        for path, reason in loaded.rejected:
+            LOG.warning("not loaded: %s: %s", path, reason)
 
     writer = (
         archive_stream(spark, source_dir, max_files_per_trigger)

@@ -1,4 +1,5 @@
 import os
+import re
 import sys
 import tempfile
 
@@ -32,7 +33,7 @@ def spark():
 @pytest.fixture
 def fresh_db(spark, request):
     """A database of its own per test, so target tables never collide."""
-    name = "t_" + request.node.name.replace("[", "_").replace("]", "_").replace("-", "_")[:50]
+    name = "t_" + re.sub(r"\W", "_", request.node.name)[:50]
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
     yield name
     spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")

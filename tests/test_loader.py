@@ -3,11 +3,9 @@
 import os
 
 import pytest
-from pyspark.errors import PythonException
-from pyspark.sql.utils import AnalysisException  # noqa: F401
 
 from adtally.plans.kinds import KINDS
-from adtally.plans.loader import run_batch
+from adtally.plans.loader import RejectedArchives, run_batch
 from adtally.sources.archive import choose_new, list_archives
 from zipfixtures import (
     HEADER_NEW,
@@ -64,10 +62,12 @@ def test_second_run_changes_nothing_and_loaded_is_skipped(spark, fresh_db, tmp_p
     t = f"{fresh_db}.fb_daily"
     run_batch(spark, "daily", src, target=t)
     before = table_rows(spark, t)
-    # the loaded archive is now unreadable: if it were opened, the run would fail
+    # the loaded archive is now unreadable, though not newer: if it were opened, it would be rejected
     path = os.path.join(src, archive_name("yesterday", "2021-03-01"))
+    times = os.stat(path)
     with open(path, "wb") as f:
         f.write(b"not a zip")
+    os.utime(path, ns=(times.st_atime_ns, times.st_mtime_ns))
     assert run_batch(spark, "daily", src, target=t) == []
     assert table_rows(spark, t) == before
 
@@ -122,7 +122,7 @@ def test_date_mismatch_fails_by_default(spark, fresh_db, tmp_path):
 def test_empty_archive_names_the_archive(spark, fresh_db, tmp_path):
     src = str(tmp_path / "Lifelong")
     write_zip(os.path.join(src, archive_name("lifelong", "2021-03-01")), {"readme.txt": "x"})
-    with pytest.raises(PythonException, match="FacebookAdLibraryReport_2021-03-01_US_lifelong.zip"):
+    with pytest.raises(RejectedArchives, match="FacebookAdLibraryReport_2021-03-01_US_lifelong.zip"):
         run_batch(spark, "lifelong", src, target=f"{fresh_db}.l")
 
 
@@ -244,16 +244,20 @@ def test_member_reader_partitions_and_errors(spark, tmp_path):
 
     src = str(tmp_path / "z")
     a = write_zip(os.path.join(src, "a.zip"), {"x1.csv": "h\n1\n2\n", "x2.csv": "h\n3\n", "y.txt": "no"})
-    lines = read_members(spark, [a], r"\.csv$")
-    assert lines.rdd.getNumPartitions() == 2
+    lines = read_members(spark, [a], r"\.csv$", partitions=3)
+    assert lines.rdd.getNumPartitions() == 3
     assert sorted((r.member, r.line_no, r.line) for r in lines.collect()) == [
         ("x1.csv", 0, "h"), ("x1.csv", 1, "1"), ("x1.csv", 2, "2"), ("x2.csv", 0, "h"), ("x2.csv", 1, "3"),
     ]
     first = read_members(spark, [a], r"\.csv$", first_member_only=True)
     assert {r.member for r in first.collect()} == {"x1.csv"}
     b = write_zip(os.path.join(src, "b.zip"), {"y.txt": "no"})
-    with pytest.raises(Exception, match="b.zip"):
-        read_members(spark, [b], r"\.csv$").collect()
+    c = os.path.join(src, "c.zip")
+    with open(c, "wb") as f:
+        f.write(b"damaged")
+    got = {r.path: (r.line_no, r.line) for r in read_members(spark, [b, c], r"\.csv$").collect()}
+    assert got[b][0] == got[c][0] == -1
+    assert "no report CSV" in got[b][1] and "b.zip" in got[b][1] and got[c][1]
 
 
 def test_second_sink_in_another_format(spark, fresh_db, tmp_path):
@@ -303,3 +307,109 @@ def test_reader_line_ends_and_unicode_separators(spark, fresh_db, tmp_path):
     run_batch(spark, "daily", src, target=t)
     got = sorted((r.page_id, r.disclaimer, r.amt_spent) for r in spark.table(t).collect())
     assert got == [("1", "Fund\u2028Two", 10), ("2", "X\u0085Y", 5), ("3", "D", 1)]
+
+
+@pytest.mark.parametrize("reader", ["archive", "members"])
+def test_bad_archives_are_named_and_the_good_one_is_stored(spark, fresh_db, tmp_path, reader):
+    src = str(tmp_path / "Daily")
+    daily_archive(src, "2021-03-01")
+    for date, content in (("2021-03-02", b"damaged"), ("2021-03-03", b"PK\5\6" + bytes(18))):
+        with open(os.path.join(src, archive_name("yesterday", date)), "wb") as f:
+            f.write(content)
+    write_zip(os.path.join(src, archive_name("yesterday", "2021-03-04")), {"readme.txt": "x"})
+    other = {national_member("yesterday", "2021-03-09"): csv_text(HEADER_NEW, ["1,A,B,1,1"])}
+    write_zip(os.path.join(src, archive_name("yesterday", "2021-03-05")), other)
+    write_zip(os.path.join(src, archive_name("yesterday", "undated")), {"readme.txt": "x"})
+    # a member whose compressed bytes are damaged in the middle
+    path = daily_archive(src, "2021-03-06", rows=[f"{i},Page {i},D,{i},1" for i in range(5000)])
+    data = bytearray(open(path, "rb").read())
+    data[len(data) // 2 : len(data) // 2 + 40] = b"x" * 40
+    open(path, "wb").write(data)
+    t = f"{fresh_db}.d"
+    got = run_batch(spark, "daily", src, target=t, reader=reader, on_reject="return")
+    assert got == ["2021-03-01"]
+    reasons = {os.path.basename(p).split("_")[1]: r for p, r in got.rejected}
+    assert set(reasons) == {"2021-03-02", "2021-03-03", "2021-03-04", "2021-03-05", "2021-03-06", "undated"}
+    assert "no report CSV" in reasons["2021-03-04"] and "differs from its archive" in reasons["2021-03-05"]
+    assert {r.date for r in spark.table(t).collect()} == {"2021-03-01"}
+    with pytest.raises(RejectedArchives, match="undated") as e:
+        run_batch(spark, "daily", src, target=t, reader=reader)
+    assert e.value.loaded == []
+
+
+@pytest.mark.parametrize("reader", ["archive", "members"])
+@pytest.mark.parametrize("folder", ["sp ace", "gl[1]", "br{a}ce", "Exchange"])
+def test_odd_folder_names(spark, fresh_db, tmp_path, reader, folder):
+    src = str(tmp_path / folder)
+    daily_archive(src, "2021-03-01", suffix="")
+    prefixed = {national_member("yesterday", "2021-03-02"): csv_text(HEADER_NEW, ["1,A,B,1,1"])}
+    write_zip(os.path.join(src, "copy {a} " + archive_name("yesterday", "2021-03-02")), prefixed)
+    got = run_batch(spark, "daily", src, target=f"{fresh_db}.d", reader=reader)
+    assert got == ["2021-03-01", "2021-03-02"]
+    assert spark.table(f"{fresh_db}.d").count() == 6
+
+
+def test_a_newer_copy_replaces_its_date(spark, fresh_db, tmp_path):
+    src, t = str(tmp_path / "Daily"), f"{fresh_db}.d"
+    daily_archive(os.path.join(src, "a"), "2021-03-01", rows=["1,Old,X,10,1"], mtime=1_000_000)
+    assert run_batch(spark, "daily", src + "/*", target=t) == ["2021-03-01"]
+    daily_archive(os.path.join(src, "b"), "2021-03-01", rows=["1,New,X,99,1"], mtime=2_000_000)
+    assert run_batch(spark, "daily", src + "/*", target=t) == ["2021-03-01"]
+    assert [(r.page_name, r.amt_spent) for r in spark.table(t).collect()] == [("New", 99)]
+    daily_archive(os.path.join(src, "c"), "2021-03-01", rows=["1,Older,X,1,1"], mtime=1_500_000)
+    assert run_batch(spark, "daily", src + "/*", target=t) == []
+
+
+def test_an_unfinished_load_is_done_again(spark, fresh_db, tmp_path):
+    from adtally.sources.tables import record_loads
+
+    src, t = str(tmp_path / "Daily"), f"{fresh_db}.d"
+    path = daily_archive(src, "2021-03-01")
+    run_batch(spark, "daily", src, target=t)
+    assert run_batch(spark, "daily", src, target=t) == []
+    record_loads(spark, t, [(path, None, "2021-03-01")], done=False)
+    assert run_batch(spark, "daily", src, target=t) == ["2021-03-01"]
+
+
+def test_problems_and_malformed_records(spark, fresh_db, tmp_path):
+    from adtally.sources.tables import PathSink
+
+    src = str(tmp_path / "Daily")
+    rows = ["1,A,B,10,1", "2,C,D", "3,E,F,5,1,x,y", '4,G,"Open,7,1', "5,H,I,abc,1", "6,J,K," + "9" * 23 + ",1"]
+    rows.append("7,L,M," + ",".join("1" for _ in range(25_000)))
+    daily_archive(src, "2021-03-01", rows=rows)
+    problems = PathSink(str(tmp_path / "problems"))
+    keep, drop = f"{fresh_db}.keep", f"{fresh_db}.drop"
+    run_batch(spark, "daily", src, target=keep, problems=problems)
+    run_batch(spark, "daily", src, target=drop, on_malformed="drop")
+    assert {r.page_id: r.amt_spent for r in spark.table(keep).collect()} == {"1": 10, "2": 0, "3": 5, "4": 7, "5": 0, "6": 0, "7": 1}
+    assert {r.page_id for r in spark.table(drop).collect()} == {"1", "4", "5", "6"}
+    found = {(r.status, r.amount_invalid): r.n_records for r in spark.read.parquet(problems.path).collect()}
+    assert found == {("ok", False): 1, ("ok", True): 2, ("short", True): 1, ("long", False): 2, ("quote_stripped", False): 1}
+
+
+def test_sinks_that_cannot_replace_a_date_are_refused(spark, tmp_path):
+    from adtally.sources.tables import PathSink, read_sink
+
+    with pytest.raises(ValueError, match="format"):
+        PathSink(str(tmp_path / "x"), format="bigquery")
+    assert read_sink(spark, PathSink(str(tmp_path / "none"))) is None
+    bad = tmp_path / "bad" / "date=2021-03-01"
+    bad.mkdir(parents=True)
+    (bad / "part-0.parquet").write_bytes(b"not parquet")
+    with pytest.raises(Exception, match="(?i)parquet"):
+        read_sink(spark, PathSink(str(tmp_path / "bad"))).collect()
+
+
+@pytest.mark.parametrize("reader", ["archive", "members"])
+def test_shared_archives_with_either_reader_and_a_missing_kind(spark, fresh_db, tmp_path, reader):
+    from adtally.plans.loader import run_shared_archives
+
+    src = str(tmp_path / "Daily")
+    daily_archive(src, "2021-03-01", regions={"Ohio": ["11,Page A,Paid by A,7"]})
+    daily_archive(src, "2021-03-02")  # no regional member
+    n, r = f"{fresh_db}.n", f"{fresh_db}.r"
+    got = run_shared_archives(spark, src, {"daily": n, "daily_region": r}, reader=reader, on_reject="return")
+    assert got == {"daily": ["2021-03-01", "2021-03-02"], "daily_region": ["2021-03-01"]}
+    assert [os.path.basename(p) for p, _ in got["daily_region"].rejected] == [archive_name("yesterday", "2021-03-02")]
+    assert "daily_region" in got["daily_region"].rejected[0][1] and got["daily"].rejected == []
