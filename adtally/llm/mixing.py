@@ -5,8 +5,11 @@ source, language, topic); from then on only the table of cells is worked on. Eac
 a margin has a factor, at first 1. A round sets the factors of the first margin so that
 the weighted tokens of each of its values meet their target, then those of the second, and
 so on; rounds go on until all margins agree with their targets. A document is kept with a
-probability proportional to the product of its values' factors, the largest product
-counting as 1, so the expected tokens of the sample have the target shares in every margin.
+probability proportional to the product of its values' factors, so the expected tokens of
+the sample have the target shares in every margin. The product that counts as 1 is the
+largest but for cells that hold ``CAPPED`` of all tokens at most: these are kept whole and
+fall short of their share by what a probability above 1 would have added. Else a handful of
+documents of a rare value would decide how little is kept of all others.
 
 Only DataFrame operations are used. Sums are grouped aggregations, which combine before
 the shuffle, so a source with a third of all rows costs one row a task. Cells go back to
@@ -23,8 +26,10 @@ from pyspark.sql import functions as F
 from adtally.llm.shared import free_name, written
 
 #: Rounds at most.
-ROUNDS = 50
-TOLERANCE = 1e-4
+ROUNDS = 100
+TOLERANCE = 1e-9
+#: Share of tokens in cells whose probability may be cut to 1.
+CAPPED = 0.05
 SEED = 42
 NONE = "(none)"
 
@@ -45,10 +50,11 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], tolerance: float = TOL
     ``targets`` has for each margin a frame ``margin, target`` of shares; a value without a
     target gets factor 0. A cell's factor is the product of one factor for each margin; a
     step replaces one margin's factors and is one aggregation of the cells. Rounds end when
-    no step changes a factor by more than ``tolerance``; targets that cells can't meet
+    no factor of the first margin changes by more than ``tolerance``; targets that cells can't meet
     together (an empty combination) are approached as far as ROUNDS go.
     """
     total = cells.agg(F.sum("tokens")).first()[0] or 1
+    first = next(iter(targets))
     factors = {m: cells.select(m).distinct().withColumn(f"factor_{m}", F.lit(1.0)) for m in targets}
     for _ in range(ROUNDS):
         moved = 0.0
@@ -63,9 +69,11 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], tolerance: float = TOL
                 margin, F.col(own).alias("before"), F.when(F.col("now") > 0, aim / F.col("now")).otherwise(F.col(own)).alias(own)
             )
             fitted = written(fitted, "factors")
-            change = F.when(F.col("before") > 0, F.abs(F.col(own) / F.col("before") - 1)).otherwise(0.0)
-            moved = max(moved, fitted.agg(F.max(change)).first()[0] or 0.0)
             factors[margin] = fitted.drop("before")
+            if margin == first:
+                # once the first margin needs no change, the others, fitted since, agree too
+                change = F.when(F.col("before") > 0, F.abs(F.col(own) / F.col("before") - 1)).otherwise(0.0)
+                moved = fitted.agg(F.max(change)).first()[0] or 0.0
         if moved <= tolerance:
             break
     whole = reduce(lambda c, m: c.join(factors[m], m), targets, cells)
@@ -82,6 +90,7 @@ def uniform(key: Column, seed: int = SEED) -> Column:
 def mix(
     docs: DataFrame, margins: dict[str, Column], powers: dict[str, float], tokens: Column,
     id_col: str = "doc_id", targets: dict[str, DataFrame] | None = None, seed: int = SEED,
+    capped: float = CAPPED,
 ) -> DataFrame:
     """``docs`` with ``probability`` and ``kept`` (named anew if taken), one row per row.
 
@@ -97,10 +106,10 @@ def mix(
     goals = {names[m]: (targets or {}).get(m) for m in margins}
     for m, n in names.items():
         goals[n] = powered_targets(cells, n, powers[m]) if goals[n] is None else goals[n].select(F.col(m).alias(n), "target")
-    fitted = rake(cells, goals)
-    top = fitted.agg(F.max("factor")).first()[0] or 1.0
+    fitted = rake(cells, {n: written(g, "targets") for n, g in goals.items()})
+    top = fitted.agg(F.percentile("factor", 1 - capped, F.col("tokens"))).first()[0] or 1.0
     chance, kept = free_name(docs, "probability"), free_name(docs, "kept")
-    known = fitted.select(*values, F.round(F.col("factor") / top, 9).alias(chance))
+    known = fitted.select(*values, F.round(F.least(F.col("factor") / top, F.lit(1.0)), 6).alias(chance))
     rows = docs.withColumns({**values, weights: tokens.cast("long")}).join(known, list(values))
     return rows.withColumn(kept, uniform(F.col(id_col), seed) < F.col(chance)).select(
         *docs.columns, *values, weights, chance, kept

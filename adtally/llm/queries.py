@@ -134,4 +134,61 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_merged_suffix_runs": op10_merged_suffix_runs,
 }
 
-ORACLES: dict[str, str] = {}
+# --- SQL ---------------------------------------------------------------------------------
+
+
+def _mix_sql(rounds: int = 60) -> str:
+    """The rakes of the three margins, written out; they have settled long before the last."""
+    margins = ("source", "lang", "topic")
+    steps, last = [], "c0"
+    for k in range(rounds):
+        for m in margins:
+            name = f"c{k}_{m}"
+            now = f"sum(tokens * f) OVER (PARTITION BY {m})"
+            steps.append(
+                f"{name} AS MATERIALIZED (SELECT * REPLACE (CASE WHEN {now} > 0 THEN f * goal_{m} / {now} ELSE f END AS f) FROM {last})"
+            )
+            last = name
+    goals = ", ".join(
+        f"t_{m} AS (SELECT {m}, pow(sum(tokens), 0.8) / sum(pow(sum(tokens), 0.8)) OVER () * (SELECT sum(tokens) FROM cells) AS goal_{m}"
+        f" FROM cells GROUP BY {m})"
+        for m in margins
+    )
+    return f"""
+        WITH d AS (
+          SELECT doc_id, coalesce(source, '(none)') AS source, coalesce(lang, '(none)') AS lang,
+                 CASE WHEN regexp_matches(text, '(?i)licen[cs]e|copyright') THEN 'notice'
+                      WHEN contains(text, '@') OR contains(text, '+1 (') THEN 'contact'
+                      WHEN regexp_matches(text, '[#*$%&|<>]') THEN 'markup'
+                      WHEN length(coalesce(text, '')) < 1000 THEN 'short'
+                      WHEN length(text) < 6000 THEN 'medium' ELSE 'long' END AS topic,
+                 len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS tokens
+          FROM documents),
+        cells AS (SELECT source, lang, topic, CAST(sum(tokens) AS DOUBLE) AS tokens FROM d GROUP BY ALL),
+        {goals},
+        c0 AS (SELECT source, lang, topic, tokens, goal_source, goal_lang, goal_topic, CAST(1 AS DOUBLE) AS f
+               FROM cells JOIN t_source USING (source) JOIN t_lang USING (lang) JOIN t_topic USING (topic)),
+        {", ".join(steps)},
+        s AS (SELECT f, sum(tokens) OVER (ORDER BY f) AS up_to, sum(tokens) OVER () AS total FROM {last}),
+        p AS (SELECT source, lang, topic,
+                     round(least(f / (SELECT min(f) FROM s WHERE up_to > floor((total - 1) * 0.95)), 1.0), 6) AS probability
+              FROM {last})
+        SELECT doc_id, source, lang, topic, d.tokens AS tokens, probability,
+               CAST('0x' || substr(md5('42:' || coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 13) AS BIGINT)
+                 / 4503599627370496.0 < probability AS kept
+        FROM d JOIN p USING (source, lang, topic)"""
+
+
+_WARC_SQL = """
+    WITH p AS (SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS digest FROM pages),
+    k AS (SELECT digest, max(page_id) AS kept FROM p GROUP BY digest)
+    SELECT page_id, octet_length(encode(payload)) AS payload_bytes,
+           array_to_string(list_transform(range(32), lambda i: substr(
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+             1 + ((CAST('0x' || substr(digest, 1 + 5 * (i // 4), 5) AS BIGINT) >> CAST(15 - 5 * (i % 4) AS INTEGER)) & 31), 1)), '') AS payload_digest,
+           CASE WHEN page_id IS DISTINCT FROM kept AND kept IS NOT NULL THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN page_id IS DISTINCT FROM kept THEN kept END AS refers_to
+    FROM p JOIN k USING (digest)"""
+
+#: The other queries learn a model, call a tokenizer or hash as DuckDB can't; see tests/llm.
+ORACLES: dict[str, str] = {"op2_raked_mix": _mix_sql(), "op4_dictionary_warc": _WARC_SQL}

@@ -49,7 +49,7 @@ def test_probabilities_match_a_plain_loop(spark):
     data = rows(random.Random(1))
     data += [(9000, None, "l0", "t1", 10, None, None), (9001, "s1", None, None, 7, "", 2), (9002, "s0", "l0", "t0", None, "", 2), data[4]]
     docs = spark.createDataFrame(data, SCHEMA)
-    mixed = mixing.mix(docs, margins(), POWERS, F.col("tokens"))
+    mixed = mixing.mix(docs, margins(), POWERS, F.col("tokens"), capped=0.0)
     assert mixed.columns[: len(docs.columns)] == docs.columns
     want, cells, goals = brute(data, POWERS)
     found = mixed.collect()
@@ -68,7 +68,7 @@ def test_probabilities_match_a_plain_loop(spark):
 
 def test_sample_follows_probabilities_and_repeats(spark):
     data = rows(random.Random(2), 6000)
-    mixed = mixing.mix(spark.createDataFrame(data + data[:50], SCHEMA), margins(), POWERS, F.col("tokens"))
+    mixed = mixing.mix(spark.createDataFrame(data + data[:50], SCHEMA), margins(), POWERS, F.col("tokens"), capped=0.0)
     kept = [c for c in mixed.columns if c.startswith("kept")][-1]
     found = mixed.collect()
     expected = sum(r.probability for r in found)
@@ -83,10 +83,21 @@ def test_given_targets(spark):
     data = rows(random.Random(3), 600)
     docs = spark.createDataFrame(data, SCHEMA)
     goal = spark.createDataFrame([(f"l{k}", s) for k, s in enumerate((0.2, 0.2, 0.6))], "language string, target double")
-    found = mixing.mix(docs, margins(), POWERS, F.col("tokens"), targets={"language": goal}).collect()
+    found = mixing.mix(docs, margins(), POWERS, F.col("tokens"), targets={"language": goal}, capped=0.0).collect()
     mass = sum(r.tokens * r.probability for r in found)
     assert abs(sum(r.tokens * r.probability for r in found if r.lang == "l2") / mass - 0.6) < 2e-3
 
 
+def test_a_rare_value_does_not_decide_what_is_kept(spark):
+    data = rows(random.Random(4), 600) + [(9000, "rare", "l0", "t0", 1, "", 0)]
+    docs = spark.createDataFrame(data, SCHEMA)
+    whole = {r.doc_id: r.probability for r in mixing.mix(docs, margins(), POWERS, F.col("tokens"), capped=0.0).collect()}
+    cut = {r.doc_id: r.probability for r in mixing.mix(docs, margins(), POWERS, F.col("tokens")).collect()}
+    assert whole[9000] == cut[9000] == 1.0 and sum(cut.values()) > 5 * sum(whole.values())
+    # below the cut, probabilities keep their proportions
+    scale = {round(cut[i] / whole[i], 2) for i in whole if cut[i] < 1 and whole[i] > 0.01}
+    assert max(scale) - min(scale) < 0.02 * max(scale)
+
+
 def test_empty_table(spark):
-    assert mixing.mix(spark.createDataFrame([], SCHEMA), margins(), POWERS, F.col("tokens")).count() == 0
+    assert mixing.mix(spark.createDataFrame([], SCHEMA), margins(), POWERS, F.col("tokens"), capped=0.0).count() == 0
