@@ -19,8 +19,9 @@ equal shares are compared, from there on. The prefix between neighbours falls ou
 Verdicts. Equal context: all its windows repeat. Alone in its KEY: none does. Others
 (contexts that agree around the anchor and differ further out) are settled by comparing
 hashes of their windows within the KEY, where one context stands for its equals. Equal
-strings within a run are settled before the exchange, and groups of very many different
-contexts are settled by an aggregation over window hashes, so no task holds a whole group.
+strings within a run are settled before the exchange. Groups of very many different
+contexts are settled window by window, again as sorted runs that are cut into ranges and
+hold each window once, so no task holds a whole group.
 """
 
 from __future__ import annotations
@@ -456,17 +457,75 @@ def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield done(pa.Table.from_batches(held))
 
 
-def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row per window of the contexts of large keys."""
+_OPEN_WINDOW = np.dtype([("hash", "<u8"), ("weight", "<i8"), ("k1", "<i8"), ("k2", "<i8"), ("first", "<i8")])
+
+
+def _windows(ranges: int):
+    """Runs of the windows of contexts of large keys, cut into equal ranges of their hashes.
+
+    A window that a run holds twice is settled there: its spans come out joined, and one
+    entry of weight 2 stands for all of them elsewhere. Others go on with their place.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        number = TaskContext.get().partitionId()
+        for batch in batches:
+            for start in range(0, batch.num_rows, 1 << 14):
+                part = batch.slice(start, 1 << 14)
+                which, place, hashes = window_hashes(part.column(6).to_pylist())
+                column = lambda c, part=part: part.column(c).to_numpy(zero_copy_only=False)
+                hashes = _mix(hashes ^ column(1).view(np.uint64)[which] * _C2)
+                weight = np.where(column(2) == _WITNESS, 2, 1)[which]
+                k1, k2, first = column(3)[which], column(4)[which], column(5)[which] + place
+                unique, one, at = np.unique(hashes, return_index=True, return_inverse=True)
+                total = np.bincount(at, weight)
+                hit = (total[at] >= 2) & (weight == 1)
+                spans = _joined_spans(k1[hit], k2[hit], first[hit], first[hit] + SPAN)
+                entries = np.empty(len(unique), _OPEN_WINDOW)
+                for f, v in (("hash", unique), ("weight", np.minimum(total, 2)), ("k1", k1[one]), ("k2", k2[one]), ("first", first[one])):
+                    entries[f] = v
+                numbers = [number % ranges]
+                slices = [_compressed(0, len(spans[0]), *(s.astype("<i8").tobytes() for s in spans))]
+                of = ((unique >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64)
+                cuts = np.searchsorted(of, np.arange(ranges + 1))
+                for r in np.flatnonzero(cuts[1:] > cuts[:-1]).tolist():
+                    numbers.append(r)
+                    slices.append(_compressed(1, int(cuts[r + 1] - cuts[r]), entries[cuts[r] : cuts[r + 1]].tobytes()))
+                yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.int32()), pa.array(slices, pa.binary())], ["range", "slice"])
+                number += 1
+
+    return run
+
+
+def _settle_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Spans that come settled, and those of windows that two runs hold, range by range."""
+    import zstandard
+
+    unpack = zstandard.ZstdDecompressor().decompress
+    now, held = None, []
+
+    def done() -> pa.RecordBatch:
+        rows = np.concatenate(held)
+        _, at = np.unique(rows["hash"], return_inverse=True)
+        rows = rows[(rows["weight"] == 1) & (np.bincount(at, rows["weight"])[at] >= 2)]
+        return _spans_batch(*_joined_spans(rows["k1"], rows["k2"], rows["first"], rows["first"] + SPAN))
+
     for batch in batches:
-        for start in range(0, batch.num_rows, 1 << 12):
-            part = batch.slice(start, 1 << 12)
-            which, place, hashes = window_hashes(part.column(6).to_pylist())
-            column = lambda c, part=part: part.column(c).to_numpy(zero_copy_only=False)
-            hashes = _mix(hashes ^ column(1).view(np.uint64)[which] * _C2).view(np.int64)
-            weight = np.where(column(2) == _WITNESS, 2, 1)[which]
-            arrays = [hashes, weight, column(3)[which], column(4)[which], column(5)[which] + place]
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()) for a in arrays], ["hash", "weight", "k1", "k2", "first"])
+        for number, packed in zip(batch.column(0).to_pylist(), batch.column(1)):
+            data = unpack(packed.as_buffer())
+            if number != now:
+                if held:
+                    yield done()
+                now, held = number, []
+            n = struct.unpack_from("<I", data, 1)[0]
+            if data[0] == 1:
+                held.append(np.frombuffer(data, _OPEN_WINDOW, n, 5))
+            else:
+                yield _spans_batch(*np.frombuffer(data, "<i8", 4 * n, 5).reshape(4, n))
+    if held:
+        yield done()
 
 
 # --- operator ----------------------------------------------------------------------------
@@ -524,9 +583,8 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
     contexts = written(touched.join(wanted.hint("shuffle_hash"), ["k1", "k2"]).mapInArrow(_contexts, _CONTEXT), "contexts")
 
     by_key = contexts.filter("not large").repartition("key").sortWithinPartitions("key").mapInArrow(_settle, _SPANS)
-    windows = contexts.filter("large").mapInArrow(_windows, "hash bigint, weight bigint, k1 bigint, k2 bigint, first bigint")
-    again = windows.groupBy("hash").agg(F.sum("weight").alias("n")).filter("n >= 2").select("hash")
-    by_hash = windows.filter("weight = 1").join(again, "hash").select("k1", "k2", "first", (F.col("first") + SPAN).alias("end"))
+    windows = contexts.filter("large").mapInArrow(_windows(ranges), "range int, slice binary")
+    by_hash = windows.repartition("range").sortWithinPartitions("range").mapInArrow(_settle_windows, _SPANS)
     return settled.unionByName(by_key).unionByName(by_hash)
 
 
