@@ -50,7 +50,7 @@ RUN = 1 << 17
 #: Documents (their first bytes) that the splitters are taken from, about.
 SAMPLE_DOCS, SAMPLE_BYTES = 1000, 4096
 #: Different contexts of one key beyond which the key is settled by aggregation.
-LARGE = 4096
+LARGE = 512
 #: Buckets of document hashes; a bounded broadcast that spares untouched texts the shuffle.
 BUCKETS = 1 << 18
 
