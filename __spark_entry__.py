@@ -281,13 +281,14 @@ def q_reload_idempotent(spark: SparkSession, d: str) -> DataFrame:
 
 def _archives(spark: SparkSession, lines: DataFrame, name: str, folder: str | None = None) -> str:
     folder = folder or _scratch(spark, name)[1]
-    written = write_archives(lines.withColumnRenamed("path", "archive"), folder, header_of=rv.header_of)
+    named = lines.withColumnRenamed("path", "archive")
+    written = write_archives(named, folder, header_of=rv.header_of, extra=rv.NOTES)
     written.collect()  # one row per archive written
     return folder
 
 
 def _load_archives(spark: SparkSession, kind: str, lines: DataFrame, reader: str = "archive") -> DataFrame:
-    folder = _archives(spark, rv.notes_beside(lines), f"archives_{kind}")
+    folder = _archives(spark, lines, f"archives_{kind}")
     table = _target(spark, f"table_{kind}", regional=KINDS[kind].regional)
     run_batch(spark, kind, folder, target=table, reader=reader)
     return spark.table(table)
@@ -299,8 +300,7 @@ def q_archive_daily(spark: SparkSession, d: str) -> DataFrame:
 
 def _daily_pair(spark: SparkSession, d: str) -> DataFrame:
     """Daily archives hold the national member and the regional ones."""
-    national = rv.event_lines(spark, d, "yesterday", regional=False)
-    return national.unionByName(rv.event_lines(spark, d, "yesterday", regional=True))
+    return rv.event_lines(spark, d, "yesterday", regional=None)
 
 
 def q_archive_daily_region(spark: SparkSession, d: str) -> DataFrame:
@@ -308,7 +308,7 @@ def q_archive_daily_region(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_shared_daily(spark: SparkSession, d: str) -> DataFrame:
-    folder = _archives(spark, rv.notes_beside(_daily_pair(spark, d)), "archives_shared")
+    folder = _archives(spark, _daily_pair(spark, d), "archives_shared")
     n, r = _target(spark, "shared_n"), _target(spark, "shared_r", regional=True)
     run_shared_archives(spark, folder, {"daily": n, "daily_region": r})
     return union_members([spark.table(n), spark.table(r)])

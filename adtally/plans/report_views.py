@@ -90,33 +90,32 @@ def event_records(spark: SparkSession, sf_dir: str, shift_days: int = 0) -> Data
 
 
 def event_lines(
-    spark: SparkSession, sf_dir: str, label: str, regional: bool, shift_days: int = 0
+    spark: SparkSession, sf_dir: str, label: str, regional: bool | None, shift_days: int = 0
 ) -> DataFrame:
     """Events as member lines of report archives (one archive per day).
 
+    ``regional`` None gives each event twice, in the national and in its regional member.
     Every 500th line starts with a byte-order mark, like older published reports.
     """
     r = event_records(spark, sf_dir, shift_days)
     archive = F.concat(F.lit(f"{_PREFIX}_"), F.col("date"), F.lit(f"_US_{label}.zip"))
-    if regional:
-        member = F.concat(
-            F.lit(f"regions/{_PREFIX}_"), F.col("date"), F.lit(f"_US_{label}_"),
-            F.col("region"), F.lit(".csv"),
-        )
-        fields = ["page_id", "page_name", "disclaimer", "amount_spent"]
-    else:
-        member = F.concat(
-            F.lit(f"{_PREFIX}_"), F.col("date"), F.lit(f"_US_{label}_advertisers.csv")
-        )
-        fields = ["page_id", "page_name", "disclaimer", "amount_spent", "number_of_ads"]
-    text = csv_line(*[F.col(c) for c in fields])
-    text = F.when(F.col("event_id") % 500 == 0, F.concat(F.lit(BOM), text)).otherwise(text)
-    return r.select(
-        archive.alias("path"),
-        member.alias("member"),
-        (F.col("event_id") + 1).alias("line_no"),
-        text.alias("line"),
+    bom = F.when(F.col("event_id") % 500 == 0, F.lit(BOM)).otherwise(F.lit(""))
+
+    def row(member: Column, fields: list[str]) -> Column:
+        line = F.concat(bom, csv_line(*[F.col(c) for c in fields]))
+        return F.struct(member.alias("member"), line.alias("line"))
+
+    fields = ["page_id", "page_name", "disclaimer", "amount_spent"]
+    in_region = F.concat(
+        F.lit(f"regions/{_PREFIX}_"), F.col("date"), F.lit(f"_US_{label}_"),
+        F.col("region"), F.lit(".csv"),
     )
+    in_nation = F.concat(F.lit(f"{_PREFIX}_"), F.col("date"), F.lit(f"_US_{label}_advertisers.csv"))
+    rows = {True: row(in_region, fields), False: row(in_nation, [*fields, "number_of_ads"])}
+    each = F.explode(F.array(*rows.values())) if regional is None else rows[regional]
+    return r.select(
+        archive.alias("path"), (F.col("event_id") + 1).alias("line_no"), each.alias("r")
+    ).select("path", "r.member", "line_no", "r.line")
 
 
 NATIONAL_HEADER = "Page ID,Page name,Disclaimer,Amount spent (USD),Number of ads in Library"
@@ -130,13 +129,8 @@ def header_of(member: str) -> str | None:
     return REGIONAL_HEADER if member.startswith("regions/") else NATIONAL_HEADER
 
 
-def notes_beside(lines: DataFrame) -> DataFrame:
-    """``lines`` and, in each of their archives, a member that a load must ignore."""
-    note = lines.groupBy("path").agg(F.count(F.lit(1)).alias("n")).select(
-        "path", F.lit("regions/readme.txt").alias("member"), F.lit(1).cast("bigint").alias("line_no"),
-        F.concat_ws(",", F.lit("0,note,note"), F.col("n")).alias("line"),
-    )
-    return lines.unionByName(note)
+#: A member that a load must ignore.
+NOTES = {"regions/readme.txt": "0,note,note,9,9\n"}
 
 
 # --- orders with suppliers as a lifelong report --------------------------------------------
@@ -180,9 +174,9 @@ def lineitem_lines(spark: SparkSession, sf_dir: str, shift_days: int = SHIFT_DAY
 def lifelong_pair(lines: DataFrame) -> DataFrame:
     """Two candidate members per lifelong archive: the lines in the first by name, and the
     same lines with another amount in the second, which a load must not read."""
-    first = lines.withColumn("member", F.replace("member", F.lit(f"{_PREFIX}_"), F.lit(f"{_PREFIX}Revamp_")))
-    second = lines.withColumn("line", F.concat("line", F.lit("0")))
-    return first.unionByName(second)
+    first = F.struct(F.replace("member", F.lit(f"{_PREFIX}_"), F.lit(f"{_PREFIX}Revamp_")).alias("member"), F.col("line"))
+    second = F.struct(F.col("member"), F.concat("line", F.lit("0")).alias("line"))
+    return lines.select("path", "line_no", F.explode(F.array(first, second)).alias("m")).select("path", "m.member", "line_no", "m.line")
 
 
 # --- customers as damaged CSV lines ---------------------------------------------------------

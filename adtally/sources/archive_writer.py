@@ -64,8 +64,10 @@ class _ArchiveStream:
             self.handle.close()
             self.handle = None
 
-    def close(self) -> tuple[str, int, int]:
+    def close(self, extra: dict[str, str]) -> tuple[str, int, int]:
         self._close_member()
+        for name, text in extra.items():
+            self.zf.writestr(name, text)
         self.zf.close()
         self.out.close()
         self.fs.move(self.tmp, self.path)
@@ -73,12 +75,14 @@ class _ArchiveStream:
 
 
 def write_archives(
-    lines: DataFrame, folder: str, partitions: int | None = None, header_of: HeaderOf | None = None
+    lines: DataFrame, folder: str, partitions: int | None = None, header_of: HeaderOf | None = None,
+    extra: dict[str, str] | None = None,
 ) -> DataFrame:
     """Write one ZIP per distinct ``archive`` (a file name) under ``folder``.
 
     ``header_of`` gives a member's first line (None: no header), so that the lines need not
-    be read a second time to find the members. An archive is one file and so one task's
+    be read a second time to find the members; ``extra`` members (name and text) go into
+    every archive, uncounted. An archive is one file and so one task's
     work; many archives are written side by side.
 
     Returns one row per archive written: ``archive`` (full URI), ``members``, ``lines``.
@@ -88,6 +92,7 @@ def write_archives(
 
     ship_package(lines.sparkSession)
     base = folder.rstrip("/")
+    more = dict(extra or {})
     ordered = (
         lines.select("archive", "member", "line_no", "line")
         .repartition(partitions or lines.sparkSession.sparkContext.defaultParallelism, "archive")
@@ -107,12 +112,12 @@ def write_archives(
                 uri = f"{base}/{archives[start]}"
                 if current is None or current.uri != uri:
                     if current is not None:
-                        done.append(current.close())
+                        done.append(current.close(more))
                     current = _ArchiveStream(uri, header_of)
                 current.write(members[start], texts[start:i])
                 start = i
         if current is not None:
-            done.append(current.close())
+            done.append(current.close(more))
         yield pa.RecordBatch.from_pylist(
             [dict(zip(("archive", "members", "lines"), d)) for d in done],
             schema=pa.schema([("archive", pa.string()), ("members", pa.int64()), ("lines", pa.int64())]),

@@ -41,6 +41,15 @@ def test_spread_adds_no_shuffle_to_wide_inputs(spark):
     assert "Exchange" not in plan_of(spread(tiny, "id"))  # below the size cap
 
 
+def test_lines_for_archives_read_their_source_once(spark):
+    from adtally.plans import report_views as rv
+
+    lifelong = plan_of(rv.lifelong_pair(rv.lineitem_lines(spark, SF)))
+    assert lifelong.count("lineitem.parquet") == 1
+    pair = plan_of(rv.event_lines(spark, SF, "yesterday", regional=None))
+    assert pair.count("events.parquet") == 1
+
+
 def test_listing_never_reads_archive_contents(spark, tmp_path):
     src = str(tmp_path / "Daily")
     date = "2021-03-01"
