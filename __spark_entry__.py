@@ -727,18 +727,20 @@ ORACLES: dict[str, str] = {
 }
 
 
-# the operators of the training-data pipeline are an optional part of the package
-if importlib.util.find_spec("adtally.llm") is not None:
+# The operators of the training-data pipeline are an optional part of the package. (An empty
+# folder that is left of it has a spec, but no origin.)
+_llm = importlib.util.find_spec("adtally.llm")
+if _llm is not None and _llm.origin is not None:
     from adtally.llm import queries as llm_queries
 
     QUERIES.update(llm_queries.QUERIES)
     ORACLES.update(llm_queries.ORACLES)
-if importlib.util.find_spec("corpus_pipeline") is not None:
-    import corpus_pipeline
+    if importlib.util.find_spec("corpus_pipeline") is not None:
+        import corpus_pipeline
 
-    QUERIES["pipeline"] = corpus_pipeline.run
-    if corpus_pipeline.ORACLE_SQL is not None:
-        ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
+        QUERIES["pipeline"] = corpus_pipeline.run
+        if corpus_pipeline.ORACLE_SQL is not None:
+            ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
 
 
 def entry(spark: SparkSession) -> DataFrame:
