@@ -66,7 +66,7 @@ def test_packing(found, texts):
     assert covered == {i: len(v) for i, v in ids.items()}
 
 
-def test_quality(found, texts):
+def test_statistics(found, texts):
     for r in found["op5_decision_list"]:
         assert tuple(r[1:7]) == test_quality.brute(texts[r.doc_id])
         assert not (r.base_failed and r.kept)
