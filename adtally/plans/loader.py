@@ -202,6 +202,7 @@ class _New:
 
     archives: list[tuple]
     undated: list[str]
+    replaced: set[str]  # dates that are already in the target, from an older archive
 
     @property
     def paths(self) -> list[str]:
@@ -263,11 +264,17 @@ def _new_archives(spark, listing, k, sinks, floor, loaded=None) -> _New:
         if isinstance(t, str):
             create_target(spark, t, regional=k.regional)
     done = loaded if loaded is not None else with_ledger(spark, sinks[0], loaded_in_all(spark, sinks))
-    chosen = choose_new(listing, done, floor)
-    # file names and dates of the new reports only: a few rows of metadata
-    rows = chosen.select("path", "modificationTime", "report_date").collect()
-    undated = listing.filter(F.col("report_date").isNull()).select("path").collect()
-    return _New(sorted(((r.path, r.modificationTime, r.report_date) for r in rows), key=lambda a: a[2]), [r.path for r in undated])
+    chosen = choose_new(listing, done, floor).select("path", "modificationTime", "report_date")
+    known = done.select(F.col("date").cast("string").alias("report_date"), F.lit(True).alias("known")).distinct()
+    undated = listing.filter(F.col("report_date").isNull()).select("path")
+    # names and dates of the new reports, and names without a date: a few rows of metadata
+    rows = chosen.join(F.broadcast(known), "report_date", "left").unionByName(undated, allowMissingColumns=True).collect()
+    dated = sorted((r for r in rows if r.report_date is not None), key=lambda r: r.report_date)
+    return _New(
+        [(r.path, r.modificationTime, r.report_date) for r in dated],
+        [r.path for r in rows if r.report_date is None],
+        {r.report_date for r in dated if r.known},
+    )
 
 
 def _load_lines(
@@ -284,13 +291,15 @@ def _load_lines(
     if problems is not None:
         overwrite_dates(staged_problems(staged).select(*PROBLEM_COLUMNS), problems)
     if sound:
-        good = staged.join(F.broadcast(bad.select("path").distinct()), "path", "left_anti")
+        good = staged
+        if out:
+            good = staged.join(F.broadcast(bad.select("path").distinct()), "path", "left_anti")
         if on_malformed == "drop":
             good = good.filter(~F.col("status").isin(*MALFORMED))
         dates = [d for _, _, d in sound]
-        record_loads(spark, sinks[0], sound, done=False)
+        record_loads(spark, sinks[0], [a for a in sound if a[2] not in new.replaced])
         _write(roll_up(good, k), sinks, dates)
-        record_loads(spark, sinks[0], sound, done=True)
+        record_loads(spark, sinks[0], [a for a in sound if a[2] in new.replaced])
     return Loaded([d for _, _, d in sound], [*rejected, *_undated(new)])
 
 

@@ -205,7 +205,7 @@ def overwrite_dates(df: DataFrame, table: Sink, columns: list[str] | None = None
 
 # --- the ledger of a target ---------------------------------------------------------------
 
-_LEDGER_DDL = "path STRING, modified TIMESTAMP, done BOOLEAN, date STRING"
+_LEDGER_DDL = "path STRING, modified TIMESTAMP, date STRING"
 
 
 def ledger_of(sink: Sink) -> Sink:
@@ -213,30 +213,32 @@ def ledger_of(sink: Sink) -> Sink:
     return f"{sink}__loads" if isinstance(sink, str) else PathSink(f"{sink.path.rstrip('/')}__loads")
 
 
-def record_loads(spark: SparkSession, sink: Sink, loads: list[tuple], done: bool) -> None:
-    """Notes ``loads`` (archive, modified, date): before the rows are written with ``done``
-    false, after it with true. A date that stays undone is loaded again by the next run."""
+def record_loads(spark: SparkSession, sink: Sink, loads: list[tuple]) -> None:
+    """Notes ``loads`` (archive, modified, date).
+
+    To be called before the rows of new dates are written and after those of replaced ones:
+    a date that is noted but not in the target is loaded again, and so is a date whose note
+    is older than its archive. A crash at any point then costs a reload, never a stale date.
+    """
+    if not loads:
+        return
     ledger = ledger_of(sink)
     if isinstance(ledger, str):
         _create(spark, ledger, _LEDGER_DDL, None)
-    rows = [(path, modified, done, date) for path, modified, date in loads]
-    overwrite_dates(spark.createDataFrame(rows, _LEDGER_DDL).coalesce(1), ledger)
+    overwrite_dates(spark.createDataFrame(loads, _LEDGER_DDL).coalesce(1), ledger)
 
 
 def with_ledger(spark: SparkSession, sink: Sink, dates: DataFrame) -> DataFrame:
-    """``date, modified`` of the loaded ``dates``; unfinished ones are left out, and
-    ``modified`` is null for dates that no load has noted."""
+    """``date, modified`` of the loaded ``dates``; ``modified`` is null for dates that no
+    load has noted."""
     ledger = ledger_of(sink)
+    unknown = dates.withColumn("modified", F.lit(None).cast("timestamp"))
     if isinstance(ledger, str):
-        place = _default_location(spark, ledger)
-        if not spark.catalog.tableExists(ledger) and not _exists(spark, place):
-            return dates.withColumn("modified", F.lit(None).cast("timestamp"))
+        if not spark.catalog.tableExists(ledger) and not _exists(spark, _default_location(spark, ledger)):
+            return unknown
         _create(spark, ledger, _LEDGER_DDL, None)
     notes = read_sink(spark, ledger)
-    if notes is None:
-        return dates.withColumn("modified", F.lit(None).cast("timestamp"))
-    notes = notes.select("date", "modified", "done")
-    return dates.join(notes, "date", "left").filter("coalesce(done, true)").select("date", "modified")
+    return unknown if notes is None else dates.join(notes.select("date", "modified"), "date", "left")
 
 
 def append(df: DataFrame, table: str) -> None:

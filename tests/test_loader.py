@@ -1,5 +1,6 @@
 """Batch loads over ZIP fixtures: the loading cases of FIXTURES.md §4."""
 
+import datetime
 import os
 
 import pytest
@@ -361,14 +362,19 @@ def test_a_newer_copy_replaces_its_date(spark, fresh_db, tmp_path):
 
 
 def test_an_unfinished_load_is_done_again(spark, fresh_db, tmp_path):
-    from adtally.sources.tables import record_loads
+    from adtally.sources.tables import create_target, record_loads
 
     src, t = str(tmp_path / "Daily"), f"{fresh_db}.d"
-    path = daily_archive(src, "2021-03-01")
-    run_batch(spark, "daily", src, target=t)
+    path = daily_archive(src, "2021-03-01", mtime=2_000_000)
+    # a new date was noted, then the load broke off before its rows were written
+    create_target(spark, t)
+    record_loads(spark, t, [(path, datetime.datetime(2021, 3, 1), "2021-03-01")])
+    assert run_batch(spark, "daily", src, target=t) == ["2021-03-01"]
     assert run_batch(spark, "daily", src, target=t) == []
-    record_loads(spark, t, [(path, None, "2021-03-01")], done=False)
+    # a date was replaced, then the load broke off before it was noted
+    record_loads(spark, t, [(path, datetime.datetime(1970, 1, 2), "2021-03-01")])
     assert run_batch(spark, "daily", src, target=t) == ["2021-03-01"]
+    assert run_batch(spark, "daily", src, target=t) == []
 
 
 def test_problems_and_malformed_records(spark, fresh_db, tmp_path):
