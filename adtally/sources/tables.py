@@ -54,14 +54,14 @@ def open_table(spark: SparkSession, table: str) -> DataFrame:
     return spark.table(table)
 
 
-def _create(spark: SparkSession, table: str, ddl: str, location: str | None) -> None:
+def _create(spark: SparkSession, table: str, ddl: str, location: str | None, by: str = "PARTITIONED BY (date)") -> None:
     if spark.catalog.tableExists(table):
         return
     place = location or _default_location(spark, table)
     found = _exists(spark, place)
     where = " LOCATION '{}'".format(place.replace("'", "\\'")) if location or found else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({ddl}) USING parquet PARTITIONED BY (date){where}")
-    if found:
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({ddl}) USING parquet {by}{where}")
+    if found and by:
         spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
 
 
@@ -214,7 +214,8 @@ def ledger_of(sink: Sink) -> Sink:
 
 
 def record_loads(spark: SparkSession, sink: Sink, loads: list[tuple]) -> None:
-    """Notes ``loads`` (archive, modified, date).
+    """Appends notes of ``loads`` (archive, modified, date), one small file a load; of a date's
+    notes the latest modification counts, so a repeated note does no harm.
 
     To be called before the rows of new dates are written and after those of replaced ones:
     a date that is noted but not in the target is loaded again, and so is a date whose note
@@ -223,9 +224,12 @@ def record_loads(spark: SparkSession, sink: Sink, loads: list[tuple]) -> None:
     if not loads:
         return
     ledger = ledger_of(sink)
+    notes = spark.createDataFrame(loads, _LEDGER_DDL).coalesce(1)
     if isinstance(ledger, str):
-        _create(spark, ledger, _LEDGER_DDL, None)
-    overwrite_dates(spark.createDataFrame(loads, _LEDGER_DDL).coalesce(1), ledger)
+        _create(spark, ledger, _LEDGER_DDL, None, by="")
+        notes.write.insertInto(ledger, overwrite=False)
+    else:
+        notes.write.mode("append").parquet(ledger.path)
 
 
 def with_ledger(spark: SparkSession, sink: Sink, dates: DataFrame) -> DataFrame:
@@ -236,9 +240,11 @@ def with_ledger(spark: SparkSession, sink: Sink, dates: DataFrame) -> DataFrame:
     if isinstance(ledger, str):
         if not spark.catalog.tableExists(ledger) and not _exists(spark, _default_location(spark, ledger)):
             return unknown
-        _create(spark, ledger, _LEDGER_DDL, None)
+        _create(spark, ledger, _LEDGER_DDL, None, by="")
     notes = read_sink(spark, ledger)
-    return unknown if notes is None else dates.join(notes.select("date", "modified"), "date", "left")
+    if notes is None:
+        return unknown
+    return dates.join(notes.groupBy("date").agg(F.max("modified").alias("modified")), "date", "left")
 
 
 def append(df: DataFrame, table: str) -> None:

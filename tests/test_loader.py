@@ -362,7 +362,7 @@ def test_a_newer_copy_replaces_its_date(spark, fresh_db, tmp_path):
 
 
 def test_an_unfinished_load_is_done_again(spark, fresh_db, tmp_path):
-    from adtally.sources.tables import create_target, record_loads
+    from adtally.sources.tables import create_target, overwrite_dates, record_loads
 
     src, t = str(tmp_path / "Daily"), f"{fresh_db}.d"
     path = daily_archive(src, "2021-03-01", mtime=2_000_000)
@@ -371,9 +371,12 @@ def test_an_unfinished_load_is_done_again(spark, fresh_db, tmp_path):
     record_loads(spark, t, [(path, datetime.datetime(2021, 3, 1), "2021-03-01")])
     assert run_batch(spark, "daily", src, target=t) == ["2021-03-01"]
     assert run_batch(spark, "daily", src, target=t) == []
-    # a date was replaced, then the load broke off before it was noted
-    record_loads(spark, t, [(path, datetime.datetime(1970, 1, 2), "2021-03-01")])
+    # a date was replaced from a newer archive, then the load broke off before it was noted
+    daily_archive(src, "2021-03-01", rows=["1,New,X,2,1"], mtime=datetime.datetime(2021, 4, 1).timestamp())
+    row = spark.table(t).limit(1)
+    overwrite_dates(row, t)
     assert run_batch(spark, "daily", src, target=t) == ["2021-03-01"]
+    assert [r.page_name for r in spark.table(t).collect()] == ["New"]
     assert run_batch(spark, "daily", src, target=t) == []
 
 
