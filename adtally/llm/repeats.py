@@ -26,7 +26,6 @@ hold each window once, so no task holds a whole group.
 
 from __future__ import annotations
 
-import hashlib
 import struct
 from collections.abc import Iterator
 from functools import cache
@@ -621,8 +620,3 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         F.lit(0).cast("bigint").alias("n_spans"), F.encode("text", "UTF-8").alias("kept"),
     )
     return cut.unionByName(whole)
-
-
-def digest(data: bytes) -> str:
-    """Lower-case hex SHA-256, as the query gives it for the kept bytes."""
-    return hashlib.sha256(data).hexdigest()

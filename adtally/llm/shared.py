@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 
 from adtally.session import shared_dir, ship_package
 
-#: The words of a text are runs of anything but these six ASCII characters (fixed value).
-BLANK = r"[\x20\x09-\x0D]"
+#: The words of a text are runs of anything but six ASCII characters (fixed value).
 WORD = r"[^\x20\x09-\x0D]+"
 
 

@@ -13,7 +13,6 @@ It learns from the urls that a rule decides and judges the rest. Tokens are hash
 from __future__ import annotations
 
 import math
-from functools import reduce
 
 import numpy as np
 import pandas as pd
