@@ -9,7 +9,10 @@ probability proportional to the product of its values' factors, so the expected
 the sample have the target shares in every margin. The product that counts as 1 is the
 largest but for cells that hold ``CAPPED`` of all tokens at most: these are kept whole and
 fall short of their share by what a probability above 1 would have added. Else a handful of
-documents of a rare value would decide how little is kept of all others.
+documents of a rare value would decide how little is kept of all others. ``refit`` makes
+good what the cut took: cells at probability 1 are held and the others raked again, until
+the sample, as large as before, has the target shares. Only a value whose documents are
+too few for its share, even if all are kept, stays below it.
 
 Only DataFrame operations are used. Sums are grouped aggregations, which combine before
 the shuffle, so a source with a third of all rows costs one row a task. Cells go back to
@@ -30,6 +33,8 @@ ROUNDS = 100
 TOLERANCE = 1e-9
 #: Share of tokens in cells whose probability may be cut to 1.
 CAPPED = 0.05
+#: Largest relative distance of a value from its aim; probabilities have six places.
+REFIT_TOLERANCE = 1e-5
 SEED = 42
 NONE = "(none)"
 
@@ -81,6 +86,62 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], tolerance: float = TOL
     return written(whole.select(*cells.columns, product.alias("factor")), "cells")
 
 
+def aims(cells: DataFrame, margin: str, goal: DataFrame, mass: float) -> DataFrame:
+    """``margin, aim``: tokens to keep of each value, ``mass`` in all, and none above its tokens.
+
+    Values whose tokens are too few for their share are aimed at whole; the others share the
+    rest in proportion to their targets.
+    """
+    own = cells.groupBy(margin).agg(F.sum("tokens").alias("own"))
+    own = written(own.join(goal, margin, "left").select(margin, "own", F.coalesce("target", F.lit(0.0)).alias("target")), "aims")
+    scale, wider = 0.0, mass
+    while wider > scale * (1 + TOLERANCE):
+        scale = wider
+        short = F.col("target") * F.lit(scale) >= F.col("own")
+        whole, free = own.agg(F.sum(F.when(short, F.col("own"))), F.sum(F.when(~short, F.col("target")))).first()
+        wider = (mass - (whole or 0)) / free if free else scale
+    return own.select(margin, F.least(F.col("target") * F.lit(scale), F.col("own").cast("double")).alias("aim"))
+
+
+def rake_below_one(cells: DataFrame, targets: dict[str, DataFrame], tolerance: float = REFIT_TOLERANCE) -> DataFrame:
+    """``cells (margins..., tokens, factor)`` with factors whose cut at 1 meets the targets.
+
+    The sample keeps the tokens that ``factor``, cut at 1, would keep. A step solves one
+    margin with the cells at 1 held: a value's other cells are scaled to what is left of its
+    aim, so a cell may come to 1 in one step and be freed in a later one. A round is one
+    written table of the cells. Aims that cells can't meet together are approached as far
+    as ROUNDS go.
+    """
+    kept = F.least(F.col("factor"), F.lit(1.0)) * F.col("tokens")
+    mass = float(cells.agg(F.sum(kept)).first()[0] or 0)
+    goals = {m: written(aims(cells, m, goal, mass), "aims") for m, goal in targets.items()}
+    for _ in range(ROUNDS):
+        rows = cells.withColumn("off", F.lit(0.0))
+        for margin, goal in goals.items():
+            raw = F.col("factor") * F.col("tokens")
+            sums = rows.groupBy(margin).agg(
+                F.sum(F.when(F.col("factor") < 1, raw).otherwise(0.0)).alias("below"),
+                F.sum(F.when(F.col("factor") >= 1, F.col("tokens")).otherwise(0)).cast("double").alias("held"),
+                F.sum(raw).alias("all"),
+            )
+            rest = F.col("aim") - F.col("held")
+            by = (
+                F.when((F.col("below") > 0) & (rest > 0), rest / F.col("below"))
+                .when(((rest < 0) | (F.col("below") > 0)) & (F.col("all") > 0), F.col("aim") / F.col("all"))
+                .otherwise(1.0)
+            )
+            off = F.when(F.col("aim") > 0, F.abs(F.col("below") + F.col("held") - F.col("aim")) / F.col("aim")).otherwise(0.0)
+            step = sums.join(goal, margin).select(margin, by.alias("by"), off.alias("now_off"))
+            rows = rows.join(step, margin).select(
+                *targets, "tokens", (F.col("factor") * F.col("by")).alias("factor"), F.greatest("off", "now_off").alias("off")
+            )
+        rows = written(rows, "cells")
+        cells = rows.drop("off")
+        if (rows.agg(F.max("off")).first()[0] or 0.0) <= tolerance:
+            break
+    return cells
+
+
 def uniform(key: Column, seed: int = SEED) -> Column:
     """A number in [0, 1) from a row's key, the same in every run; null counts as a key."""
     text = F.concat(F.lit(f"{seed}:"), F.coalesce(key.cast("string"), F.lit("null")))
@@ -90,13 +151,14 @@ def uniform(key: Column, seed: int = SEED) -> Column:
 def mix(
     docs: DataFrame, margins: dict[str, Column], powers: dict[str, float], tokens: Column,
     id_col: str = "doc_id", targets: dict[str, DataFrame] | None = None, seed: int = SEED,
-    capped: float = CAPPED,
+    capped: float = CAPPED, refit: bool = False,
 ) -> DataFrame:
     """``docs`` with ``probability`` and ``kept`` (named anew if taken), one row per row.
 
     ``margins`` and ``tokens`` are expressions over ``docs``. Null values of a margin form a
     value of their own, ``(none)``. Documents without tokens take their cell's probability.
-    Equal ids are kept or left together. An empty table gives an empty result.
+    Equal ids are kept or left together. ``refit`` rakes again below the cut, so that all
+    shares within reach meet their targets. An empty table gives an empty result.
     """  # noqa: D205
     names = {m: free_name(docs, f"mix_{m}") for m in margins}
     values = {names[m]: F.coalesce(c.cast("string"), F.lit(NONE)) for m, c in margins.items()}
@@ -106,8 +168,11 @@ def mix(
     goals = {names[m]: (targets or {}).get(m) for m in margins}
     for m, n in names.items():
         goals[n] = powered_targets(cells, n, powers[m]) if goals[n] is None else goals[n].select(F.col(m).alias(n), "target")
-    fitted = rake(cells, {n: written(g, "targets") for n, g in goals.items()})
+    goals = {n: written(g, "targets") for n, g in goals.items()}
+    fitted = rake(cells, goals)
     top = fitted.agg(F.percentile("factor", 1 - capped, F.col("tokens"))).first()[0] or 1.0
+    if refit and capped:
+        fitted, top = rake_below_one(fitted.withColumn("factor", F.col("factor") / F.lit(top)), goals), 1.0
     chance, kept = free_name(docs, "probability"), free_name(docs, "kept")
     known = fitted.select(*values, F.round(F.least(F.col("factor") / top, F.lit(1.0)), 6).alias(chance))
     rows = docs.withColumns({**values, weights: tokens.cast("long")}).join(known, list(values))

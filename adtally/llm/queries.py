@@ -35,11 +35,11 @@ def topic_of(text: Column) -> Column:
     )
 
 
-def mix_documents(docs: DataFrame) -> DataFrame:
-    """Documents with the mix's columns added (see mixing.mix)."""
+def mix_documents(docs: DataFrame, refit: bool = False) -> DataFrame:
+    """Documents with the mix's columns added (see mixing.mix); the SQL of op2 has no ``refit``."""
     margins = {"source": F.col("source"), "language": F.col("lang"), "topic": topic_of(F.col("text"))}
     tokens = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD))
-    return mixing.mix(docs.select("doc_id", "text", "lang", "source", "n_chars"), margins, MIX_POWERS, tokens)
+    return mixing.mix(docs.select("doc_id", "text", "lang", "source", "n_chars"), margins, MIX_POWERS, tokens, refit=refit)
 
 
 def op2_raked_mix(spark: SparkSession, d: str) -> DataFrame:

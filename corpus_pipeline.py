@@ -33,8 +33,8 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def target_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A sample whose tokens meet the targets of source, language and topic."""
-    return mix_documents(docs).filter("kept").select(*COLUMNS)
+    """A sample whose tokens meet the targets of source, language and topic that are within reach."""
+    return mix_documents(docs, refit=True).filter("kept").select(*COLUMNS)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -99,5 +99,35 @@ def test_a_rare_value_does_not_decide_what_is_kept(spark):
     assert max(scale) - min(scale) < 0.02 * max(scale)
 
 
+def test_refit_meets_all_targets_within_reach(spark):
+    rng = random.Random(5)
+    data = rows(rng, 3000)
+    data += [(9000 + i, "s1", "l0", f"t{i % 3}", 100, "", 0) for i in range(40)]
+    data += [(9100 + i, f"s{i % 6}", "rare", f"t{i % 3}", 60, "", 0) for i in range(12)]
+    docs = spark.createDataFrame(data, SCHEMA)
+    powers = {"source": 0.8, "language": 0.8, "topic": 0.8}
+    cut = mixing.mix(docs, margins(), powers, F.col("tokens")).collect()
+    found = mixing.mix(docs, margins(), powers, F.col("tokens"), refit=True).collect()
+    assert all(0 < r.probability <= 1 for r in found)
+    mass = sum(r.tokens * r.probability for r in cut)
+    assert abs(sum(r.tokens * r.probability for r in found) / mass - 1) < 1e-3
+    _, cells, goals = brute(data, powers)
+    total = sum(cells.values())
+    short = set()
+    for k, (name, goal) in enumerate(zip(("source", "lang", "topic"), goals)):
+        whole = {v: sum(n for c, n in cells.items() if c[k] == v) for v in goal}
+        out = {v for v in goal if goal[v] / total * mass > whole[v]}
+        short |= out
+        left = (mass - sum(whole[v] for v in out)) / sum(goal[v] for v in goal if v not in out)
+        for v in goal:
+            own = sum(r.tokens * r.probability for r in found if r[name] == v)
+            assert abs(own / (whole[v] if v in out else goal[v] * left) - 1) < 1e-3, v
+    assert short == {"rare"}
+
+
 def test_empty_table(spark):
     assert mixing.mix(spark.createDataFrame([], SCHEMA), margins(), POWERS, F.col("tokens"), capped=0.0).count() == 0
+
+
+def test_refit_of_an_empty_table(spark):
+    assert mixing.mix(spark.createDataFrame([], SCHEMA), margins(), POWERS, F.col("tokens"), refit=True).count() == 0
