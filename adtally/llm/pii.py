@@ -8,6 +8,10 @@ and no deep stack.
 
 Kinds: email, ip, card (Luhn) and phone make up the base, which the score never drops.
 Two more are added: iban (mod-97) and ssn, which needs a context word nearby.
+
+Only the head of an iban is consumed. What follows is looked at from each head anew, and
+where blanks part the groups, every cut at a group's end is tried: the next word may look
+like one more group, and an account number may begin within another proposal.
 """
 
 from __future__ import annotations
@@ -53,6 +57,23 @@ def mod97(account: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.length(turned)), F.lit(0), add) == 1
 
 
+# The shortest iban has 15 characters, the longest 34 (8 more with blanks).
+_IBAN_HEAD, _IBAN_REACH, _IBAN_CUTS = 4, 48, (39, 34, 29, 24, 19)
+_IBAN_REST = r"(?:[A-Z0-9]{11,30}|(?:\x20[A-Z0-9]{4}){2,7}(?:\x20[A-Z0-9]{1,3})?)(?![A-Za-z0-9])"
+
+
+def _iban_at(text: Column, head_end: Column) -> Column:
+    """The longest cut with the right remainder of what is proposed from a head on, else all of it."""
+    near = F.substring(text, head_end - _IBAN_HEAD + 1, F.lit(_IBAN_REACH))
+
+    def cut(full: Column) -> Column:
+        ends = F.filter(F.array(*[F.lit(n) for n in _IBAN_CUTS]), lambda n: full.contains(" ") & (n < F.length(full)))
+        cuts = F.concat(F.array(full), F.transform(ends, lambda n: F.left(full, n)))
+        return F.coalesce(F.get(F.filter(cuts, lambda c: mod97(F.replace(c, F.lit(" "), F.lit("")))), F.lit(0)), full)
+
+    return bound_to(F.regexp_extract(near, rf"^[A-Z]{{2}}[0-9]{{2}}{_IBAN_REST}", 0), cut)
+
+
 @dataclass(frozen=True)
 class Kind:
     name: str
@@ -63,6 +84,8 @@ class Kind:
     score: float
     context: str
     base: bool
+    #: If the pattern is but a head: the match, from the text and the head's end.
+    match_at: Callable[[Column, Column], Column] | None = None
 
 
 # The base patterns (runs written possessively), kinds in the order of output.
@@ -87,9 +110,9 @@ KINDS = (
         lambda t: t.contains("+"), lambda m: F.length(_digits(m)).between(9, 15), 0.6, "phone|call|tel|mobile|fax", True,
     ),
     Kind(
-        "iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?:\x20[A-Z0-9]{4}){2,7}(?:\x20[A-Z0-9]{1,3})?)(?![A-Za-z0-9])",
+        "iban", rf"(?<![A-Za-z0-9])[A-Z]{{2}}[0-9]{{2}}(?={_IBAN_REST})",
         lambda t: t.rlike(r"[A-Z]{2}[0-9]{2}\x20?[A-Z0-9]{4}"),
-        lambda m: mod97(F.replace(m, F.lit(" "), F.lit(""))), 0.7, "iban|account|bank|transfer", False,
+        lambda m: mod97(F.replace(m, F.lit(" "), F.lit(""))), 0.7, "iban|account|bank|transfer", False, _iban_at,
     ),
     Kind(
         "ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
@@ -128,6 +151,9 @@ def _judged(text: Column, pieces: Column, kind: Kind) -> Column:
 
     def with_starts(starts: Column) -> Column:
         def one(piece: Column, at: Column) -> Column:
+            if kind.match_at is not None:
+                start = at + F.length(piece) - _IBAN_HEAD
+                return bound_to(kind.match_at(text, at + F.length(piece)), lambda m: weighed(m, start, start + F.length(m)))
             match = F.regexp_extract(piece, rf"(?:{kind.pattern})\z", 0)
             return bound_to(match, lambda m: weighed(m, at + F.length(piece) - F.length(m), at + F.length(piece)))
 
@@ -153,10 +179,20 @@ def _judged(text: Column, pieces: Column, kind: Kind) -> Column:
 def _spans_of(text: Column, kind: Kind) -> Column:
     """array<struct<kind, start, end, score, text>> of one kind, in order of place."""
     judged = bound_to(_pieces(text, kind), lambda pieces: _judged(text, pieces, kind))
-    return F.transform(
+    found = F.transform(
         F.filter(judged, lambda m: m["confirmed"]),
         lambda m: F.struct(*[m[c].alias(c) for c in ("kind", "start", "end", "score", "text")]),
     )
+    return found if kind.match_at is None else bound_to(found, _apart)
+
+
+def _apart(found: Column) -> Column:
+    """Spans in order of place, without those that begin within one kept before."""
+    first = F.struct(F.lit(0).alias("end"), F.slice(found, 1, 0).alias("out"))
+    add = lambda a, m: F.when(m["start"] < a["end"], a).otherwise(
+        F.struct(m["end"].alias("end"), F.concat(a["out"], F.array(m)).alias("out"))
+    )
+    return F.aggregate(found, first, add)["out"]
 
 
 def spans(text: Column) -> Column:
@@ -187,7 +223,15 @@ def _without(text: Column, kind: Kind) -> Column:
         )
         return F.concat(F.array_join(kept, ""), F.substring(text, total + 1, F.length(text)))
 
-    return F.when(kind.hint(text), bound_to(_pieces(text, kind), join)).otherwise(text)
+    def around(found: Column) -> Column:
+        ends = F.concat(F.array(F.lit(0)), F.transform(found, lambda m: m["end"]))
+        kept = F.zip_with(
+            ends, found, lambda end, m: F.concat(F.substring(text, end + 1, m["start"] - end), F.lit(f"[{kind.name.upper()}]"))
+        )  # null at the last end, which array_join leaves out
+        return F.concat(F.array_join(kept, ""), F.substring(text, F.element_at(ends, -1) + 1, F.length(text)))
+
+    masked = bound_to(_pieces(text, kind), join) if kind.match_at is None else bound_to(_spans_of(text, kind), around)
+    return F.when(kind.hint(text), masked).otherwise(text)
 
 
 def mask(docs: DataFrame, text_col: str = "text") -> DataFrame:

@@ -66,6 +66,25 @@ def test_checksums_and_context(spark):
     assert with_word.spans[0].score > without.spans[0].score
 
 
+def test_an_iban_before_or_after_words_that_look_like_groups(spark):
+    es, be, at = "ES91 2100 0418 4502 0005 1332", "BE68 5390 0754 7034", "AT61 1904 3002 3457 3201"
+    de, no, bare = "DE89 3704 0044 0532 0130 00", "NO93 8601 1117 947", "GB82WEST12345698765432"
+    texts = {
+        f"IBAN {es} BIC CAIXESBB": [es], f"IBAN: {be} BIC: X": [be], f"{at} EUR 20": [at], f"{be} 2024 PAID NOW": [be],
+        f"{es} {de}": [es, de], f"{be} {be} {no} EUR": [be, be, no], f"REF AB12 3456 7890 {at} EUR": [at],
+        f"é😀 {no} NOK, {bare} BIC, {de}x {es}": [no, bare, es], f"{bare}X": [], f"{es[:-1]}3 BIC": [], es: [es],
+    }
+    rows = [(i, t, "", 0) for i, t in enumerate(texts)]
+    masked = {r.doc_id: r.text for r in pii.mask(spark.createDataFrame(rows, SCHEMA)).collect()}
+    for r in found(spark, rows):
+        text, want = rows[r.doc_id][1], texts[rows[r.doc_id][1]]
+        ibans = [s for s in r.spans if s.kind == "iban"]
+        assert [s.text for s in ibans] == want and all(text[s.start : s.end] == s.text for s in ibans), text
+        for number in want:
+            text = text.replace(number, "[IBAN]", 1)
+        assert masked[r.doc_id] == text
+
+
 def test_masking(spark):
     rng = random.Random(2)
     bits = ["mail a@b.co ", "ip 10.0.0.1, ", "card 4111 1111 1111 1111; ", "call +1 (017) 555-7713 ", "é 12 ", "999.1.1.1 "]
