@@ -465,7 +465,7 @@ QUERY_OPERATORS: dict[str, tuple[str, ...]] = {
     "coverage_period": ("C10",),
     "totals_by_date": ("A6",),
     "day_over_day": ("W1", "A6"),
-    "first_member": ("O1",),
+    "first_member": ("S3",),
     "table_round_trip": ("S11", "P1"),
     "append_table": ("S9", "S11"),
     "table_like": ("S12",),
@@ -478,7 +478,7 @@ QUERY_OPERATORS: dict[str, tuple[str, ...]] = {
     "archive_regional_members": ("S2", "S3", "E2"),
     "archive_30days": ("S1", "S3", "E2"),
     "archive_90days": ("S1", "S3", "E2", "P5"),
-    "archive_lifelong": ("S1", "S2", "S4", "S10", "P5", "E3"),
+    "archive_lifelong": ("S1", "S2", "S4", "O1", "S10", "P5", "E3"),
     "load_twice": ("E1", "J1", "P6", "P8", "S8", "T2"),
     "load_problems": ("C12", "L5"),
     "stream_ingest": ("T1", "S1", "S2"),

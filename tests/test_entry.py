@@ -52,3 +52,7 @@ def test_query_matches_oracle(spark, con, name):
 
 def test_every_query_names_its_operators():
     assert set(entry.QUERY_OPERATORS) == OWN
+
+
+def test_first_member_is_exercised_by_a_load():
+    assert [q for q, ids in entry.QUERY_OPERATORS.items() if "O1" in ids] == ["archive_lifelong"]
