@@ -314,7 +314,7 @@ def _licence_sql() -> str:
         begins AS (
           SELECT r, k, dw.pos - tw.pos AS b
           FROM own_rare JOIN file_rare USING (word) JOIN tw USING (k, word) JOIN dw USING (r, word) JOIN needs USING (k)
-          GROUP BY ALL, need HAVING count(DISTINCT word) >= need),
+          GROUP BY r, k, b, need HAVING count(DISTINCT word) >= need),
         parts AS (
           SELECT r, k, label, t.words AS words, phrases,
                  list_slice(d.words, greatest(b - {slack}, 0) + 1, greatest(b + len(t.words) + {slack}, 0)) AS part
