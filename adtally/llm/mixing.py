@@ -1,145 +1,141 @@
 """Mixing sources to target weights: iterative proportional fitting, then sampling.
 
 Documents are counted into cells, one for each combination of the margins' values (say
-source, language, topic); from then on only the table of cells is worked on. Each value of
-a margin has a factor, at first 1. A round sets the factors of the first margin so that
-the weighted tokens of each of its values meet their target, then those of the second, and
-so on; rounds go on until all margins agree with their targets. A document is kept with a
-probability proportional to the product of its values' factors, so the expected tokens of
-the sample have the target shares in every margin. The product that counts as 1 is the
-largest but for cells that hold ``CAPPED`` of all tokens at most: these are kept whole and
-fall short of their share by what a probability above 1 would have added. Else a handful of
-documents of a rare value would decide how little is kept of all others. ``refit`` makes
-good what the cut took: cells at probability 1 are held and the others raked again, until
-the sample, as large as before, has the target shares. Only a value whose documents are
-too few for its share, even if all are kept, stays below it.
-
-Only DataFrame operations are used. Sums are grouped aggregations, which combine before
-the shuffle, so a source with a third of all rows costs one row a task. Cells go back to
-the documents by a join whose side Spark broadcasts only if it is small enough.
+source, language, topic); from then on only the table of cells is worked on. Each cell has
+a factor, at first 1. A round scales the factors so that the weighted tokens of each value
+of the first margin meet their target, then those of the second, and so on; rounds go on
+until all margins agree with their targets. A document is kept with a probability
+proportional to its cell's factor, so the expected tokens of the sample have the target
+shares in every margin. The factor that counts as 1 is the largest but for cells that hold
+``CAPPED`` of all tokens at most; else a handful of documents of a rare value would decide
+how little is kept of all others. What this cut takes is made good by raking again: cells at
+probability 1 are held and the others raked, until the sample, as large as before, has the
+target shares. Only a value whose documents are too few for its share, even if all are kept,
+stays below it.
+
+Only DataFrame operations are used. Documents are summed by cell before the shuffle, so a
+source with a third of all rows costs one row a task. A step of a round is a windowed sum
+over the cells of a value, and several rounds are one plan with one written table, so the
+driver sees a job or two for each ``ROUNDS_A_PLAN`` rounds. Cells go back to the documents by
+a join whose side Spark broadcasts only if it is small enough.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adtally.llm.shared import free_name, written
 
-#: Rounds at most.
-ROUNDS = 100
+#: Rounds at most, and rounds in one plan.
+ROUNDS = 105
+ROUNDS_A_PLAN = 5
+#: Largest relative distance of a value from its goal.
 TOLERANCE = 1e-9
 #: Share of tokens in cells whose probability may be cut to 1.
 CAPPED = 0.05
-#: Largest relative distance of a value from its aim; probabilities have six places.
-REFIT_TOLERANCE = 1e-5
 SEED = 42
 NONE = "(none)"
 
 
-def powered_targets(cells: DataFrame, margin: str, power: float) -> DataFrame:
-    """``margin, target``: shares of tokens raised to ``power`` and scaled to sum to 1.
+def goals(cells: DataFrame, margins: list[str], powers: dict[str, float], targets: dict[str, DataFrame]) -> DataFrame:
+    """``margin, value, own, target``: tokens and target share of every value of every margin.
 
-    A power below 1 evens shares out: small values gain, large ones lose.
+    Targets are given as a frame ``margin, target``, or else the shares of tokens raised to
+    the margin's power and scaled to sum to 1: a power below 1 evens shares out. A value
+    without a given target has 0.
     """
-    each = cells.groupBy(margin).agg(F.pow(F.sum("tokens").cast("double"), F.lit(power)).alias("t")).filter("t > 0")
-    total = each.agg(F.sum("t")).first()[0] or 1.0
-    return each.select(margin, (F.col("t") / total).alias("target"))
+    values = F.array(*[F.struct(F.lit(m).alias("margin"), F.col(m).alias("value"), "tokens") for m in margins])
+    own = cells.select(F.explode(values).alias("v")).groupBy("v.margin", "v.value").agg(F.sum("v.tokens").alias("own"))
+    power = F.coalesce(*[F.when(F.col("margin") == m, F.lit(float(powers[m]))) for m in margins if m not in targets], F.lit(1.0))
+    own = own.withColumn("raised", F.when(F.col("own") > 0, F.pow(F.col("own").cast("double"), power)).otherwise(0.0))
+    total = own.groupBy("margin").agg(F.sum("raised").alias("all"))
+    shares = own.join(total, "margin").withColumn("share", F.when(F.col("all") > 0, F.col("raised") / F.col("all")).otherwise(0.0))
+    for m, given in targets.items():
+        given = given.select(F.lit(m).alias("margin"), F.col(m).alias("value"), F.col("target").cast("double").alias("given"))
+        shares = shares.join(given, ["margin", "value"], "left")
+        shares = shares.withColumn("share", F.when(F.col("margin") == m, F.coalesce("given", F.lit(0.0))).otherwise(F.col("share"))).drop("given")
+    return written(shares.select("margin", "value", F.col("own").cast("double").alias("own"), F.col("share").alias("target")), "goals")
+
+
+def with_goals(cells: DataFrame, margins: list[str], goals: DataFrame, goal: Column) -> DataFrame:
+    """``cells`` with ``goal_<margin>``, the goal of the cell's value, for each margin."""
+    for m in margins:
+        own = goals.filter(F.col("margin") == m).select(F.col("value").alias(m), goal.alias(f"goal_{m}"))
+        cells = cells.join(own, m)
+    return cells
 
 
-def rake(cells: DataFrame, targets: dict[str, DataFrame], tolerance: float = TOLERANCE) -> DataFrame:
-    """``cells (margins..., tokens)`` with the column ``factor``, margins fitted to targets.
+def _rounds(cells: DataFrame, margins: list[str], sums: dict[str, str], scale: str, off: str) -> DataFrame:
+    """``cells`` after rounds that scale the factors of one margin after the other.
 
-    ``targets`` has for each margin a frame ``margin, target`` of shares; a value without a
-    target gets factor 0. A cell's factor is the product of one factor for each margin; a
-    step replaces one margin's factors and is one aggregation of the cells. Rounds end when
-    no factor of the first margin changes by more than ``tolerance``; targets that cells can't meet
-    together (an empty combination) are approached as far as ROUNDS go.
+    ``scale`` and ``off``, a value's scale and its distance from the goal, are SQL over the
+    cell's ``goal`` and the ``sums`` by value. A plan is one statement of ROUNDS_A_PLAN rounds;
+    after each, the distances of its last round decide whether more follow. Goals that cells
+    can't meet together (an empty combination) are approached as far as ROUNDS go.
     """
-    total = cells.agg(F.sum("tokens")).first()[0] or 1
-    first = next(iter(targets))
-    factors = {m: cells.select(m).distinct().withColumn(f"factor_{m}", F.lit(1.0)) for m in targets}
-    for _ in range(ROUNDS):
-        moved = 0.0
-        for margin, goal in targets.items():
-            own = f"factor_{margin}"
-            others = [f"factor_{m}" for m in targets if m != margin]
-            rows = reduce(lambda c, m: c.join(factors[m], m), [m for m in targets if m != margin], cells)
-            weight = reduce(lambda a, f: a * F.col(f), others, F.col("tokens").cast("double"))
-            now = rows.groupBy(margin).agg(F.sum(weight).alias("now"))
-            aim = F.coalesce("target", F.lit(0.0)) * F.lit(float(total))
-            fitted = now.join(goal, margin, "left").join(factors[margin], margin).select(
-                margin, F.col(own).alias("before"), F.when(F.col("now") > 0, aim / F.col("now")).otherwise(F.col(own)).alias(own)
-            )
-            fitted = written(fitted, "factors")
-            factors[margin] = fitted.drop("before")
-            if margin == first:
-                # once the first margin needs no change, the others, fitted since, agree too
-                change = F.when(F.col("before") > 0, F.abs(F.col(own) / F.col("before") - 1)).otherwise(0.0)
-                moved = fitted.agg(F.max(change)).first()[0] or 0.0
-        if moved <= tolerance:
+    kept = ", ".join(f"`{c}`" for c in cells.columns if c != "factor")
+    offs = [f"off_{k}" for k in range(len(margins))]
+    query = "SELECT *, " + ", ".join(f"0D AS {c}" for c in offs) + " FROM {cells}"
+    for _ in range(ROUNDS_A_PLAN):
+        for k, m in enumerate(margins):
+            summed = ", ".join(f"sum({v}) OVER (PARTITION BY `{m}`) AS {n}" for n, v in sums.items())
+            query = f"SELECT *, `goal_{m}` AS goal, {summed} FROM ({query})"
+            rest = ", ".join(c if c != offs[k] else f"{off} AS {c}" for c in offs)
+            query = f"SELECT {kept}, factor * {scale} AS factor, {rest} FROM ({query})"
+    for _ in range(ROUNDS // ROUNDS_A_PLAN):
+        rows = written(cells.sparkSession.sql(query, cells=cells), "cells")
+        cells = rows.drop(*offs)
+        if (rows.agg(F.max(F.array_max(F.array(*offs)))).first()[0] or 0.0) <= TOLERANCE:
             break
-    whole = reduce(lambda c, m: c.join(factors[m], m), targets, cells)
-    product = reduce(lambda a, m: a * F.col(f"factor_{m}"), targets, F.lit(1.0))
-    return written(whole.select(*cells.columns, product.alias("factor")), "cells")
+    return cells
 
 
-def aims(cells: DataFrame, margin: str, goal: DataFrame, mass: float) -> DataFrame:
-    """``margin, aim``: tokens to keep of each value, ``mass`` in all, and none above its tokens.
+def rake(cells: DataFrame, margins: list[str]) -> DataFrame:
+    """``cells (margins..., tokens, factor, goal_...)`` with factors that meet the goals.
 
-    Values whose tokens are too few for their share are aimed at whole; the others share the
-    rest in proportion to their targets.
+    A value with goal 0 gets factor 0.
     """
-    own = cells.groupBy(margin).agg(F.sum("tokens").alias("own"))
-    own = written(own.join(goal, margin, "left").select(margin, "own", F.coalesce("target", F.lit(0.0)).alias("target")), "aims")
-    scale, wider = 0.0, mass
-    while wider > scale * (1 + TOLERANCE):
-        scale = wider
-        short = F.col("target") * F.lit(scale) >= F.col("own")
-        whole, free = own.agg(F.sum(F.when(short, F.col("own"))), F.sum(F.when(~short, F.col("target")))).first()
-        wider = (mass - (whole or 0)) / free if free else scale
-    return own.select(margin, F.least(F.col("target") * F.lit(scale), F.col("own").cast("double")).alias("aim"))
-
-
-def rake_below_one(cells: DataFrame, targets: dict[str, DataFrame], tolerance: float = REFIT_TOLERANCE) -> DataFrame:
-    """``cells (margins..., tokens, factor)`` with factors whose cut at 1 meets the targets.
-
-    The sample keeps the tokens that ``factor``, cut at 1, would keep. A step solves one
-    margin with the cells at 1 held: a value's other cells are scaled to what is left of its
-    aim, so a cell may come to 1 in one step and be freed in a later one. A round is one
-    written table of the cells. Aims that cells can't meet together are approached as far
-    as ROUNDS go.
+    scale = "CASE WHEN now > 0 THEN goal / now ELSE 1D END"
+    return _rounds(cells, margins, {"now": "tokens * factor"}, scale, f"CASE WHEN factor > 0 THEN abs({scale} - 1) ELSE 0D END")
+
+
+def rake_below_one(cells: DataFrame, margins: list[str]) -> DataFrame:
+    """``cells`` with factors whose cut at 1 meets the goals.
+
+    A step solves one margin with the cells at 1 held: a value's other cells are scaled to
+    what is left of its goal, so a cell may come to 1 in one step and be freed in a later
+    one.
     """
-    kept = F.least(F.col("factor"), F.lit(1.0)) * F.col("tokens")
-    mass = float(cells.agg(F.sum(kept)).first()[0] or 0)
-    goals = {m: written(aims(cells, m, goal, mass), "aims") for m, goal in targets.items()}
-    for _ in range(ROUNDS):
-        rows = cells.withColumn("off", F.lit(0.0))
-        for margin, goal in goals.items():
-            raw = F.col("factor") * F.col("tokens")
-            sums = rows.groupBy(margin).agg(
-                F.sum(F.when(F.col("factor") < 1, raw).otherwise(0.0)).alias("below"),
-                F.sum(F.when(F.col("factor") >= 1, F.col("tokens")).otherwise(0)).cast("double").alias("held"),
-                F.sum(raw).alias("all"),
-            )
-            rest = F.col("aim") - F.col("held")
-            by = (
-                F.when((F.col("below") > 0) & (rest > 0), rest / F.col("below"))
-                .when(((rest < 0) | (F.col("below") > 0)) & (F.col("all") > 0), F.col("aim") / F.col("all"))
-                .otherwise(1.0)
-            )
-            off = F.when(F.col("aim") > 0, F.abs(F.col("below") + F.col("held") - F.col("aim")) / F.col("aim")).otherwise(0.0)
-            step = sums.join(goal, margin).select(margin, by.alias("by"), off.alias("now_off"))
-            rows = rows.join(step, margin).select(
-                *targets, "tokens", (F.col("factor") * F.col("by")).alias("factor"), F.greatest("off", "now_off").alias("off")
-            )
-        rows = written(rows, "cells")
-        cells = rows.drop("off")
-        if (rows.agg(F.max("off")).first()[0] or 0.0) <= tolerance:
-            break
-    return cells
+    sums = {
+        "below": "CASE WHEN factor < 1 THEN factor * tokens ELSE 0D END",
+        "held": "CAST(CASE WHEN factor < 1 THEN 0 ELSE tokens END AS DOUBLE)",
+        "every": "factor * tokens",
+    }
+    scale = (
+        "CASE WHEN below > 0 AND goal > held THEN (goal - held) / below"
+        " WHEN (goal < held OR below > 0) AND every > 0 THEN goal / every ELSE 1D END"
+    )
+    return _rounds(cells, margins, sums, scale, "CASE WHEN goal > 0 THEN abs(below + held - goal) / goal ELSE 0D END")
+
+
+def aims(goals: DataFrame, mass: float) -> Column:
+    """The tokens to keep of each row of ``goals``: ``mass`` in all of a margin, none above its own.
+
+    Values whose tokens are too few for their share are aimed at whole; the others share the
+    rest in proportion to their targets. What comes to the driver is two sums a margin.
+    """
+    scales: dict[str, float] = {}
+    scale, wider = F.lit(0.0), {r.margin: mass for r in goals.select("margin").distinct().collect()}
+    while any(w > scales.get(m, 0.0) * (1 + TOLERANCE) for m, w in wider.items()):
+        scales = {m: max(w, scales.get(m, 0.0)) for m, w in wider.items()}
+        scale = F.coalesce(*[F.when(F.col("margin") == m, F.lit(s)) for m, s in scales.items()])
+        short = F.col("target") * scale >= F.col("own")
+        sums = goals.groupBy("margin").agg(
+            F.sum(F.when(short, F.col("own")).otherwise(0.0)).alias("whole"), F.sum(F.when(short, 0.0).otherwise(F.col("target"))).alias("free")
+        )
+        wider = {r.margin: (mass - r.whole) / r.free if r.free else scales[r.margin] for r in sums.collect()}
+    return F.least(F.col("target") * scale, F.col("own"))
 
 
 def uniform(key: Column, seed: int = SEED) -> Column:
@@ -150,32 +146,33 @@ def uniform(key: Column, seed: int = SEED) -> Column:
 
 def mix(
     docs: DataFrame, margins: dict[str, Column], powers: dict[str, float], tokens: Column,
-    id_col: str = "doc_id", targets: dict[str, DataFrame] | None = None, seed: int = SEED,
-    capped: float = CAPPED, refit: bool = False,
+    id_col: str = "doc_id", targets: dict[str, DataFrame] | None = None, seed: int = SEED, capped: float = CAPPED,
 ) -> DataFrame:
     """``docs`` with ``probability`` and ``kept`` (named anew if taken), one row per row.
 
     ``margins`` and ``tokens`` are expressions over ``docs``. Null values of a margin form a
     value of their own, ``(none)``. Documents without tokens take their cell's probability.
-    Equal ids are kept or left together. ``refit`` rakes again below the cut, so that all
-    shares within reach meet their targets. An empty table gives an empty result.
+    Equal ids are kept or left together. All shares within reach meet their targets. An
+    empty table gives an empty result.
     """  # noqa: D205
     names = {m: free_name(docs, f"mix_{m}") for m in margins}
     values = {names[m]: F.coalesce(c.cast("string"), F.lit(NONE)) for m, c in margins.items()}
-    weights = free_name(docs, "mix_tokens")
+    columns, weights = list(values), free_name(docs, "mix_tokens")
     cells = docs.select(*[v.alias(n) for n, v in values.items()], tokens.cast("long").alias("tokens"))
-    cells = written(cells.groupBy(*values).agg(F.sum(F.coalesce("tokens", F.lit(0))).alias("tokens")), "cells")
-    goals = {names[m]: (targets or {}).get(m) for m in margins}
-    for m, n in names.items():
-        goals[n] = powered_targets(cells, n, powers[m]) if goals[n] is None else goals[n].select(F.col(m).alias(n), "target")
-    goals = {n: written(g, "targets") for n, g in goals.items()}
-    fitted = rake(cells, goals)
+    cells = written(cells.groupBy(*columns).agg(F.sum(F.coalesce("tokens", F.lit(0))).alias("tokens")), "cells")
+    given = {names[m]: t.select(F.col(m).alias(names[m]), "target") for m, t in (targets or {}).items()}
+    shares = goals(cells, columns, {names[m]: p for m, p in powers.items()}, given)
+    total = float(cells.agg(F.sum("tokens")).first()[0] or 1)
+    start = with_goals(cells.withColumn("factor", F.lit(1.0)), columns, shares, F.col("target") * F.lit(total))
+    fitted = rake(start, columns).select(*columns, "tokens", "factor")
     top = fitted.agg(F.percentile("factor", 1 - capped, F.col("tokens"))).first()[0] or 1.0
-    if refit and capped:
-        fitted, top = rake_below_one(fitted.withColumn("factor", F.col("factor") / F.lit(top)), goals), 1.0
+    fitted = fitted.withColumn("factor", F.col("factor") / F.lit(top))
+    mass = float(fitted.agg(F.sum(F.least("factor", F.lit(1.0)) * F.col("tokens"))).first()[0] or 0) if capped else 0.0
+    if mass:
+        fitted = rake_below_one(with_goals(fitted, columns, shares, aims(shares, mass)), columns)
     chance, kept = free_name(docs, "probability"), free_name(docs, "kept")
-    known = fitted.select(*values, F.round(F.least(F.col("factor") / top, F.lit(1.0)), 6).alias(chance))
-    rows = docs.withColumns({**values, weights: tokens.cast("long")}).join(known, list(values))
+    known = fitted.select(*columns, F.round(F.least("factor", F.lit(1.0)), 6).alias(chance))
+    rows = docs.withColumns({**values, weights: tokens.cast("long")}).join(known, columns)
     return rows.withColumn(kept, uniform(F.col(id_col), seed) < F.col(chance)).select(
-        *docs.columns, *values, weights, chance, kept
+        *docs.columns, *columns, weights, chance, kept
     )

@@ -3,11 +3,13 @@ r"""Personal data: regular expressions propose, checksums confirm, context words
 Everything is a column expression over the row's whole text. A kind's matches come from
 ``\G.*?(?:pattern)``: each piece holds the gap since the last match and the match, so
 places are running sums of piece lengths, and a search that finds no more ends at once.
-Patterns hold no nested backtracking (possessive runs), so long texts take linear time
-and no deep stack.
+Patterns hold no nested backtracking (possessive runs), and one that opens with a run starts
+only where the run begins or the last match ended, so long texts take linear time and no
+deep stack.
 
 Kinds: email, ip, card (Luhn) and phone make up the base, which the score never drops.
-Two more are added: iban (mod-97) and ssn, which needs a context word nearby.
+Three more are added: iban (mod-97), and two that need a context word nearby: ssn and
+routing, a bank's number of nine digits with a weighted checksum.
 
 Only the head of an iban is consumed. What follows is looked at from each head anew, and
 where blanks part the groups, every cut at a group's end is tried: the next word may look
@@ -57,14 +59,29 @@ def mod97(account: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.length(turned)), F.lit(0), add) == 1
 
 
+#: Characters of a chunk: a place in a text is found by its chunk, not by reading from the start.
+CHUNK = 1024
+
+
+def _chunks(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(rf"(?s).{{1,{CHUNK}}}"), F.lit(0))
+
+
+def _part(chunks: Column, start: Column, length: Column) -> Column:
+    """``length`` characters of a text from ``start`` on, or as many as there are."""
+    first = (start / CHUNK).cast("int")
+    n = ((start + length) / CHUNK).cast("int") - first + 1
+    return F.substring(F.array_join(F.slice(chunks, first + 1, n), ""), start - first * CHUNK + 1, length)
+
+
 # The shortest iban has 15 characters, the longest 34 (8 more with blanks).
 _IBAN_HEAD, _IBAN_REACH, _IBAN_CUTS = 4, 48, (39, 34, 29, 24, 19)
 _IBAN_REST = r"(?:[A-Z0-9]{11,30}|(?:\x20[A-Z0-9]{4}){2,7}(?:\x20[A-Z0-9]{1,3})?)(?![A-Za-z0-9])"
 
 
-def _iban_at(text: Column, head_end: Column) -> Column:
+def _iban_at(chunks: Column, head_end: Column) -> Column:
     """The longest cut with the right remainder of what is proposed from a head on, else all of it."""
-    near = F.substring(text, head_end - _IBAN_HEAD + 1, F.lit(_IBAN_REACH))
+    near = _part(chunks, head_end - _IBAN_HEAD, F.lit(_IBAN_REACH))
 
     def cut(full: Column) -> Column:
         ends = F.filter(F.array(*[F.lit(n) for n in _IBAN_CUTS]), lambda n: full.contains(" ") & (n < F.length(full)))
@@ -74,6 +91,14 @@ def _iban_at(text: Column, head_end: Column) -> Column:
     return bound_to(F.regexp_extract(near, rf"^[A-Z]{{2}}[0-9]{{2}}{_IBAN_REST}", 0), cut)
 
 
+def weighted371(digits: Column) -> Column:
+    """Whether nine ASCII digits, weighted 3, 7 and 1 in turn, sum to a multiple of ten."""
+    add = lambda total, i: total + F.substring(digits, i, F.lit(1)).cast("int") * F.element_at(
+        F.array(*map(F.lit, (1, 3, 7))), i % 3 + 1
+    )
+    return F.aggregate(F.sequence(F.lit(1), F.lit(9)), F.lit(0), add) % 10 == 0
+
+
 @dataclass(frozen=True)
 class Kind:
     name: str
@@ -84,18 +109,18 @@ class Kind:
     score: float
     context: str
     base: bool
-    #: If the pattern is but a head: the match, from the text and the head's end.
+    #: If the pattern is but a head: the match, from the text's chunks and the head's end.
     match_at: Callable[[Column, Column], Column] | None = None
 
 
 # The base patterns (runs written possessively), kinds in the order of output.
 KINDS = (
     Kind(
-        "email", r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
+        "email", r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
         lambda t: t.contains("@"), lambda m: F.lit(True), 0.8, "mail|contact|write|address", True,
     ),
     Kind(
-        "ip", r"[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
+        "ip", r"(?:(?<![0-9])|\G)[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
         lambda t: t.rlike(r"[0-9]\.[0-9]"), lambda m: m.rlike(rf"^{_BYTE}(?:\.{_BYTE}){{3}}$"),
         0.6, "ip|host|server|address|login", True,
     ),
@@ -119,6 +144,10 @@ KINDS = (
         lambda t: t.rlike("[0-9]{3}-[0-9]{2}-[0-9]{4}"),
         lambda m: ~m.rlike("^(?:000|666|9)|-00-|-0000$"), 0.3, "ssn|social|security|insured", False,
     ),
+    Kind(
+        "routing", r"(?<![0-9.+-])[0-9]{9}(?![0-9-])",
+        lambda t: t.rlike("[0-9]{9}"), lambda m: (m != "000000000") & weighted371(m), 0.3, "routing|aba|transit", False,
+    ),
 )
 
 
@@ -149,20 +178,19 @@ def _starts(lengths: Column, block: int = 512) -> Column:
 def _judged(text: Column, pieces: Column, kind: Kind) -> Column:
     """For each piece: its match, the places, the score, and whether it is confirmed."""
 
-    def with_starts(starts: Column) -> Column:
+    def with_starts(at: Column) -> Column:
+        starts, chunks = at["starts"], at["chunks"]
+
         def one(piece: Column, at: Column) -> Column:
             if kind.match_at is not None:
                 start = at + F.length(piece) - _IBAN_HEAD
-                return bound_to(kind.match_at(text, at + F.length(piece)), lambda m: weighed(m, start, start + F.length(m)))
+                return bound_to(kind.match_at(chunks, at + F.length(piece)), lambda m: weighed(m, start, start + F.length(m)))
             match = F.regexp_extract(piece, rf"(?:{kind.pattern})\z", 0)
             return bound_to(match, lambda m: weighed(m, at + F.length(piece) - F.length(m), at + F.length(piece)))
 
         def weighed(m: Column, start: Column, end: Column) -> Column:
-            around = F.concat_ws(
-                " ",
-                F.substring(text, F.greatest(start - NEAR, F.lit(0)) + 1, F.least(start, F.lit(NEAR))),
-                F.substring(text, end + 1, F.lit(NEAR)),
-            )
+            before = F.least(start, F.lit(NEAR))
+            around = F.concat_ws(" ", _part(chunks, start - before, before), _part(chunks, end, F.lit(NEAR)))
             near = F.lower(around).rlike(rf"(?<!\p{{L}})(?:{kind.context})")
             score = kind.score + F.when(near, 0.3).otherwise(0.0)
             confirmed = kind.valid(m) if kind.base else kind.valid(m) & (score >= THRESHOLD)
@@ -173,7 +201,9 @@ def _judged(text: Column, pieces: Column, kind: Kind) -> Column:
 
         return F.zip_with(pieces, starts, one)
 
-    return bound_to(_starts(F.transform(pieces, lambda p: F.length(p))), with_starts)
+    starts = bound_to(F.transform(pieces, lambda p: F.length(p)), lambda lengths: _starts(lengths))
+    chunks = F.when(F.size(pieces) > 0, _chunks(text)).otherwise(F.array().cast("array<string>"))
+    return bound_to(F.struct(starts.alias("starts"), chunks.alias("chunks")), with_starts)
 
 
 def _spans_of(text: Column, kind: Kind) -> Column:
@@ -223,14 +253,18 @@ def _without(text: Column, kind: Kind) -> Column:
         )
         return F.concat(F.array_join(kept, ""), F.substring(text, total + 1, F.length(text)))
 
-    def around(found: Column) -> Column:
+    def around(x: Column) -> Column:
+        found, chunks = x["found"], x["chunks"]
         ends = F.concat(F.array(F.lit(0)), F.transform(found, lambda m: m["end"]))
         kept = F.zip_with(
-            ends, found, lambda end, m: F.concat(F.substring(text, end + 1, m["start"] - end), F.lit(f"[{kind.name.upper()}]"))
+            ends, found, lambda end, m: F.concat(_part(chunks, end, m["start"] - end), F.lit(f"[{kind.name.upper()}]"))
         )  # null at the last end, which array_join leaves out
         return F.concat(F.array_join(kept, ""), F.substring(text, F.element_at(ends, -1) + 1, F.length(text)))
 
-    masked = bound_to(_pieces(text, kind), join) if kind.match_at is None else bound_to(_spans_of(text, kind), around)
+    if kind.match_at is None:
+        masked = bound_to(_pieces(text, kind), join)
+    else:
+        masked = bound_to(F.struct(_spans_of(text, kind).alias("found"), _chunks(text).alias("chunks")), around)
     return F.when(kind.hint(text), masked).otherwise(text)
 
 
@@ -242,6 +276,6 @@ def mask(docs: DataFrame, text_col: str = "text") -> DataFrame:
     earlier one's mask; no confirmed match of any kind is left.
     """
     by_name = {k.name: k for k in KINDS}
-    for name in ("email", "iban", "card", "ssn", "ip", "phone"):
+    for name in ("email", "iban", "card", "ssn", "routing", "ip", "phone"):
         docs = docs.withColumn(text_col, _without(F.col(text_col), by_name[name]))
     return docs

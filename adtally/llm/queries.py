@@ -35,11 +35,11 @@ def topic_of(text: Column) -> Column:
     )
 
 
-def mix_documents(docs: DataFrame, refit: bool = False) -> DataFrame:
-    """Documents with the mix's columns added (see mixing.mix); the SQL of op2 has no ``refit``."""
+def mix_documents(docs: DataFrame) -> DataFrame:
+    """Documents with the mix's columns added (see mixing.mix)."""
     margins = {"source": F.col("source"), "language": F.col("lang"), "topic": topic_of(F.col("text"))}
     tokens = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD))
-    return mixing.mix(docs.select("doc_id", "text", "lang", "source", "n_chars"), margins, MIX_POWERS, tokens, refit=refit)
+    return mixing.mix(docs.select("doc_id", "text", "lang", "source", "n_chars"), margins, MIX_POWERS, tokens)
 
 
 def op2_raked_mix(spark: SparkSession, d: str) -> DataFrame:
@@ -159,23 +159,48 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 # --- SQL ---------------------------------------------------------------------------------
 
 
-def _mix_sql(rounds: int = 60) -> str:
-    """The rakes of the three margins, written out; they have settled long before the last."""
+def _mix_sql(rounds: int = 60, second: int = 60) -> str:
+    """The rakes of the three margins, then those below the cut, written out; they settle long before the last."""
     margins = ("source", "lang", "topic")
     steps, last = [], "c0"
+
+    def step(name: str, factor: str) -> None:
+        nonlocal last
+        steps.append(f"{name} AS MATERIALIZED (SELECT * REPLACE ({factor} AS f) FROM {last})")
+        last = name
+
     for k in range(rounds):
         for m in margins:
-            name = f"c{k}_{m}"
             now = f"sum(tokens * f) OVER (PARTITION BY {m})"
-            steps.append(
-                f"{name} AS MATERIALIZED (SELECT * REPLACE (CASE WHEN {now} > 0 THEN f * goal_{m} / {now} ELSE f END AS f) FROM {last})"
-            )
-            last = name
+            step(f"c{k}_{m}", f"CASE WHEN {now} > 0 THEN f * goal_{m} / {now} ELSE f END")
     goals = ", ".join(
-        f"t_{m} AS (SELECT {m}, pow(sum(tokens), 0.8) / sum(pow(sum(tokens), 0.8)) OVER () * (SELECT sum(tokens) FROM cells) AS goal_{m}"
+        f"t_{m} AS (SELECT {m}, sum(tokens) AS own_{m}, pow(sum(tokens), 0.8) / sum(pow(sum(tokens), 0.8)) OVER () AS share_{m},"
+        f" pow(sum(tokens), 0.8) / sum(pow(sum(tokens), 0.8)) OVER () * (SELECT sum(tokens) FROM cells) AS goal_{m}"
         f" FROM cells GROUP BY {m})"
         for m in margins
     )
+    fitted = last
+    # values from the scarcest on: those are kept whole whose share of what is left exceeds them
+    aims = ", ".join(
+        f"""w_{m} AS (SELECT {m}, own_{m}, share_{m}, own_{m} / share_{m} AS reach,
+                       ((SELECT mass FROM s2) - coalesce(sum(own_{m}) OVER (ORDER BY own_{m} / share_{m}, {m} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+                         / sum(share_{m}) OVER (ORDER BY own_{m} / share_{m}, {m} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS scale
+                FROM t_{m}),
+            a_{m} AS (SELECT {m}, least(own_{m}, share_{m} * coalesce((SELECT arg_min(scale, reach) FROM w_{m} WHERE reach > scale), 1e300)) AS aim_{m} FROM t_{m})"""
+        for m in margins
+    )
+    first = list(steps)
+    steps, last = [], "e0"
+    for k in range(second):
+        for m in margins:
+            over = f"OVER (PARTITION BY {m})"
+            below, held = f"sum(CASE WHEN f < 1 THEN f * tokens ELSE 0 END) {over}", f"sum(CASE WHEN f >= 1 THEN tokens ELSE 0 END) {over}"
+            every = f"sum(f * tokens) {over}"
+            step(
+                f"e{k}_{m}",
+                f"f * CASE WHEN {below} > 0 AND aim_{m} > {held} THEN (aim_{m} - {held}) / {below}"
+                f" WHEN (aim_{m} < {held} OR {below} > 0) AND {every} > 0 THEN aim_{m} / {every} ELSE 1 END",
+            )
     return f"""
         WITH d AS (
           SELECT doc_id, coalesce(source, '(none)') AS source, coalesce(lang, '(none)') AS lang,
@@ -190,11 +215,17 @@ def _mix_sql(rounds: int = 60) -> str:
         {goals},
         c0 AS (SELECT source, lang, topic, tokens, goal_source, goal_lang, goal_topic, CAST(1 AS DOUBLE) AS f
                FROM cells JOIN t_source USING (source) JOIN t_lang USING (lang) JOIN t_topic USING (topic)),
+        {", ".join(first)},
+        s AS (SELECT f, sum(tokens) OVER (ORDER BY f) AS up_to, sum(tokens) OVER () AS total FROM {fitted}),
+        g AS MATERIALIZED (
+          SELECT source, lang, topic, tokens, f / (SELECT min(f) FROM s WHERE up_to > floor((total - 1) * 0.95)) AS f FROM {fitted}),
+        s2 AS MATERIALIZED (SELECT sum(least(f, 1) * tokens) AS mass FROM g),
+        {aims},
+        e0 AS MATERIALIZED (
+          SELECT source, lang, topic, tokens, f, aim_source, aim_lang, aim_topic
+          FROM g JOIN a_source USING (source) JOIN a_lang USING (lang) JOIN a_topic USING (topic)),
         {", ".join(steps)},
-        s AS (SELECT f, sum(tokens) OVER (ORDER BY f) AS up_to, sum(tokens) OVER () AS total FROM {last}),
-        p AS (SELECT source, lang, topic,
-                     round(least(f / (SELECT min(f) FROM s WHERE up_to > floor((total - 1) * 0.95)), 1.0), 6) AS probability
-              FROM {last})
+        p AS (SELECT source, lang, topic, round(least(f, 1.0), 6) AS probability FROM {last})
         SELECT doc_id, source, lang, topic, d.tokens AS tokens, probability,
                CAST('0x' || substr(md5('42:' || coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 13) AS BIGINT)
                  / 4503599627370496.0 < probability AS kept

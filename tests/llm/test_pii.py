@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -66,6 +67,23 @@ def test_checksums_and_context(spark):
     assert with_word.spans[0].score > without.spans[0].score
 
 
+def test_long_runs_without_a_match_take_linear_time(spark):
+    n = 1_000_000
+    runs = ["a" * n + " x@ y", "1" * n + " 1.2.", "a." * (n // 2) + "@", "1." * (n // 2) + "x 1.2", "9" * n + "@", "+1" + " " * n, "A1" * (n // 2)]
+    rows = [(i, t, "", 0) for i, t in enumerate(runs)]
+    started = time.monotonic()
+    got = {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans] for r in found(spark, rows)}
+    assert time.monotonic() - started < 60
+    assert all(not spans for i, spans in got.items() if i != 3)
+    assert got[3] == [("ip", i, i + 7) for i in range(0, n, 8)]
+
+
+def test_a_routing_number_needs_its_checksum_and_a_context_word(spark):
+    texts = ["routing 021000021", "ABA no. 011401533, please", "routing 021000022", "part 021000021", "transit 000000000"]
+    got = {r.doc_id: [s.text for s in r.spans if s.kind == "routing"] for r in found(spark, [(i, t, "", 0) for i, t in enumerate(texts)])}
+    assert got == {0: ["021000021"], 1: ["011401533"], 2: [], 3: [], 4: []}
+
+
 def test_an_iban_before_or_after_words_that_look_like_groups(spark):
     es, be, at = "ES91 2100 0418 4502 0005 1332", "BE68 5390 0754 7034", "AT61 1904 3002 3457 3201"
     de, no, bare = "DE89 3704 0044 0532 0130 00", "NO93 8601 1117 947", "GB82WEST12345698765432"
