@@ -16,6 +16,7 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
+from pyspark.errors import PySparkException  # noqa: E402
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
@@ -28,7 +29,13 @@ from adtally.functions.clean import (  # noqa: E402
     region_from_name,
     report_date,
 )
-from adtally.operators.diagnostics import day_over_day, totals_by_date  # noqa: E402
+from adtally.operators.diagnostics import (  # noqa: E402
+    coverage_gaps,
+    day_over_day,
+    period_reconcile,
+    robust_spikes,
+    totals_by_date,
+)
 from adtally.operators.lines import (  # noqa: E402
     BOM,
     drop_header,
@@ -41,8 +48,10 @@ from adtally.plans import report_views as rv  # noqa: E402
 from adtally.plans.kinds import KINDS, kinds_frame  # noqa: E402
 from adtally.plans.loader import build_report, run_batch, run_shared_archives  # noqa: E402
 from adtally.session import shared_dir  # noqa: E402
+from adtally.sources.append_once import append_once, read_appended  # noqa: E402
 from adtally.sources.archive import choose_new, select_archives  # noqa: E402
 from adtally.sources.archive_writer import write_archives  # noqa: E402
+from adtally.sources.published import PublishedSink, read_published  # noqa: E402
 from adtally.sources.tables import (  # noqa: E402
     PathSink,
     append,
@@ -397,6 +406,138 @@ def q_stream_redownload(spark: SparkSession, d: str) -> DataFrame:
     return spark.table(table)
 
 
+def _before_half():
+    return F.col("path") < f"FacebookAdLibraryReport_{HALF}"
+
+
+def _emptied(spark: SparkSession, d: str, name: str, **sinks) -> None:
+    """All days are loaded, then newer copies of the first half that hold a header only; both twice."""
+    lines = rv.event_lines(spark, d, "yesterday", regional=False)
+    folder = _archives(spark, lines, f"archives_{name}")
+    run_batch(spark, "daily", folder, **sinks)
+    time.sleep(1.1)  # file systems may keep whole seconds
+    _archives(spark, rv.downloaded_again(rv.blank_lines(lines.filter(_before_half()))), "", folder)
+    run_batch(spark, "daily", folder, **sinks)
+    if again := run_batch(spark, "daily", folder, **sinks):
+        raise AssertionError(f"loaded twice: {again}")
+
+
+def q_load_emptied(spark: SparkSession, d: str) -> DataFrame:
+    table = _target(spark, "emptied")
+    _emptied(spark, d, "emptied", target=table)
+    return spark.table(table)
+
+
+def q_load_published(spark: SparkSession, d: str) -> DataFrame:
+    """The same through two published folders with one manifest; the second one's rows."""
+    log = _scratch(spark, "published_log")[1]
+    one, two = (PublishedSink(_scratch(spark, f"published_{n}")[1], log) for n in ("one", "two"))
+    _emptied(spark, d, "published", target=one, second_target=two)
+    return read_published(spark, two)
+
+
+def q_stream_emptied(spark: SparkSession, d: str) -> DataFrame:
+    """Every date comes with its rows, and those of the first half again with a header only."""
+    lines = rv.event_lines(spark, d, "yesterday", regional=False)
+    _, folder = _scratch(spark, "stream_emptied")
+    _archives(spark, lines, "", f"{folder}/a")
+    time.sleep(1.1)
+    _archives(spark, rv.blank_lines(lines.filter(_before_half())), "", f"{folder}/b")
+    table = _target(spark, "stream_emptied_target")
+    _, checkpoint = _scratch(spark, "stream_emptied_checkpoint")
+    start_ingest(spark, "daily", f"{folder}/*", checkpoint, target=table, max_files_per_trigger=16).awaitTermination()
+    return spark.table(table)
+
+
+def q_load_guards(spark: SparkSession, d: str) -> DataFrame:
+    """Archives without a report of the kind are rejected, the others load; then nothing is new."""
+    lines = rv.event_lines(spark, d, "yesterday", regional=False)
+    other = F.when(_before_half(), F.col("member")).otherwise(F.lit("regions/notes.txt"))
+    folder = _archives(spark, lines.withColumn("member", other), "archives_guards")
+    table = _target(spark, "guards")
+    first = run_batch(spark, "daily", folder, target=table, on_reject="return")
+    second = run_batch(spark, "daily", folder, target=table, on_reject="return")
+    rejected = spark.createDataFrame([(r[0],) for r in second.rejected], "path string").select(
+        report_date(base_name("path")).alias("date"), F.lit("rejected").alias("state")
+    )
+    loaded = spark.createDataFrame([(x,) for x in first], "date string").withColumn("state", F.lit("loaded"))
+    rows = spark.table(table).groupBy("date").agg(F.count("*").alias("n_rows"))
+    return loaded.unionByName(rejected).unionByName(
+        spark.createDataFrame([(x, "loaded again") for x in second], "date string, state string")
+    ).join(rows, "date", "left")
+
+
+def q_append_once(spark: SparkSession, d: str) -> DataFrame:
+    """Two batches; the first one's tasks fail after writing, then both are sent twice."""
+    folder = _scratch(spark, "append_once")[1]
+    report = q_daily_rollup(spark, d)
+
+    def lost(batches):
+        yield from batches
+        raise RuntimeError("lost after writing")
+
+    halves = {"first": report.filter(F.col("date") < HALF), "second": report.filter(F.col("date") >= HALF)}
+    try:
+        append_once(halves["first"].mapInArrow(lost, report.schema), folder, "first")
+    except PySparkException as e:
+        if "lost after writing" not in str(e):
+            raise
+    for _ in range(2):
+        for batch, rows in halves.items():
+            append_once(rows, folder, batch)
+    return read_appended(spark, folder)
+
+
+def q_realigned_csv(spark: SparkSession, d: str) -> DataFrame:
+    p = parse_lines(rv.customer_lines(spark, d, "wide"), "new", realign=True)
+    return p.select("page_id", "page_name", "disclaimer", "amount_spent", "number_of_ads", "status")
+
+
+def q_censored_bounds(spark: SparkSession, d: str) -> DataFrame:
+    """Bounds of the spend that a load writes beside its rows."""
+    folder = _archives(spark, rv.event_lines(spark, d, "yesterday", regional=False), "archives_bounds")
+    bounds = PathSink(_scratch(spark, "bounds")[1])
+    run_batch(spark, "daily", folder, target=_target(spark, "bounds_target"), bounds=bounds)
+    return spark.read.parquet(bounds.path).withColumn("date", F.col("date").cast("string"))
+
+
+def q_kept_totals(spark: SparkSession, d: str) -> DataFrame:
+    """Totals kept by loads: all days, then the first half's emptied copies."""
+    totals = PathSink(_scratch(spark, "kept_totals")[1])
+    _emptied(spark, d, "totals", target=_target(spark, "totals_target"), totals=totals)
+    return spark.read.parquet(totals.path).withColumn("date", F.col("date").cast("string"))
+
+
+def _weekly_reports(spark: SparkSession, d: str) -> DataFrame:
+    """Report dates by event type: those of large values, which leave days uncovered."""
+    e = rv.table(spark, d, "events")
+    rare = e.filter((F.col("value") > 200) & (F.dayofmonth("ts") % 7 < 2))
+    return rare.select("event_type", F.date_format("ts", "yyyy-MM-dd").alias("date"))
+
+
+def q_coverage_gaps(spark: SparkSession, d: str) -> DataFrame:
+    return coverage_gaps(_weekly_reports(spark, d), 3, ("event_type",))
+
+
+def _by_region(records: DataFrame) -> DataFrame:
+    return records.groupBy("region", "date").agg(F.sum(amount_value("amount_spent")).cast("bigint").alias("total_spent"))
+
+
+def q_period_reconcile(spark: SparkSession, d: str) -> DataFrame:
+    """Seven-day totals that miss some records, against the days; region R0 has no Mondays."""
+    r = rv.event_records(spark, d)
+    daily = _by_region(r.filter((F.col("region") != "R0") | (F.dayofweek(F.to_date("date")) != 2)))
+    ends = r.select(F.to_date("date").alias("end")).distinct()
+    kept = r.filter((F.col("event_id") % 997 != 0) | (F.col("region") == "R1"))
+    week = kept.withColumn("end", F.explode(F.sequence(F.to_date("date"), F.date_add(F.to_date("date"), 6))))
+    period = _by_region(week.join(F.broadcast(ends), "end", "left_semi").withColumn("date", F.date_format("end", "yyyy-MM-dd")))
+    return period_reconcile(period, daily, 7, ("region",))
+
+
+def q_robust_spikes(spark: SparkSession, d: str) -> DataFrame:
+    return robust_spikes(_by_region(rv.event_records(spark, d)), ("region",), history_days=28, min_history=2)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "name_parse": q_name_parse,
     "bom_split": q_bom_split,
@@ -438,6 +579,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "load_problems": q_load_problems,
     "stream_ingest": q_stream_ingest,
     "stream_redownload": q_stream_redownload,
+    "load_emptied": q_load_emptied,
+    "load_published": q_load_published,
+    "stream_emptied": q_stream_emptied,
+    "load_guards": q_load_guards,
+    "append_once": q_append_once,
+    "realigned_csv": q_realigned_csv,
+    "censored_bounds": q_censored_bounds,
+    "kept_totals": q_kept_totals,
+    "coverage_gaps": q_coverage_gaps,
+    "period_reconcile": q_period_reconcile,
+    "robust_spikes": q_robust_spikes,
 }
 
 
@@ -479,10 +631,21 @@ QUERY_OPERATORS: dict[str, tuple[str, ...]] = {
     "archive_30days": ("S1", "S3", "E2"),
     "archive_90days": ("S1", "S3", "E2", "P5"),
     "archive_lifelong": ("S1", "S2", "S4", "O1", "S10", "P5", "E3"),
-    "load_twice": ("E1", "J1", "P6", "P8", "S8", "T2"),
+    "load_twice": ("E1", "J1", "P6", "S8", "T2"),
     "load_problems": ("C12", "L5"),
     "stream_ingest": ("T1", "S1", "S2"),
     "stream_redownload": ("T1", "T2"),
+    "load_emptied": ("E1", "T2", "P8"),
+    "load_published": ("S10", "L18", "T2"),
+    "stream_emptied": ("T1", "T2"),
+    "load_guards": ("P8", "S3", "E1"),
+    "append_once": ("S9",),
+    "realigned_csv": ("C2", "L5", "U2"),
+    "censored_bounds": ("C11", "E1"),
+    "kept_totals": ("A6", "T2"),
+    "coverage_gaps": ("C10", "W1"),
+    "period_reconcile": ("C10", "W1"),
+    "robust_spikes": ("W1",),
 }
 
 
@@ -724,6 +887,64 @@ ORACLES: dict[str, str] = {
                          AS k(m, kind, days) ON event_id % 6 = m""",
     "stream_ingest": _DAILY,
     "stream_redownload": _DAILY,
+    "load_emptied": f"SELECT * FROM ({_DAILY}) WHERE date >= '{HALF}'",
+    "load_published": f"SELECT * FROM ({_DAILY}) WHERE date >= '{HALF}'",
+    "stream_emptied": f"SELECT * FROM ({_DAILY}) WHERE date >= '{HALF}'",
+    "load_guards": f"""
+        SELECT date, CASE WHEN date < '{HALF}' THEN 'loaded' ELSE 'rejected' END AS state,
+               CASE WHEN date < '{HALF}' THEN count(*) END AS n_rows
+        FROM ({_DAILY}) GROUP BY date""",
+    "append_once": _DAILY,
+    "realigned_csv": f"""
+        SELECT CAST(c_custkey AS VARCHAR) AS page_id,
+               c_name || CASE c_custkey % 6 WHEN 1 THEN ', Inc' WHEN 3 THEN ', Ltd' WHEN 4 THEN ',Co' ELSE '' END AS page_name,
+               c_mktsegment || CASE c_custkey % 6 WHEN 2 THEN ', a fund, Inc' WHEN 3 THEN ', PAC' WHEN 4 THEN ', PAC' ELSE '' END AS disclaimer,
+               {_WHOLE.format('c_acctbal')} AS amount_spent, CAST(c_nationkey AS VARCHAR) AS number_of_ads,
+               CASE c_custkey % 6 WHEN 0 THEN 'ok' WHEN 5 THEN 'long' ELSE 'realigned' END AS status
+        FROM customer""",
+    "censored_bounds": f"""
+        WITH r AS ({_EVENT_RECORDS})
+        SELECT page_name, disclaimer, page_id, date, CAST(SUM(CASE WHEN amount_text LIKE '≤%' THEN 0 ELSE amount END) AS BIGINT) AS spent_low,
+               CAST(SUM(amount) AS BIGINT) AS spent_high, count(*) FILTER (amount_text LIKE '≤%') AS n_censored, count(*) AS n_records
+        FROM r GROUP BY page_name, disclaimer, page_id, date""",
+    "kept_totals": f"SELECT * FROM ({_TOTALS}) WHERE date >= '{HALF}'",
+    # every day between the first and the last report that no report's three days hold, as runs
+    "coverage_gaps": """
+        WITH r AS (SELECT DISTINCT event_type, CAST(ts AS DATE) AS d FROM events WHERE value > 200 AND day(ts) % 7 < 2),
+        days AS (SELECT event_type, unnest(generate_series(min(d)::TIMESTAMP, max(d)::TIMESTAMP, INTERVAL 1 DAY))::DATE AS d FROM r GROUP BY event_type),
+        free AS (SELECT event_type, d FROM days WHERE NOT EXISTS (
+                   SELECT 1 FROM r WHERE r.event_type = days.event_type AND days.d BETWEEN r.d - 2 AND r.d)),
+        runs AS (SELECT event_type, d, d - CAST(row_number() OVER (PARTITION BY event_type ORDER BY d) AS INTEGER) AS run FROM free)
+        SELECT event_type, strftime(min(d), '%Y-%m-%d') AS gap_start, strftime(max(d), '%Y-%m-%d') AS gap_end, count(*) AS gap_days
+        FROM runs GROUP BY event_type, run""",
+    "period_reconcile": f"""
+        WITH r AS ({_EVENT_RECORDS}),
+        daily AS (SELECT region, CAST(date AS DATE) AS d, sum(amount) AS spent FROM r
+                  WHERE region <> 'R0' OR dayofweek(CAST(date AS DATE)) <> 1 GROUP BY ALL),
+        ends AS (SELECT DISTINCT CAST(date AS DATE) AS e FROM r),
+        period AS (SELECT region, e, sum(amount) AS spent FROM r JOIN ends ON CAST(date AS DATE) BETWEEN e - 6 AND e
+                   WHERE event_id % 997 <> 0 OR region = 'R1' GROUP BY ALL),
+        held AS (SELECT p.region, e, p.spent, coalesce(sum(daily.spent), 0) AS own, count(daily.d) AS n
+                 FROM period p LEFT JOIN daily ON daily.region = p.region AND daily.d BETWEEN e - 6 AND e GROUP BY ALL)
+        SELECT region, strftime(e, '%Y-%m-%d') AS date, CAST(spent AS BIGINT) AS total_spent, CAST(own AS BIGINT) AS daily_spent,
+               n AS days_present, CAST(spent - own AS BIGINT) AS difference,
+               CASE WHEN n < 7 THEN 'incomplete' WHEN spent <> own THEN 'differs' ELSE 'ok' END AS flag
+        FROM held""",
+    "robust_spikes": f"""
+        WITH r AS ({_EVENT_RECORDS}),
+        t AS (SELECT region, date, CAST(sum(amount) AS BIGINT) AS total_spent, CAST(date AS DATE) AS d FROM r GROUP BY region, date),
+        p AS (SELECT t.region, t.date, t.total_spent, CAST(count(o.d) AS INTEGER) AS n_history, median(o.total_spent) AS median
+              FROM t LEFT JOIN t o ON o.region = t.region AND dayofweek(o.d) = dayofweek(t.d) AND o.d BETWEEN t.d - 28 AND t.d - 1
+              GROUP BY ALL),
+        m AS (SELECT p.region, p.date, p.total_spent, p.n_history, p.median, median(abs(o.total_spent - p.median)) AS deviation
+              FROM p LEFT JOIN t o ON o.region = p.region AND dayofweek(o.d) = dayofweek(CAST(p.date AS DATE))
+                   AND o.d BETWEEN CAST(p.date AS DATE) - 28 AND CAST(p.date AS DATE) - 1
+              GROUP BY ALL),
+        s AS (SELECT *, CASE WHEN n_history >= 2 AND deviation > 0 THEN (total_spent - median) / (1.4826::DOUBLE * deviation) END AS score FROM m)
+        SELECT region, date, total_spent, n_history, median, deviation, score,
+               CASE WHEN n_history >= 2 AND (CASE WHEN deviation > 0 THEN abs(score) > 3.5 ELSE total_spent <> median END)
+                    THEN CASE WHEN total_spent < median THEN 'drop' ELSE 'spike' END ELSE 'ok' END AS flag
+        FROM s""",
 }
 
 

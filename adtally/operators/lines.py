@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adtally.functions.clean import NA_TEXT, amount_value
+from adtally.functions.clean import NA_TEXT, ads_value, amount_value, null_if_blank
 from adtally.operators.partitioning import SPREAD_BYTES, spread
 
 BOM = "\ufeff"
@@ -37,7 +37,7 @@ _CSV_OPTIONS = {
     "nullValue": _MARK * 2,
 }
 
-STATUSES = ("ok", "quote_stripped", "short", "long")
+STATUSES = ("ok", "quote_stripped", "short", "long", "realigned")
 RECORD_COLUMNS = ("page_id", "page_name", "disclaimer", "amount_spent", "number_of_ads")
 
 
@@ -109,11 +109,70 @@ def _field_sql(struct: str, i: int) -> str:
     return f"nullif(nullif(replace({struct}.f{i}, char(13), ''), ''), '{NA_TEXT}')"
 
 
+# A field of a line: quoted up to a closing quote that ends the field, or up to the comma.
+_FIELD = r'(?:^|,)("(?:[^"]|"")*+"(?=,|$)|[^,]*+)'
+
+
+def aligned_fields(text: Column, layout: Layout) -> Column:
+    """The record of an over-wide line, read from both ends; null if its ends don't fit.
+
+    The page id is the first field (where the layout has one) and must hold a digit; the
+    amount and the number of ads are the last ones and must be numbers. What lies between is
+    the page name and the disclaimer, with more commas than one. Each place for the comma
+    that parts them has a cost: a part joined to the one before it costs 1 unless it starts
+    with a blank, as text goes on after a comma, and a disclaimer that starts with a blank
+    costs 1. The cheapest place counts, of equals the one with the shortest page name.
+    """
+    left = 1 if layout.fields[0] == "page_id" else 0
+    right = 1 if layout.name == "regional" else 2
+
+    def unquoted(f: Column) -> Column:
+        inner = F.replace(F.substring(f, F.lit(2), F.length(f) - 2), F.lit('""'), F.lit('"'))
+        return F.when((F.length(f) >= 2) & f.startswith('"') & f.endswith('"'), inner).otherwise(f)
+
+    def record(fields: Column) -> Column:
+        n = F.size(fields)
+        parts = F.slice(fields, left + 1, F.greatest(n - left - right, F.lit(0)))
+        of_end = lambda k: F.get(fields, n - k)
+
+        def cost(cut: Column) -> Column:
+            # parts before ``cut`` are the page name, the others the disclaimer
+            joined = F.transform(parts, lambda p, i: F.when((i == 0) | (i == cut) | p.startswith(" "), 0).otherwise(1))
+            apart = F.when(F.get(parts, cut).startswith(" "), 1).otherwise(0)
+            return F.aggregate(joined, apart, lambda a, x: a + x)
+
+        cuts = F.transform(F.sequence(F.lit(1), F.greatest(F.size(parts) - 1, F.lit(1))), lambda c: F.struct(cost(c).alias("cost"), c.alias("cut")))
+        cut = F.array_min(cuts)["cut"]
+        amount, ads = of_end(right), of_end(1)
+        fits = (F.size(parts) >= 2) & amount_value(amount).isNotNull()
+        if left:
+            fits = fits & F.get(fields, F.lit(0)).rlike("[0-9]")
+        if right == 2:
+            fits = fits & (ads_value(ads).isNotNull() | (ads == "") | (ads == NA_TEXT))
+        value = lambda c: null_if_blank(c)
+        none = F.lit(None).cast("string")
+        return F.when(
+            fits,
+            F.struct(
+                (value(F.get(fields, F.lit(0))) if left else none).alias("page_id"),
+                value(F.array_join(F.slice(parts, 1, cut), ",")).alias("page_name"),
+                value(F.array_join(F.slice(parts, cut + 1, F.size(parts)), ",")).alias("disclaimer"),
+                value(amount).alias("amount_spent"),
+                (value(ads) if right == 2 else none).alias("number_of_ads"),
+            ),
+        )
+
+    raw = F.regexp_extract_all(F.when(_quote_count(text) % 2 == 1, F.replace(text, F.lit('"'), F.lit(""))).otherwise(text), F.lit(_FIELD), F.lit(1))
+    # the fields are found once and looked at many times
+    return F.element_at(F.transform(F.array(F.transform(raw, unquoted)), record), 1)
+
+
 def parse_lines(
     df: DataFrame,
     layout: str | Layout = "new",
     repair_quotes: bool = True,
     line: str = "line",
+    realign: bool = False,
 ) -> DataFrame:
     """Tolerant positional CSV parse of single-line records.
 
@@ -127,6 +186,9 @@ def parse_lines(
     count right. Lines with too many fields keep their first fields; too few are padded
     with null. Empty text and ``NA`` become null.
 
+    ``realign``: an over-wide line whose ends fit the layout (see ``aligned_fields``) gets
+    status ``realigned`` and its surplus commas go to the text fields.
+
     Each from_csv sits in its own projection and is referenced by name afterwards, so it
     runs once per line; the repair parse runs only for lines that contain a quote.
     """
@@ -172,7 +234,12 @@ def parse_lines(
         F.expr(_field_sql("_rec", lay.fields.index(c)) if c in lay.fields else "CAST(NULL AS STRING)").alias(c)
         for c in RECORD_COLUMNS
     ]
-    return rec.select(*keep, *fields, "n_fields", F.expr(status).alias("status"))
+    if not realign:
+        return rec.select(*keep, *fields, "n_fields", F.expr(status).alias("status"))
+    rec = rec.withColumn("_aligned", F.when(F.col("n_fields") > hi, aligned_fields(F.col("_line"), lay)))
+    fits = F.col("_aligned").isNotNull()
+    fields = [F.when(fits, F.col("_aligned")[c]).otherwise(f).alias(c) for c, f in zip(RECORD_COLUMNS, fields)]
+    return rec.select(*keep, *fields, "n_fields", F.when(fits, "realigned").otherwise(F.expr(status)).alias("status"))
 
 
 def parse_problems(parsed: DataFrame, keys: tuple[str, ...] = ("path", "member")) -> DataFrame:

@@ -73,6 +73,30 @@ def regional_rollup(df: DataFrame) -> DataFrame:
     )
 
 
+#: An amount reported as "at most 100" lies between 0 and what is written.
+BOUND_COLUMNS = ("spent_low", "spent_high", "n_censored", "n_records")
+
+
+def censored_sums() -> list[Column]:
+    """Aggregates of cleaned records: what censored amounts add, and how many there are."""
+    return [
+        F.sum(F.when(F.col("censored"), F.col("amount"))).alias("amount_censored"),
+        F.sum(F.when(F.col("censored") & F.col("amount").isNotNull(), 1).otherwise(0)).alias("n_censored"),
+    ]
+
+
+def spend_bounds(df: DataFrame, regional: bool = False) -> DataFrame:
+    """Lower and upper bound of the spend by target key, and the number of censored rows.
+
+    ``df`` has sums (``amount``, ``amount_censored``, ``n_censored``, ``n_records``) of records
+    or of groups of them. The target's own ``amt_spent`` is the upper bound.
+    """
+    keys = ["page_name", "disclaimer", "page_id", *(["region"] if regional else [])]
+    high, censored = zero_sum("amount"), zero_sum("amount_censored")
+    sums = {"spent_low": round_to_long(high - censored), "spent_high": round_to_long(high), "n_censored": F.sum("n_censored"), "n_records": F.sum("n_records")}
+    return df.groupBy(*keys, "date").agg(*[c.alias(n) for n, c in sums.items()]).select(*keys, *BOUND_COLUMNS, "date")
+
+
 def union_members(frames: list[DataFrame]) -> DataFrame:
     """Stack frames by column name; a column missing on one side is filled with null."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

@@ -20,8 +20,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adtally.functions.clean import base_name, region_from_name, report_date
+from adtally.operators.diagnostics import totals_by_date
 from adtally.operators.lines import drop_header, parse_lines, split_bom, spread_lines
-from adtally.operators.rollup import clean_records, national_rollup, regional_rollup
+from adtally.operators.rollup import censored_sums, clean_records, national_rollup, regional_rollup, spend_bounds
 from adtally.plans.kinds import ReportKind, get_kind
 from adtally.session import shared_dir
 from adtally.sources.archive import (
@@ -31,18 +32,21 @@ from adtally.sources.archive import (
     read_archive_lines,
     select_archives,
 )
+from adtally.sources.published import PublishedSink, check_shared, publish
 from adtally.sources.tables import (
     Sink,
     create_target,
+    empty_dates,
     loaded_in_all,
     overwrite_dates,
     overwrite_dates_two_sinks,
     record_loads,
+    replace_dates,
     with_ledger,
 )
 
 DATE_MISMATCH = ("fail", "use_archive_date")
-ON_MALFORMED = ("keep", "drop")
+ON_MALFORMED = ("keep", "drop", "realign")
 LINES_DDL = "path string, member string, line_no long, line string"
 ON_REJECT = ("raise", "return")
 UNREADABLE = "unreadable"
@@ -109,12 +113,14 @@ def parse_records(
     spread: bool = True,
     partitions: int | None = None,
     layout: str | None = None,
+    realign: bool = False,
 ) -> DataFrame:
     """Member lines (``path, member, line_no, line``) → cleaned records of ``kind``.
 
     With ``spread``, lines from fewer input partitions than ``partitions`` (default: the
     cores now there) are first hash-spread over them (see ``spread_lines``); give
-    ``partitions`` where executors come and go. ``layout`` replaces the kind's.
+    ``partitions`` where executors come and go. ``layout`` replaces the kind's. ``realign``:
+    see ``parse_lines``.
     """
     k = get_kind(kind)
     if spread:
@@ -124,7 +130,7 @@ def parse_records(
         df = split_bom(df)
     else:
         df = df.filter(F.col("line") != "").withColumn("piece", F.lit(0))
-    parsed = parse_lines(drop_header(df), layout or k.layout, repair_quotes=repair_quotes)
+    parsed = parse_lines(drop_header(df), layout or k.layout, repair_quotes=repair_quotes, realign=realign)
     return clean_records(parsed, clean_page_id=k.clean_page_id)
 
 
@@ -158,7 +164,9 @@ def stage(lines: DataFrame, kind: str | ReportKind, on_date_mismatch: str = "fai
     sums = (
         records.withColumn("status", status)
         .groupBy("path", "member", "status", "amount_invalid", "reason", *keys)
-        .agg(F.sum("amount").alias("amount"), F.sum("ads").alias("ads"), F.count(F.lit(1)).alias("n_records"))
+        .agg(
+            F.sum("amount").alias("amount"), F.sum("ads").alias("ads"), F.count(F.lit(1)).alias("n_records"), *censored_sums()
+        )
     )
     spark = lines.sparkSession
     place = shared_dir(spark, "adtally", "staged") + f"/{uuid.uuid4().hex}"
@@ -222,6 +230,8 @@ def load_listing(
     problems: Sink | None = None,
     on_malformed: str = "keep",
     on_reject: str = "raise",
+    bounds: Sink | None = None,
+    totals: Sink | None = None,
     **options,
 ) -> Loaded:
     """Load the new reports of an archive listing; return the report dates loaded.
@@ -235,21 +245,26 @@ def load_listing(
     An archive that is damaged, has no matching member, no date in its name or members of
     another date is rejected; all others are stored. ``on_reject``: ``raise``
     RejectedArchives afterwards, or ``return`` them in the result's ``rejected``.
-    ``on_malformed``: ``drop`` leaves out records with too few or too many fields.
-    ``problems``: a sink for records per archive, member and status. Further ``options`` as
-    for ``parse_records``.
+    ``on_malformed``: ``drop`` leaves out records with too few or too many fields,
+    ``realign`` puts over-wide ones right where their ends fit (see ``parse_lines``).
+    ``problems``: a sink for records per archive, member and status. ``bounds``: a sink for
+    the spend's bounds by target key (censored amounts count from 0 to what is written).
+    ``totals``: a sink for each date's totals; only the loaded dates change in it. All come
+    from the load's one pass. Further ``options`` as for ``parse_records``.
     """
     for value, known in ((on_date_mismatch, DATE_MISMATCH), (on_malformed, ON_MALFORMED), (on_reject, ON_REJECT)):
         if value not in known:
             raise ValueError(f"{value!r} is none of {known}")
     k = get_kind(kind)
     sinks = [target or k.target] + ([second_target] if second_target else [])
+    check_shared(sinks)
     floor = k.floor_date if floor_date == "kind" else floor_date
     new = _new_archives(spark, listing, k, sinks, floor, loaded)
     result = Loaded(rejected=_undated(new))
     if new.archives:
         lines = read_archive_lines(spark, new.paths, k, reader=reader)
-        result = _load_lines(lines, new, k, sinks, problems, on_malformed, on_date_mismatch, **options)
+        more = {"bounds": bounds, "totals": totals}
+        result = _load_lines(lines, new, k, sinks, problems, on_malformed, on_date_mismatch, more, **options)
     if result.rejected and on_reject == "raise":
         raise RejectedArchives(result, result.rejected)
     return result
@@ -279,9 +294,11 @@ def _new_archives(spark, listing, k, sinks, floor, loaded=None) -> _New:
 
 def _load_lines(
     lines: DataFrame, new: _New, k: ReportKind, sinks: list[Sink], problems: Sink | None,
-    on_malformed: str, on_date_mismatch: str, **options,
+    on_malformed: str, on_date_mismatch: str, more: dict[str, Sink | None] | None = None, **options,
 ) -> Loaded:
     spark = lines.sparkSession
+    if on_malformed == "realign":
+        options["realign"] = True
     staged = stage(lines, k, on_date_mismatch, **options)
     bad = staged.filter(F.col("status") == UNREADABLE)
     # one row per rejected archive
@@ -296,18 +313,31 @@ def _load_lines(
             good = staged.join(F.broadcast(bad.select("path").distinct()), "path", "left_anti")
         if on_malformed == "drop":
             good = good.filter(~F.col("status").isin(*MALFORMED))
-        dates = [d for _, _, d in sound]
-        record_loads(spark, sinks[0], [a for a in sound if a[2] not in new.replaced])
-        _write(roll_up(good, k), sinks, dates)
-        record_loads(spark, sinks[0], [a for a in sound if a[2] in new.replaced])
+        report, dates = roll_up(good, k), [d for _, _, d in sound]
+        side = {"bounds": spend_bounds(good, k.regional), "totals": totals_by_date(report)}
+        # before the rows: a date counts as loaded once its rows are there
+        for name, sink in (more or {}).items():
+            if sink is not None:
+                replace_dates(side[name], sink, dates)
+        _store(report, good, sound, new.replaced, sinks)
     return Loaded([d for _, _, d in sound], [*rejected, *_undated(new)])
 
 
-def _write(report: DataFrame, sinks: list[Sink], dates: list[str]) -> None:
+def _store(report: DataFrame, staged: DataFrame, sound: list[tuple], replaced: set[str], sinks: list[Sink]) -> None:
+    """Put the rows of the sound archives' dates into the sinks; an empty report empties its date."""
+    spark, dates = report.sparkSession, [d for _, _, d in sound]
+    if isinstance(sinks[0], PublishedSink):
+        publish(report, sinks, dates, sound)
+        return
+    filled = {r.date for r in staged.select("date").distinct().collect()}
+    record_loads(spark, sinks[0], [a for a in sound if a[2] not in replaced])
     if len(sinks) > 1:
-        overwrite_dates_two_sinks(report, sinks[0], sinks[1], dates)
+        overwrite_dates_two_sinks(report, sinks[0], sinks[1], sorted(filled))
     else:
         overwrite_dates(report, sinks[0])
+    for sink in sinks:
+        empty_dates(spark, sink, sorted(set(dates) - filled))
+    record_loads(spark, sinks[0], [a for a in sound if a[2] in replaced])
 
 
 def run_shared_archives(

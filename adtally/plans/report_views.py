@@ -129,6 +129,16 @@ def header_of(member: str) -> str | None:
     return REGIONAL_HEADER if member.startswith("regions/") else NATIONAL_HEADER
 
 
+def blank_lines(lines: DataFrame) -> DataFrame:
+    """One blank line for each member of ``lines``: reports that have a header only."""
+    return lines.select("path", "member").distinct().select("path", "member", F.lit(1).cast("bigint").alias("line_no"), F.lit("").alias("line"))
+
+
+def downloaded_again(lines: DataFrame) -> DataFrame:
+    """The same archives under names of their own, as a second download gets them."""
+    return lines.withColumn("path", F.concat(F.lit("again "), F.col("path")))
+
+
 #: A member that a load must ignore.
 NOTES = {"regions/readme.txt": "0,note,note,9,9\n"}
 
@@ -188,7 +198,9 @@ def customer_lines(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
     ``tolerant``: key mod 4 = 0 a straight quote against a curly one, 1 an open quote,
     2 a quoted comma, 3 doubled quotes. ``widths``: 4 fields for even keys, 5 for odd.
     ``problems``: key mod 5 = 0 short, 1 long, 2 open quote, 3 amount with a thousands
-    comma, 4 clean; one member per market segment.
+    comma, 4 clean; one member per market segment. ``wide``: key mod 6 = 0 clean, 1 a comma
+    in the name, 2 two in the disclaimer, 3 commas in both, 4 a comma in the disclaimer beside
+    a quoted name with one, 5 an extra field at the end that is no number.
     """
     c = table(spark, sf_dir, "customer")
     k = F.col("c_custkey")
@@ -224,6 +236,17 @@ def customer_lines(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
             .when(m == 3, F.concat_ws(",", key, name, seg, F.concat(F.lit('"'), acct, F.lit(',000"')), ads))
             .otherwise(F.concat_ws(",", key, name, seg, acct, ads))
         )
+    elif mode == "wide":
+        m = k % 6
+        fund, pac = F.concat(seg, F.lit(", a fund, Inc")), F.concat(seg, F.lit(", PAC"))
+        line = (
+            F.when(m == 0, F.concat_ws(",", key, name, seg, acct, ads))
+            .when(m == 1, F.concat_ws(",", key, F.concat(name, F.lit(", Inc")), seg, acct, ads))
+            .when(m == 2, F.concat_ws(",", key, name, fund, acct, ads))
+            .when(m == 3, F.concat_ws(",", key, F.concat(name, F.lit(", Ltd")), pac, acct, ads))
+            .when(m == 4, F.concat_ws(",", key, F.concat(F.lit('"'), name, F.lit(',Co"')), pac, acct, ads))
+            .otherwise(F.concat_ws(",", key, name, seg, acct, ads, F.lit("extra")))
+        )
     else:
         raise ValueError(mode)
     return c.select(

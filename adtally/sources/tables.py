@@ -8,6 +8,7 @@ name, never by position.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
@@ -15,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adtally.sources.archive import literal_path
+from adtally.sources.published import PublishedSink, names_in, publish, published_dates, read_published
 
 # --- fixed values: target table columns --------------------------------------------------
 NATIONAL_DDL = (
@@ -86,7 +88,7 @@ def loaded_dates(spark: SparkSession, table: str) -> DataFrame:
     """Distinct report dates already in a table, as one string column ``date``.
 
     Where the table is partitioned by date, the catalog answers without opening a data file
-    (``SHOW PARTITIONS``); writes here only ever create partitions that hold rows. Another
+    (``SHOW PARTITIONS``); writes here only ever create partitions of loaded dates. Another
     table is scanned instead.
     """
     partitions = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
@@ -130,13 +132,15 @@ class PathSink:
         return hash((self.path, self.format))
 
 
-Sink = str | PathSink
+Sink = str | PathSink | PublishedSink
 
 
 def read_sink(spark: SparkSession, sink: Sink) -> DataFrame | None:
     """Rows of a sink with ``date`` as text, or None for a folder not written yet."""
     if isinstance(sink, str):
         return spark.table(sink)
+    if isinstance(sink, PublishedSink):
+        return read_published(spark, sink)
     if not _exists(spark, sink.path):
         return None
     try:
@@ -149,13 +153,36 @@ def read_sink(spark: SparkSession, sink: Sink) -> DataFrame | None:
 
 
 def sink_dates(spark: SparkSession, sink: Sink) -> DataFrame:
-    """Distinct loaded dates of a table or folder sink."""
+    """Distinct loaded dates of a table or folder sink, also those whose report was empty.
+
+    No data file is opened: partitions, folder names or the manifest hold the dates.
+    """
     if isinstance(sink, str):
         return loaded_dates(spark, sink)
-    df = read_sink(spark, sink)
-    if df is None:
-        return spark.createDataFrame([], "date string")
-    return df.select("date").distinct()
+    if isinstance(sink, PublishedSink):
+        return published_dates(spark, sink).select("date")
+    names = [n.removeprefix("date=") for n in names_in(spark, sink.path) if n.startswith("date=")]
+    return spark.createDataFrame([(n,) for n in names], "date string")
+
+
+def empty_dates(spark: SparkSession, sink: Sink, dates: list[str]) -> None:
+    """Take the rows of ``dates`` away and keep the dates as loaded: their reports were empty.
+
+    An overwrite replaces only the dates that have rows. A table gets an empty partition, a
+    folder an empty one with a hidden marker file.
+    """
+    for d in dates:
+        if isinstance(sink, str):
+            columns = ", ".join(f"CAST(NULL AS {t}) AS `{c}`" for c, t in spark.table(sink).dtypes if c != "date")
+            spark.sql(f"INSERT OVERWRITE TABLE {sink} PARTITION (date = '{d}') SELECT {columns} WHERE false")
+            spark.sql(f"ALTER TABLE {sink} ADD IF NOT EXISTS PARTITION (date = '{d}')")
+        else:
+            jvm = spark._jvm.org.apache.hadoop.fs
+            path = jvm.Path(f"{sink.path.rstrip('/')}/date={d}")
+            fs = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+            fs.delete(path, True)
+            fs.mkdirs(path)
+            fs.create(jvm.Path(path, "_empty"), True).close()
 
 
 def loaded_in_all(spark: SparkSession, tables: list[Sink]) -> DataFrame:
@@ -168,10 +195,20 @@ def loaded_in_all(spark: SparkSession, tables: list[Sink]) -> DataFrame:
     return out
 
 
-def _overwrite_single_dates(spark: SparkSession) -> None:
-    # insertInto ignores a per-write partitionOverwriteMode option and the v2 writer
-    # refuses v1 file tables, so the session setting is made, once and for good
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+@contextmanager
+def _single_dates(spark: SparkSession):
+    """``partitionOverwriteMode`` dynamic for a write, then as it was.
+
+    insertInto ignores a per-write option and the v2 writer refuses v1 file tables, so the
+    session's setting is the only way.
+    """
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
 
 def _by_name(spark: SparkSession, df: DataFrame, table: str) -> DataFrame:
@@ -185,9 +222,9 @@ def overwrite_dates(df: DataFrame, table: Sink, columns: list[str] | None = None
     The ``rebalance`` hint lets adaptive execution split a date that holds a large share
     of the rows over several writers and merge small dates, instead of one file per
     shuffle partition and date. That needs ``spark.sql.adaptive.enabled``, which is on by
-    default; without it a large date is written by one task. The session's
-    ``partitionOverwriteMode`` becomes ``dynamic``. A ``PathSink`` is written with ``columns`` (default: the
-    frame's) partitioned by ``date``.
+    default; without it a large date is written by one task. A ``PathSink`` is written with
+    ``columns`` (default: the frame's) partitioned by ``date``. Dates without rows in ``df`` stay
+    as they are; see ``empty_dates``.
     """
     spark = df.sparkSession
     if isinstance(table, PathSink):
@@ -199,8 +236,19 @@ def overwrite_dates(df: DataFrame, table: Sink, columns: list[str] | None = None
         )
         return
     out = _by_name(spark, df, table).hint("rebalance", "date")
-    _overwrite_single_dates(spark)
-    out.write.insertInto(table, overwrite=True)
+    with _single_dates(spark):
+        out.write.insertInto(table, overwrite=True)
+
+
+def replace_dates(df: DataFrame, sink: PathSink | PublishedSink, dates: list[str]) -> None:
+    """Replace ``dates`` in a folder sink by the rows of ``df``; dates without rows become empty."""
+    if isinstance(sink, PublishedSink):
+        publish(df, [sink], dates)
+        return
+    overwrite_dates(df, sink)
+    spark = df.sparkSession
+    filled = {r.date for r in df.select("date").distinct().collect()}
+    empty_dates(spark, sink, sorted(set(dates) - filled))
 
 
 # --- the ledger of a target ---------------------------------------------------------------
@@ -235,6 +283,8 @@ def record_loads(spark: SparkSession, sink: Sink, loads: list[tuple]) -> None:
 def with_ledger(spark: SparkSession, sink: Sink, dates: DataFrame) -> DataFrame:
     """``date, modified`` of the loaded ``dates``; ``modified`` is null for dates that no
     load has noted."""
+    if isinstance(sink, PublishedSink):
+        return dates.join(published_dates(spark, sink).select("date", "modified"), "date", "left")
     ledger = ledger_of(sink)
     unknown = dates.withColumn("modified", F.lit(None).cast("timestamp"))
     if isinstance(ledger, str):
@@ -262,7 +312,9 @@ def overwrite_dates_two_sinks(df: DataFrame, first: Sink, second: Sink, dates: l
     """
     spark = df.sparkSession
     overwrite_dates(df, first)
-    written = read_sink(spark, first).filter(F.col("date").isin(list(dates)))
+    loaded = spark.createDataFrame([(d,) for d in dates], "date string")
+    # the dates of a load: at most one row a calendar day, and dynamic partition pruning by them
+    written = read_sink(spark, first).join(F.broadcast(loaded), "date", "left_semi")
     overwrite_dates(written, second, columns=df.columns)
 
 

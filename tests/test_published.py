@@ -1,0 +1,117 @@
+"""Emptied reports, published folders, and loads that stop half-way."""
+
+import os
+
+import pytest
+
+from adtally.plans import loader
+from adtally.plans.loader import run_batch
+from adtally.sources import published
+from adtally.sources.published import PublishedSink, add_entry, publish, published_dates, put_new, read_published, sweep
+from adtally.sources.tables import PathSink, read_sink, sink_dates
+from test_loader import DAILY_ROWS, daily_archive
+
+ROW = ["11,Page A,Paid by A,250,3"]
+
+
+def rows_of(spark, sink):
+    df = read_sink(spark, sink)
+    return [] if df is None else sorted(tuple(r) for r in df.select("date", "page_id", "amt_spent").collect())
+
+
+def sinks_of(kind, fresh_db, tmp_path, n=2):
+    if kind == "table":
+        return [f"{fresh_db}.one", f"{fresh_db}.two"][:n]
+    if kind == "folder":
+        return [PathSink(str(tmp_path / "one")), PathSink(str(tmp_path / "two"), "orc")][:n]
+    log = str(tmp_path / "log")
+    return [PublishedSink(str(tmp_path / "one"), log), PublishedSink(str(tmp_path / "two"), log)][:n]
+
+
+@pytest.mark.parametrize("kind", ["table", "folder", "published"])
+@pytest.mark.parametrize("n", [1, 2])
+def test_an_emptied_report_takes_its_rows_away_and_is_loaded_once(spark, fresh_db, tmp_path, kind, n):
+    src = str(tmp_path / "Daily")
+    sinks = sinks_of(kind, fresh_db, tmp_path, n)
+    run = lambda: run_batch(spark, "daily", src, target=sinks[0], second_target=sinks[1] if n == 2 else None)
+    daily_archive(src, "2021-03-01", ROW, mtime=1_600_000_000)
+    daily_archive(src, "2021-03-02", ROW, mtime=1_600_000_000)
+    daily_archive(src, "2021-03-03", [], mtime=1_600_000_000)
+    assert run() == ["2021-03-01", "2021-03-02", "2021-03-03"] and run() == []
+    daily_archive(src, "2021-03-01", [], mtime=1_600_000_100)
+    daily_archive(src, "2021-03-03", ROW, mtime=1_600_000_100)
+    assert run() == ["2021-03-01", "2021-03-03"] and run() == []
+    for sink in sinks:
+        assert rows_of(spark, sink) == [("2021-03-02", "11", 250), ("2021-03-03", "11", 250)]
+        assert sorted(r.date for r in sink_dates(spark, sink).collect()) == ["2021-03-01", "2021-03-02", "2021-03-03"]
+
+
+def test_dropped_malformed_lines_can_empty_a_report(spark, fresh_db, tmp_path):
+    src, table = str(tmp_path / "Daily"), f"{fresh_db}.t"
+    daily_archive(src, "2021-03-01", ROW, mtime=1_600_000_000)
+    run_batch(spark, "daily", src, target=table, on_malformed="drop")
+    daily_archive(src, "2021-03-01", ["1,too,short"], mtime=1_600_000_100)
+    assert run_batch(spark, "daily", src, target=table, on_malformed="drop") == ["2021-03-01"]
+    assert rows_of(spark, table) == []
+
+
+@pytest.mark.parametrize("where", ["second write", "entry"])
+def test_a_load_that_stops_never_shows_two_reports(spark, fresh_db, tmp_path, monkeypatch, where):
+    src = str(tmp_path / "Daily")
+    one, two = sinks = sinks_of("published", fresh_db, tmp_path)
+    daily_archive(src, "2021-03-01", ROW, mtime=1_600_000_000)
+    run_batch(spark, "daily", src, target=one, second_target=two)
+    old = rows_of(spark, one)
+    daily_archive(src, "2021-03-01", DAILY_ROWS, mtime=1_600_000_100)
+
+    def stop(*_, **__):
+        raise RuntimeError("stopped")
+
+    with monkeypatch.context() as m:
+        if where == "entry":
+            m.setattr(published, "add_entry", stop)
+        else:
+            m.setattr(PublishedSink, "version", lambda s, v, f=PublishedSink.version: f(s, v) if s == one else stop())
+        with pytest.raises(RuntimeError, match="stopped"):
+            run_batch(spark, "daily", src, target=one, second_target=two)
+    assert rows_of(spark, one) == rows_of(spark, two) == old
+    assert run_batch(spark, "daily", src, target=one, second_target=two) == ["2021-03-01"]
+    assert rows_of(spark, one) == rows_of(spark, two) != old
+    assert run_batch(spark, "daily", src, target=one, second_target=two) == []
+    # what the stopped and the replaced load have written goes; what is published stays
+    for sink in sinks:
+        now = rows_of(spark, sink)
+        assert sweep(spark, sink, hours=1) == [] and sweep(spark, sink, hours=-1)
+        assert rows_of(spark, sink) == now and sweep(spark, sink, hours=-1) == []
+
+
+def test_entries_take_numbers_one_after_the_other(spark, tmp_path):
+    log = str(tmp_path / "log")
+    assert put_new(spark, log, "x.json", "{}") and not put_new(spark, log, "x.json", "{}")
+    os.remove(f"{log}/x.json")
+    assert [add_entry(spark, log, {"version": "v"}) for _ in range(3)] == [1, 2, 3]
+    assert sorted(n for n in os.listdir(log) if n[0] not in "._") == [f"{k:012d}.json" for k in (1, 2, 3)]
+
+
+def test_publishing_refuses_other_dates_and_mixed_sinks(spark, tmp_path):
+    df = spark.createDataFrame([("a", "2021-01-01")], "x string, date string")
+    a, b = PublishedSink(str(tmp_path / "a")), PublishedSink(str(tmp_path / "b"))
+    assert read_published(spark, a) is None and published_dates(spark, a).count() == 0
+    with pytest.raises(ValueError, match="not being published"):
+        publish(df, [a], ["2021-01-02"])
+    with pytest.raises(ValueError, match="one manifest"):
+        publish(df, [a, b], ["2021-01-01"])
+    with pytest.raises(ValueError, match="one manifest"):
+        loader.load_listing(spark, spark.createDataFrame([], "path string, modificationTime timestamp, report_date string"), "daily", target=a, second_target="t")
+    publish(df, [a], ["2021-01-01"])
+    publish(df.limit(0), [a], ["2021-01-01"])
+    assert read_published(spark, a).count() == 0 and read_published(spark, a).columns == ["x", "date"]
+
+
+def test_the_callers_overwrite_mode_is_left_alone(spark, fresh_db, tmp_path):
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    src = str(tmp_path / "Daily")
+    daily_archive(src, "2021-03-01", ROW)
+    run_batch(spark, "daily", src, target=f"{fresh_db}.t")
+    assert spark.conf.get(key) == before

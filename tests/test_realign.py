@@ -1,0 +1,89 @@
+"""Over-wide lines put right from both ends; bounds of censored amounts; totals kept by loads."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from adtally.operators.lines import parse_lines
+from adtally.plans.loader import run_batch
+from adtally.sources.tables import PathSink, read_sink
+from test_loader import daily_archive
+
+CASES = {
+    # line: (page_id, page_name, disclaimer, amount, ads, status)
+    "1,Page,Payer,10,2": ("1", "Page", "Payer", "10", "2", "ok"),
+    "1,Page, Inc,Payer,10,2": ("1", "Page, Inc", "Payer", "10", "2", "realigned"),
+    "1,Page,Payer, Inc, of Ohio,10,2": ("1", "Page", "Payer, Inc, of Ohio", "10", "2", "realigned"),
+    "1,Page, Inc,Payer, LLC,≤100,2": ("1", "Page, Inc", "Payer, LLC", "≤100", "2", "realigned"),
+    # no blank tells where the name ends: the shortest name counts
+    "1,Page,Co,Payer,10,2": ("1", "Page", "Co,Payer", "10", "2", "realigned"),
+    '1,"Page,Co",Payer, Inc,10,2': ("1", "Page,Co", "Payer, Inc", "10", "2", "realigned"),
+    '1,"Page ""A"", B",Payer, Inc,10,2': ("1", 'Page "A", B', "Payer, Inc", "10", "2", "realigned"),
+    '1,Page, Inc,Friends of "X” PAC,10,2': ("1", "Page, Inc", "Friends of X” PAC", "10", "2", "realigned"),
+    "1,Page, Inc,,10,2": ("1", "Page, Inc", None, "10", "2", "realigned"),
+    "1,Page, Inc,NA,10,": ("1", "Page, Inc", None, "10", None, "realigned"),
+    # ends that don't fit stay as they are
+    "1,Page,Payer,10,2,extra": ("1", "Page", "Payer", "10", "2", "long"),
+    "x,Page,Payer, Inc,10,2": ("x", "Page", "Payer", "Inc", "10", "long"),
+    "1,Page,Payer": ("1", "Page", "Payer", None, None, "short"),
+}
+
+
+def test_over_wide_lines(spark):
+    rows = [("a.zip", "m", i, line) for i, line in enumerate(CASES)]
+    df = spark.createDataFrame(rows, "path string, member string, line_no long, line string")
+    got = {r.line_no: (r.page_id, r.page_name, r.disclaimer, r.amount_spent, r.number_of_ads, r.status) for r in parse_lines(df, realign=True).collect()}
+    for i, want in enumerate(CASES.values()):
+        assert tuple(x.strip() if isinstance(x, str) and want[5] == "long" else x for x in got[i]) == want
+    # without the option nothing changes
+    kept = {r.line_no: r.status for r in parse_lines(df).collect()}
+    assert [kept[i] for i, w in enumerate(CASES.values())] == ["long" if w[5] == "realigned" else w[5] for w in CASES.values()]
+
+
+@pytest.mark.parametrize(
+    "layout, line, want",
+    [
+        ("old", "Page, Inc,Payer, LLC,10,2", (None, "Page, Inc", "Payer, LLC", "10", "2")),
+        ("regional", "7,Page, Inc,Payer, a, b, c, d,10", ("7", "Page, Inc", "Payer, a, b, c, d", "10", None)),
+    ],
+)
+def test_other_layouts(spark, layout, line, want):
+    df = spark.createDataFrame([("a.zip", "m", 0, line)], "path string, member string, line_no long, line string")
+    r = parse_lines(df, layout, realign=True).first()
+    assert (r.page_id, r.page_name, r.disclaimer, r.amount_spent, r.number_of_ads, r.status) == (*want, "realigned")
+
+
+def test_a_very_wide_line_is_aligned_in_one_row(spark):
+    line = "1," + ",".join(f" part {i}" for i in range(2000)) + ",10,2"
+    df = spark.createDataFrame([("a.zip", "m", 0, line)], "path string, member string, line_no long, line string")
+    r = parse_lines(df, realign=True).first()
+    assert r.status == "realigned" and r.amount_spent == "10" and r.page_name.count(",") + r.disclaimer.count(",") == 1998
+
+
+ROWS = ["1,Page,Payer,≤100,2", "1,Page,Payer,250,1", "1,Page,Payer,<100,1", "2,Other, Inc,Payer,70,1", "2,\"Other, Inc\",Payer,30,1"]
+
+
+def test_a_load_realigns_and_writes_bounds_and_totals(spark, fresh_db, tmp_path):
+    src, bounds, totals = str(tmp_path / "Daily"), PathSink(str(tmp_path / "bounds")), PathSink(str(tmp_path / "totals"))
+    table = f"{fresh_db}.t"
+    run = lambda: run_batch(spark, "daily", src, target=table, bounds=bounds, totals=totals, on_malformed="realign")
+    daily_archive(src, "2021-03-01", ROWS, mtime=1_600_000_000)
+    daily_archive(src, "2021-03-02", ROWS[:1], mtime=1_600_000_000)
+    run()
+    got = {(r.date, r.page_name): (r.spent_low, r.spent_high, r.n_censored, r.n_records) for r in read_sink(spark, bounds).collect()}
+    assert got == {("2021-03-01", "Page"): (250, 450, 2, 3), ("2021-03-01", "Other, Inc"): (100, 100, 0, 2), ("2021-03-02", "Page"): (0, 100, 1, 1)}
+    for r in spark.table(table).collect():
+        assert got[r.date, r.page_name][1] == r.amt_spent
+
+    def kept():
+        return sorted((r.date, r.total_ads, r.total_spent) for r in read_sink(spark, totals).collect())
+
+    def recomputed():
+        rows = spark.table(table).groupBy("date").agg(F.sum("num_of_ads").alias("a"), F.sum("amt_spent").alias("s")).collect()
+        return sorted((r.date, r.a, r.s) for r in rows)
+
+    assert kept() == recomputed() != []
+    daily_archive(src, "2021-03-03", ROWS[1:2])
+    daily_archive(src, "2021-03-01", ROWS[3:], mtime=1_600_000_100)
+    assert run() == ["2021-03-01", "2021-03-03"] and kept() == recomputed()
+    daily_archive(src, "2021-03-02", [], mtime=1_600_000_200)
+    assert run() == ["2021-03-02"] and kept() == recomputed() and len(kept()) == 2
