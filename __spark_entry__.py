@@ -43,6 +43,7 @@ from adtally.operators.lines import (  # noqa: E402
     parse_problems,
     split_bom,
 )
+from adtally.operators.records import join_records  # noqa: E402
 from adtally.operators.rollup import union_members  # noqa: E402
 from adtally.plans import report_views as rv  # noqa: E402
 from adtally.plans.kinds import KINDS, kinds_frame  # noqa: E402
@@ -493,6 +494,12 @@ def q_realigned_csv(spark: SparkSession, d: str) -> DataFrame:
     return p.select("page_id", "page_name", "disclaimer", "amount_spent", "number_of_ads", "status")
 
 
+def q_multiline_csv(spark: SparkSession, d: str) -> DataFrame:
+    records = join_records(rv.customer_broken_lines(spark, d))
+    p = parse_lines(records, "new", repair_quotes=False)
+    return p.select("page_id", "page_name", "disclaimer", "amount_spent", "number_of_ads", "status")
+
+
 def q_censored_bounds(spark: SparkSession, d: str) -> DataFrame:
     """Bounds of the spend that a load writes beside its rows."""
     folder = _archives(spark, rv.event_lines(spark, d, "yesterday", regional=False), "archives_bounds")
@@ -585,6 +592,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "load_guards": q_load_guards,
     "append_once": q_append_once,
     "realigned_csv": q_realigned_csv,
+    "multiline_csv": q_multiline_csv,
     "censored_bounds": q_censored_bounds,
     "kept_totals": q_kept_totals,
     "coverage_gaps": q_coverage_gaps,
@@ -641,6 +649,7 @@ QUERY_OPERATORS: dict[str, tuple[str, ...]] = {
     "load_guards": ("P8", "S3", "E1"),
     "append_once": ("S9",),
     "realigned_csv": ("C2", "L5", "U2"),
+    "multiline_csv": ("S7", "L9"),
     "censored_bounds": ("C11", "E1"),
     "kept_totals": ("A6", "T2"),
     "coverage_gaps": ("C10", "W1"),
@@ -902,6 +911,12 @@ ORACLES: dict[str, str] = {
                {_WHOLE.format('c_acctbal')} AS amount_spent, CAST(c_nationkey AS VARCHAR) AS number_of_ads,
                CASE c_custkey % 6 WHEN 0 THEN 'ok' WHEN 5 THEN 'long' ELSE 'realigned' END AS status
         FROM customer""",
+    "multiline_csv": f"""
+        SELECT CAST(c_custkey AS VARCHAR) AS page_id,
+               c_name || CASE WHEN c_custkey % 3 = 2 THEN chr(10) || '"and" others,' || chr(10) || 'Inc' ELSE '' END AS page_name,
+               CASE WHEN c_custkey % 3 = 1 THEN 'Paid by' || chr(10) ELSE '' END || c_mktsegment AS disclaimer,
+               {_WHOLE.format('c_acctbal')} AS amount_spent, CAST(c_nationkey AS VARCHAR) AS number_of_ads, 'ok' AS status
+        FROM customer""",
     "censored_bounds": f"""
         WITH r AS ({_EVENT_RECORDS})
         SELECT page_name, disclaimer, page_id, date, CAST(SUM(CASE WHEN amount_text LIKE '≤%' THEN 0 ELSE amount END) AS BIGINT) AS spent_low,

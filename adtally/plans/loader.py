@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from adtally.functions.clean import base_name, region_from_name, report_date
 from adtally.operators.diagnostics import totals_by_date
 from adtally.operators.lines import drop_header, parse_lines, split_bom, spread_lines
+from adtally.operators.records import join_records
 from adtally.operators.rollup import censored_sums, clean_records, national_rollup, regional_rollup, spend_bounds
 from adtally.plans.kinds import ReportKind, get_kind
 from adtally.session import shared_dir
@@ -114,17 +115,21 @@ def parse_records(
     partitions: int | None = None,
     layout: str | None = None,
     realign: bool = False,
+    multiline: bool = False,
 ) -> DataFrame:
     """Member lines (``path, member, line_no, line``) → cleaned records of ``kind``.
 
     With ``spread``, lines from fewer input partitions than ``partitions`` (default: the
     cores now there) are first hash-spread over them (see ``spread_lines``); give
     ``partitions`` where executors come and go. ``layout`` replaces the kind's. ``realign``:
-    see ``parse_lines``.
+    see ``parse_lines``. ``multiline``: quoted fields may hold line breaks (see ``join_records``);
+    meant for files whose quotes are sound, so with ``repair_quotes`` off.
     """
     k = get_kind(kind)
     if spread:
         lines = spread_lines(lines, partitions)
+    if multiline:
+        lines = join_records(lines)
     df = attach_file_fields(lines, k, on_date_mismatch)
     if repair_bom:
         df = split_bom(df)

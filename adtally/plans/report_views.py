@@ -257,6 +257,21 @@ def customer_lines(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
     )
 
 
+def customer_broken_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as physical lines: key mod 3 = 1 a break in the disclaimer, 2 two breaks in the name.
+
+    A record has four line numbers of its own, so the lines of a market segment keep its order.
+    """
+    c = table(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    name = F.when(k % 3 == 2, F.concat(F.lit('"'), F.col("c_name"), F.lit('\n""and"" others,\nInc"'))).otherwise(F.col("c_name"))
+    disc = F.when(k % 3 == 1, F.concat(F.lit('"Paid by\n'), F.col("c_mktsegment"), F.lit('"'))).otherwise(F.col("c_mktsegment"))
+    record = F.concat_ws(",", _text(k), name, disc, _text(F.floor("c_acctbal").cast("bigint")), _text(F.col("c_nationkey")))
+    return c.select(
+        F.lit("customers.zip").alias("path"), F.col("c_mktsegment").alias("member"), k, F.posexplode(F.split(record, "\n"))
+    ).select("path", "member", (k * 4 + F.col("pos")).alias("line_no"), F.col("col").alias("line"))
+
+
 # --- amounts as published text ----------------------------------------------------------------
 
 
