@@ -30,6 +30,8 @@ from adtally.llm.shared import free_name, written
 #: Rounds at most, and rounds in one plan.
 ROUNDS = 105
 ROUNDS_A_PLAN = 5
+#: So many cells at most are raked in one task; more are dealt out by value for each step.
+CELLS_A_TASK = 100_000
 #: Largest relative distance of a value from its goal.
 TOLERANCE = 1e-9
 #: Share of tokens in cells whose probability may be cut to 1.
@@ -72,10 +74,12 @@ def _rounds(cells: DataFrame, margins: list[str], sums: dict[str, str], scale: s
     ``scale`` and ``off``, a value's scale and its distance from the goal, are SQL over the
     cell's ``goal`` and the ``sums`` by value. A plan is one statement of ROUNDS_A_PLAN rounds;
     after each, the distances of its last round decide whether more follow. Goals that cells
-    can't meet together (an empty combination) are approached as far as ROUNDS go.
+    can't meet together (an empty combination) are approached as far as ROUNDS go. Whether
+    one task does a plan or each step deals the cells out depends on their counted number.
     """
     kept = ", ".join(f"`{c}`" for c in cells.columns if c != "factor")
     offs = [f"off_{k}" for k in range(len(margins))]
+    few = cells.count() <= CELLS_A_TASK
     query = "SELECT *, " + ", ".join(f"0D AS {c}" for c in offs) + " FROM {cells}"
     for _ in range(ROUNDS_A_PLAN):
         for k, m in enumerate(margins):
@@ -84,7 +88,8 @@ def _rounds(cells: DataFrame, margins: list[str], sums: dict[str, str], scale: s
             rest = ", ".join(c if c != offs[k] else f"{off} AS {c}" for c in offs)
             query = f"SELECT {kept}, factor * {scale} AS factor, {rest} FROM ({query})"
     for _ in range(ROUNDS // ROUNDS_A_PLAN):
-        rows = written(cells.sparkSession.sql(query, cells=cells), "cells")
+        # the windows of a single partition need no exchange; the results are the same
+        rows = written(cells.sparkSession.sql(query, cells=cells.coalesce(1) if few else cells), "cells")
         cells = rows.drop(*offs)
         if (rows.agg(F.max(F.array_max(F.array(*offs)))).first()[0] or 0.0) <= TOLERANCE:
             break

@@ -89,6 +89,14 @@ def test_given_targets(spark):
     assert abs(sum(r.tokens * r.probability for r in found if r.lang == "l2") / mass - 0.6) < 2e-3
 
 
+def test_many_cells_are_dealt_out_with_the_same_result(spark, monkeypatch):
+    docs = spark.createDataFrame(rows(random.Random(6), 400), SCHEMA)
+    one = {r.doc_id: r.probability for r in mixing.mix(docs, margins(), POWERS, F.col("tokens")).collect()}
+    monkeypatch.setattr(mixing, "CELLS_A_TASK", 0)
+    many = {r.doc_id: r.probability for r in mixing.mix(docs, margins(), POWERS, F.col("tokens")).collect()}
+    assert one.keys() == many.keys() and all(abs(one[i] - many[i]) < 2e-6 for i in one)
+
+
 def test_a_rare_value_does_not_decide_what_is_kept(spark):
     data = rows(random.Random(4), 600) + [(9000, "rare", "l0", "t0", 1, "", 0)]
     docs = spark.createDataFrame(data, SCHEMA)
