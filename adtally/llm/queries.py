@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adtally.llm import ann, langid, lexical, licenses, mixing, packing, pii, quality, repeats, resampling, simhash, url_filter, warc
-from adtally.llm.shared import WORD, bound_to, table
+from adtally.llm.shared import WORD, bound_to, table, written
 
 URL_RULES = [
     ("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"), ("net/es/", "block"), ("net/fr/", "block"),
@@ -65,9 +65,8 @@ def op3_cost_balanced_packing(spark: SparkSession, d: str) -> DataFrame:
 
 
 def op4_dictionary_warc(spark: SparkSession, d: str) -> DataFrame:
-    folder = warc.new_folder(spark)
-    warc.write(table(spark, d, "pages"), folder).write.mode("overwrite").parquet(f"{folder}-list")
-    return warc.read(spark, folder, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    archives = written(warc.write(table(spark, d, "pages"), warc.new_folder(spark)), "archives")
+    return warc.read(spark, archives, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def learned_rules(spark: SparkSession, d: str, docs: DataFrame) -> quality.DecisionList:

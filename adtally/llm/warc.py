@@ -9,9 +9,9 @@ are revisit records that name it. The choice is a grouped maximum of the digest;
 meet it in a join that Spark splits where one payload is very common. Each task then writes
 its rows as archives of bounded size, under an attempt's own name until they are complete.
 
-Before writing the first record of an archive, the task trains the dictionary on that
-archive's records (at most ``SAMPLE_BYTES`` of them). An archive too small to train on has
-no skippable frame and plain frames.
+Before writing the first record of an archive, the task trains the dictionary on pieces
+from all over that archive (about ``SAMPLE_BYTES`` of them). Of an archive too small to
+train on, these pieces themselves are the dictionary.
 """
 
 from __future__ import annotations
@@ -33,7 +33,9 @@ from adtally.session import shared_dir
 
 DICTIONARY_MAGIC = 0x184D2A5D
 DICTIONARY_BYTES = 64 << 10
+#: A dictionary is trained on about so many bytes of an archive, in pieces.
 SAMPLE_BYTES = 4 << 20
+PIECE_BYTES = 16 << 10
 ARCHIVE_BYTES = 64 << 20
 LEVEL = 3
 #: Payloads of fewer bytes are always responses.
@@ -106,26 +108,30 @@ def parse(stream: io.BufferedIOBase) -> Iterator[dict]:
 # --- one archive -------------------------------------------------------------------------
 
 
+def dictionary_of(records: list[bytes]):
+    """A dictionary trained on pieces from all over the archive.
+
+    Where training finds too little, the pieces themselves are the dictionary.
+    """
+    import zstandard
+
+    parts = [r[at : at + PIECE_BYTES] for r in records for at in range(0, len(r), PIECE_BYTES)]
+    sample = parts[:: -(-sum(map(len, parts)) // SAMPLE_BYTES)]
+    try:
+        return zstandard.train_dictionary(min(DICTIONARY_BYTES, sum(map(len, sample)) // 8), sample)
+    except zstandard.ZstdError:
+        content = b"".join(sample)[:DICTIONARY_BYTES]
+        return zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+
+
 def pack(records: list[bytes], out: io.BufferedIOBase, level: int = LEVEL) -> None:
     """The dictionary frame and one frame for each record."""
     import zstandard
 
-    sample, size = [], 0
-    for r in records:
-        if size >= SAMPLE_BYTES:
-            break
-        sample.append(r[: SAMPLE_BYTES - size])
-        size += len(sample[-1])
-    dictionary = None
-    if len(sample) >= 8 and size >= 16 << 10:
-        try:
-            dictionary = zstandard.train_dictionary(min(DICTIONARY_BYTES, size // 8), sample)
-        except zstandard.ZstdError:
-            dictionary = None  # too little in common
-    if dictionary is not None:
-        frame = zstandard.ZstdCompressor(level=19).compress(dictionary.as_bytes())
-        out.write(struct.pack("<II", DICTIONARY_MAGIC, len(frame)) + frame)
-        dictionary.precompute_compress(level=level)
+    dictionary = dictionary_of(records)
+    frame = zstandard.ZstdCompressor(level=19).compress(dictionary.as_bytes())
+    out.write(struct.pack("<II", DICTIONARY_MAGIC, len(frame)) + frame)
+    dictionary.precompute_compress(level=level)
     # with sizes and checksums in the frames, and without the dictionary's number checked twice
     packer = zstandard.ZstdCompressor(level=level, dict_data=dictionary, write_checksum=True)
     for r in records:
@@ -155,12 +161,19 @@ def _filesystem(uri: str):
     return fs.FileSystem.from_uri(uri)
 
 
-def _save(folder: str, name: str, attempt: str, records: list[bytes]) -> str:
+def _content(uri: str) -> pa.Buffer:
+    files, path = _filesystem(uri)
+    with files.open_input_file(path) as stored:
+        return stored.read_buffer()
+
+
+def _save(folder: str, name: str, records: list[bytes]) -> str:
     files, path = _filesystem(folder)
     files.create_dir(path, recursive=True)
-    with files.open_output_stream(f"{path}/.{name}.{attempt}") as out:
+    # the name's ending isn't to be taken for a wish to compress the stream
+    with files.open_output_stream(f"{path}/.{name}", compression=None) as out:
         pack(records, out)
-    files.move(f"{path}/.{name}.{attempt}", f"{path}/{name}")
+    files.move(f"{path}/.{name}", f"{path}/{name}")
     return f"{folder}/{name}"
 
 
@@ -188,6 +201,9 @@ def write(
     A null html is an empty payload, a null url has no target line. Equal payloads whose ids
     are all null are all responses; a null id beside others revisits. Rows that repeat the
     largest id are responses each. Other columns are ignored. No row, no archive.
+
+    Archives bear their task attempt's name, so a repeated or second attempt replaces none;
+    what it leaves is in no list. Write the result and hand it to ``read``.
     """
     python_ready(pages)
     rows = pages.select(
@@ -201,8 +217,8 @@ def write(
         held, size, count = [], 0, 0
 
         def save() -> pa.RecordBatch:
-            name = f"part-{task.partitionId():05d}-{count:04d}.warc.zst"
-            uri = _save(folder, name, f"attempt-{task.taskAttemptId()}", held)
+            name = f"part-{task.partitionId():05d}-{count:04d}-attempt-{task.taskAttemptId()}.warc.zst"
+            uri = _save(folder, name, held)
             return pa.RecordBatch.from_arrays([pa.array([uri]), pa.array([len(held)], pa.int64())], ["archive", "records"])
 
         for batch in batches:
@@ -221,8 +237,11 @@ def write(
     return with_responses(rows, least).mapInArrow(run, "archive string, records bigint")
 
 
-def read(spark: SparkSession, folder: str, payloads: bool = True) -> DataFrame:
-    """One row per record of the archives in ``folder``: ids, url, digest, type, payload.
+def read(spark: SparkSession, archives: DataFrame | str, payloads: bool = True) -> DataFrame:
+    """One row per record of archives: ids, url, digest, type, payload.
+
+    ``archives`` is the written list that ``write`` gave (column ``archive``), or a folder of
+    which every archive is read, whoever left it there.
 
     ``payload_bytes`` and ``payload_digest`` are of the full payload, also for revisits,
     whose ``payload`` is null; without ``payloads`` the column is left out.
@@ -238,9 +257,10 @@ def read(spark: SparkSession, folder: str, payloads: bool = True) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array([r[f] for r in found], kinds[k]) for f, k in fields.items()], list(fields))
 
         for batch in batches:
-            for data in batch.column(0):
+            for stored in batch.column(0):
+                data = _content(stored.as_py()) if listed else stored.as_buffer()
                 found, size = [], 0
-                for r in parse(unpack(data.as_buffer())):
+                for r in parse(unpack(data)):
                     found.append(r)
                     size += len(r["payload"] or b"") if payloads else 100
                     if size >= 8 << 20:
@@ -250,7 +270,12 @@ def read(spark: SparkSession, folder: str, payloads: bool = True) -> DataFrame:
                     yield out(found)
 
     python_ready(spark.range(0))
-    stored = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.zst").load(folder).select("content")
+    listed = isinstance(archives, DataFrame)
+    if listed:
+        tasks = min(archives.count(), 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+        stored = archives.select("archive").repartition(max(tasks, 1))
+    else:
+        stored = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.zst").load(archives).select("content")
     return stored.mapInArrow(run, ", ".join(f"{f} {k}" for f, k in fields.items()))
 
 

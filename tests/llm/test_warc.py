@@ -82,6 +82,35 @@ def test_dictionary_leads_and_records_stand_alone():
     assert [r["payload"] for r in warc.parse(warc.unpack(data))] == texts
 
 
+@pytest.mark.parametrize("texts", [[b""], [b"x"], [b"page"] * 3, [b"one", b"other " * 9000], [b"same " * 400] * 20])
+def test_small_archives_have_a_dictionary_too(texts):
+    out = io.BytesIO()
+    warc.pack([warc.record(i, None, t, digest(t), None) for i, t in enumerate(texts)], out)
+    assert struct.unpack_from("<I", out.getvalue())[0] == warc.DICTIONARY_MAGIC
+    assert [r["payload"] for r in warc.parse(warc.unpack(out.getvalue()))] == texts
+
+
+def test_dictionary_learns_from_all_of_the_archive(monkeypatch):
+    monkeypatch.setattr(warc, "SAMPLE_BYTES", 64 << 10)
+    monkeypatch.setattr(warc, "PIECE_BYTES", 1 << 10)
+    rng = random.Random(3)
+    early = [rng.randbytes(1000) for _ in range(300)]
+    late = [b"<section class='late-%d'>" % (k % 7) + b"a passage that only later pages share " * 4 for k in range(700)]
+    assert b"later pages share" in warc.dictionary_of(early + late).as_bytes()
+
+
+def test_what_other_attempts_left_is_not_read(spark, tmp_path):
+    rows = pages(random.Random(4))
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    folder = str(tmp_path / "twice")
+    warc.write(docs, folder).collect()  # an attempt whose list was never committed
+    warc.write(docs, folder, archive_bytes=9000).write.parquet(str(tmp_path / "list"))
+    found = warc.read(spark, spark.read.parquet(str(tmp_path / "list"))).collect()
+    assert sorted((r.page_id is None, r.page_id or 0) for r in found) == sorted((i is None, i or 0) for i, *_ in rows)
+    assert warc.read(spark, folder).count() == 2 * len(rows)
+    assert warc.read(spark, spark.createDataFrame([], "archive string, records long")).collect() == []
+
+
 def test_damage_is_an_error():
     good = warc.record(1, "u", b"payload", digest(b"payload"), None)
     out = io.BytesIO()
