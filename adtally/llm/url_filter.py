@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 
 from adtally.llm.shared import python_ready, written
 
-#: Words of more letters aren't in the unigram model.
-LONGEST_WORD = 24
+#: Longer words are looked up by so many letters at their head.
+HEAD = 24
 BUCKETS = 1 << 18
 ALLOW, BLOCK = "allow", "block"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -67,22 +67,29 @@ def names_in(text: Column) -> Column:
 
 def word_counts(texts: DataFrame) -> DataFrame:
     """``word, n`` over the runs of letters, lower-cased, of ``texts (text)``."""
-    words = texts.select(F.explode(names_in(F.lower("text"))).alias("word")).filter(F.length("word") <= LONGEST_WORD)
+    words = texts.select(F.explode(names_in(F.lower("text"))).alias("word"))
     return words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
 def best_cut(name: str, counts: dict[str, int], total: float) -> list[str]:
     """Words of the most probable cut; of equally probable ones, that with the longest last word.
 
-    A substring that is no known word counts as a word seen ``10 / 10 ** length`` times.
+    A substring that is no known word counts as a word seen ``10 / 10 ** length`` times,
+    never more than a known one. So of all starts of an unknown last word only the best so
+    far is kept, and known ones are tried by the lengths there are.
     """
+    lengths = sorted({len(w) for w in counts})
     best: list[tuple[float, int]] = [(0.0, 0)]
+    unknown = (0.0, 0)
     for end in range(1, len(name) + 1):
-        ways = []
-        for start in range(max(0, end - LONGEST_WORD), end):
-            n = counts.get(name[start:end])
-            p = math.log(n / total) if n else math.log(10 / total) - (end - start) * math.log(10)
-            ways.append((best[start][0] + p, start))
+        # the odds of an unknown word are a product by letters, so those up to its start may be taken back
+        unknown = max(unknown, (best[-1][0] + (end - 1) * math.log(10), end - 1), key=lambda w: w[0])
+        ways = [(unknown[0] + math.log(10 / total) - end * math.log(10), unknown[1])]
+        for length in lengths:
+            if length > end:
+                break
+            if n := counts.get(name[end - length : end]):
+                ways.append((best[end - length][0] + math.log(n / total), end - length))
         best.append(max(ways, key=lambda w: (w[0], -w[1])))
     out, end = [], len(name)
     while end:
@@ -97,10 +104,14 @@ def segmented(names: DataFrame, counts: DataFrame) -> DataFrame:
     total = float(counts.agg(F.sum("n")).first()[0] or 1)
     long = F.length("name")
     starts = names.select("name", F.explode(F.sequence(F.lit(1), long)).alias("start"))
-    lengths = F.sequence(F.lit(1), F.least(F.lit(LONGEST_WORD), long - F.col("start") + 1))
-    parts = starts.select("name", "start", F.explode(lengths).alias("length")).select(
-        "name", F.substring(F.col("name"), F.col("start"), F.col("length")).alias("word")
-    )
+    word = F.substring(F.col("name"), F.col("start"), F.col("length")).alias("word")
+    lengths = F.sequence(F.lit(1), F.least(F.lit(HEAD), long - F.col("start") + 1))
+    parts = starts.select("name", "start", F.explode(lengths).alias("length")).select("name", word)
+    # of longer pieces, those of a length that a word with the same head has
+    longer = counts.filter(F.length("word") > HEAD).select(F.left("word", F.lit(HEAD)).alias("head"), F.length("word").alias("length"))
+    heads = starts.withColumn("head", F.substring(F.col("name"), F.col("start"), F.lit(HEAD)))
+    reach = F.col("start") + F.col("length") - 1 <= long
+    parts = parts.unionByName(heads.join(longer.distinct(), "head").filter(reach).select("name", word))
     known = parts.distinct().join(counts, "word").groupBy("name").agg(F.collect_list(F.struct("word", "n")).alias("known"))
 
     @F.pandas_udf("array<string>")

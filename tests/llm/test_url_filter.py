@@ -115,3 +115,28 @@ def test_empty_table_and_nothing_learned(spark):
     assert url_filter.judge(spark.createDataFrame([], SCHEMA), RULES).count() == 0
     found = url_filter.judge(spark.createDataFrame([(1, "x://a.org/", None, "", 0)], SCHEMA), RULES).select("verdict", F.col("rule")).collect()
     assert [(r.verdict, r.rule) for r in found] == [("allow", None)]
+
+
+def test_words_of_any_length(spark):
+    long, longer, other = "abcdefghijklmnopqrstuvwxyz", "abcdefghijklmnopqrstuvwxyzred", "abcdefghijklmnopqrstuvwxzz"
+    counts = spark.createDataFrame([(long, 50), (longer, 2), (other, 9), ("red", 90), ("house", 40)], "word string, n long")
+    names = spark.createDataFrame([(f"red{long}house",), (f"{longer}house",), ("q" * 60,), (f"{long[:25]}red",)], "name string")
+    found = {r.name: r.words for r in url_filter.segmented(names, counts).collect()}
+    known = {long: 50, longer: 2, "red": 90, "house": 40}
+    assert found[f"red{long}house"] == ["red", long, "house"]
+    assert found[f"{longer}house"] == plain_cut(f"{longer}house", known, 191)
+    assert found["q" * 60] == ["q" * 60]
+    assert found[f"{long[:25]}red"] == plain_cut(f"{long[:25]}red", known, 191)
+
+
+def plain_cut(name, counts, total):
+    """The best of all cuts, by trying each last word."""
+    best = [(0.0, [])]
+    for end in range(1, len(name) + 1):
+        ways = []
+        for start in range(end):
+            n = counts.get(name[start:end])
+            p = math.log(n / total) if n else math.log(10 / total) - (end - start) * math.log(10)
+            ways.append((best[start][0] + p, [*best[start][1], name[start:end]]))
+        best.append(max(ways, key=lambda w: w[0]))
+    return best[-1][1]
