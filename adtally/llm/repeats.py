@@ -48,6 +48,8 @@ PIECE = 1 << 18
 RUN = 1 << 17
 #: Documents (their first bytes) that the splitters are taken from, about.
 SAMPLE_DOCS, SAMPLE_BYTES = 1000, 4096
+#: Bytes of text for each range and for each task that merges ranges, on average.
+RANGE_BYTES, TASK_BYTES = 16 << 20, 64 << 20
 #: Different contexts of one key beyond which the key is settled by aggregation.
 LARGE = 512
 #: Buckets of document hashes; a bounded broadcast that spares untouched texts the shuffle.
@@ -552,10 +554,15 @@ def _cover(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _splitters(rows: DataFrame, ranges: int) -> np.ndarray:
-    """Sorted strings that cut the anchors of sampled texts into ``ranges`` equal parts."""
-    share = min(1.0, SAMPLE_DOCS / max(rows.count(), 1))
-    texts = rows.select(F.substring(F.encode("text", "UTF-8"), 1, SAMPLE_BYTES).alias("t")).sample(share, seed=7).limit(2 * SAMPLE_DOCS)
+def _splitters(rows: DataFrame, n: int, ranges: int) -> np.ndarray:
+    """Sorted strings that cut the anchors of sampled texts into ``ranges`` equal parts.
+
+    ``rows`` are the ``n`` whose texts have anchors.
+    """
+    # where a stretch begins follows from the text, so all parts of texts are sampled
+    begins = F.pmod(F.xxhash64("text"), F.greatest(F.octet_length("text") - SAMPLE_BYTES, F.lit(0)) + 1) + 1
+    part = F.substring(F.encode("text", "UTF-8"), begins.cast("int"), F.lit(SAMPLE_BYTES))
+    texts = rows.select(part.alias("t")).sample(min(1.0, SAMPLE_DOCS / max(n, 1)), seed=7).limit(2 * SAMPLE_DOCS)
     parts = [s for chunk in _cut(enumerate(bytes(r.t) for r in texts.collect())) for s in [anchors([p[2] for p in chunk])[3]]]
     strings = np.sort(np.concatenate(parts).view(f"S{WIDTH}").ravel()) if parts else np.empty(0, f"S{WIDTH}")
     return strings[np.unique(np.linspace(0, len(strings) - 1, ranges + 1).astype(int)[1:-1])] if len(strings) else strings
@@ -564,15 +571,20 @@ def _splitters(rows: DataFrame, ranges: int) -> np.ndarray:
 def repeated_spans(rows: DataFrame) -> DataFrame:
     """``k1, k2, first, end``: byte spans to remove, from ``rows (k1, k2, text)`` without nulls.
 
-    Spans of a document may overlap. Sizes fit one task whatever the corpus holds: a range's
-    slices, LARGE contexts of one key, one document.
+    Spans of a document may overlap. A task holds a range's slices, LARGE contexts of one
+    key, or one document. Ranges and tasks grow with the bytes counted; how even the ranges
+    are depends on the sampled splitters.
     """
     spark = python_ready(rows)
-    ranges = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    splitters = _splitters(rows, ranges)
+    some = rows.filter(F.octet_length("text") >= SPAN)
+    n, size = some.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranges = max(4 * tasks, size // RANGE_BYTES)
+    tasks = max(tasks, size // TASK_BYTES)
+    splitters = _splitters(some, n, ranges)
     split_keys = {bytes(s).ljust(WIDTH, b"\0")[:KEY] for s in splitters}
     slices = rows.select("k1", "k2", "text").mapInArrow(_sort(splitters), "range int, slice binary")
-    ordered = slices.repartition("range").sortWithinPartitions("range")
+    ordered = slices.repartition(tasks, "range").sortWithinPartitions("range")
     verdicts = written(ordered.mapInArrow(_merge(split_keys), _MERGED), "verdicts")
 
     settled = verdicts.filter(F.col("kind") == _SETTLED).select("k1", "k2", "first", (F.col("first") + F.col("extra") + SPAN).alias("end"))
@@ -583,7 +595,7 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
 
     by_key = contexts.filter("not large").repartition("key").sortWithinPartitions("key").mapInArrow(_settle, _SPANS)
     windows = contexts.filter("large").mapInArrow(_windows(ranges), "range int, slice binary")
-    by_hash = windows.repartition("range").sortWithinPartitions("range").mapInArrow(_settle_windows, _SPANS)
+    by_hash = windows.repartition(tasks, "range").sortWithinPartitions("range").mapInArrow(_settle_windows, _SPANS)
     return settled.unionByName(by_key).unionByName(by_hash)
 
 

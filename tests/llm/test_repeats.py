@@ -116,3 +116,14 @@ def test_loser_tree_merges_and_knows_prefixes():
         strings = [texts[r][i] for _, r, i in out]
         assert strings == sorted(s for t in texts for s in t)
         assert all(n == prefix(x, y) for x, y, (n, _, _) in zip(strings, strings[1:], out[1:]))
+
+
+def test_ranges_where_few_texts_are_long(spark):
+    rng = random.Random(9)
+    long = [prose(rng, 3000) for _ in range(3)]
+    docs = spark.createDataFrame([(i, "short") for i in range(4000)] + [(5000 + i, t) for i, t in enumerate(long)], "doc_id long, text string")
+    some = docs.filter("octet_length(text) >= 200")
+    assert len(repeats._splitters(some, 3, 8)) == 7
+    # a repeat that begins beyond the sampled bytes of a long text
+    texts = [prose(rng, 9000) + long[0][:700], long[0][:700] + "x", "y" + long[0][:700]]
+    compared(spark, texts + ["short"] * 50)
