@@ -113,7 +113,7 @@ def test_language_split(found):
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_sql_gives_the_same(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     df = queries.QUERIES[name](spark, SF)
     columns = sorted(df.columns)
